@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievework.llm import quality
+from sievework.llm import bpe, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -17,6 +18,60 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, and digests of the ids and of the decoded text."""
+    found = bpe.tokenize(documents(spark, sf_dir).select("doc_id", "text"), vocabulary())
+    return found.select("doc_id", *(c.alias(k) for k, c in bpe.digests(F.col("ids"), F.col("decoded")).items()))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts of base spans by kind, digest of the base spans, and all spans."""
+    p = F.col("parts")
+
+    def listed(x: Column) -> Column:
+        return F.array_join(F.transform(x, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(p, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(p, lambda s: s["order"] < len(secrets.BASE))
+    found = secrets.scan(documents(spark, sf_dir))
+    return found.select("doc_id", *map(count, secrets.BASE), F.sha2(listed(base), 256).alias("base_sha256"), listed(p).alias("spans"))
+
+
+_ASSIGN = r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+SQL["op6_secret_scan"] = rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+k(o, kind, p) as (values (0, 'assign', '{_ASSIGN}'), (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'),
+  (3, 'linked_secret', '[A-Za-z0-9/+=]+'), (4, 'linked_endpoint', 'https?://[^\x20\x09-\x0D"''<>]+')),
+a as (select r, o, kind, p, regexp_extract_all(t, p) as m, string_split(regexp_replace(t, p, chr(1), 'g'), chr(1)) as g from d, k),
+u as (select r, o, kind, p, unnest(range(1, len(m) + 1)) as i, unnest(m) as m, unnest(g[1:len(m)]) as g from a),
+s as (select r, o, kind, m, p, cast(sum(length(g) + length(m)) over (partition by r, o order by i) as bigint) as e from u),
+h as (select r, o, kind, m, e - length(m) as b, e from s where case o when 0 then length(regexp_extract(m, p, 2)) >= 6
+  when 1 then length(m) >= 20 when 2 then length(m) >= 24 when 3 then length(m) = 40 and not contains(m, '=') else length(m) > 8 end),
+n as (select h.*, exists (from h x where x.r = h.r and x.o = 1 and (x.b <= h.b and h.b - x.e <= 400 or x.b >= h.b and x.b - h.e <= 400)) as by_access,
+  exists (from h x where x.r = h.r and x.o in (0, 2, 3) and (x.b <= h.b and h.b - x.e <= 400 or x.b >= h.b and x.b - h.e <= 400)) as by_secret,
+  exists (from h x where x.r = h.r and (x.o in (0, 2) and x.b <= h.b and x.e >= h.e or x.o = 2 and x.b = h.b)) as known from h),
+f as (select * from n where o < 3 or o = 3 and by_access and not known or o = 4 and by_access and by_secret)
+select d.doc_id, count(*) filter (o = 0) as n_assign, count(*) filter (o = 1) as n_access, count(*) filter (o = 2) as n_hex,
+  sha256(coalesce(string_agg(kind || ':' || b || ':' || e, ',' order by b, o) filter (o < 3), '')) as base_sha256,
+  coalesce(string_agg(kind || ':' || b || ':' || e, ',' order by b, o) filter (o >= 0), '') as spans
+from d left join f on f.r = d.r group by d.r, d.doc_id
+"""
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every document."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, quality, secrets
+from sievework.llm import bpe, quality, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,6 +72,13 @@ from d left join f on f.r = d.r group by d.r, d.doc_id
 """
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of ``pages`` give back, one row per page."""
+    chunks = warc.round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return chunks.filter("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every document."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, quality, secrets, warc
+from sievework.llm import bpe, decontam, pii, quality, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,3 +108,36 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
   and n_ell <= 0.5 * n_lines as kept
 from b
 """
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the number of pseudonyms by kind, and the text with pseudonyms."""
+    found = pii.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+    return found.select("doc_id", *(F.col(f"n_{k}") for k in pii.KINDS), F.sha2("text", 256).alias("text_sha256"), "text")
+
+
+#: A real run passes a key of its own, from a secret store.
+PII_KEY = "key for tests"
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and item_id of each benchmark item found in a document, with the exact containment."""
+    found = decontam.contained(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", "n_shared", "n_item", F.round("containment", 6).alias("containment"))
+
+
+SQL["op10_decontamination"] = r"""
+with w as (select distinct doc_id, text, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w from documents),
+d as (select row_number() over () as r, doc_id, w from w),
+b as (select distinct item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w from benchmark),
+i as (select item_id, w, least(len(w), 5) as k from b where len(w) > 0),
+s as (select distinct item_id, w, k, array_to_string(w[p:p + k - 1], ' ') as g from (select *, unnest(range(1, len(w) - k + 2)) as p from i)),
+n as (select *, count(*) over (partition by item_id, w) as n_item from s),
+e as (select distinct r, doc_id, k, array_to_string(w[p:p + k - 1], ' ') as g
+  from (select r, doc_id, w, k, unnest(range(1, len(w) - k + 2)) as p from d, (select distinct k from i))),
+c as (select e.r, e.doc_id, n.item_id, n.w, n_item, count(*) as n_shared from e join n on e.k = n.k and e.g = n.g group by all)
+select doc_id, item_id, cast(n_shared as bigint) as n_shared, cast(n_item as bigint) as n_item, round(n_shared / n_item, 6) as containment
+from c where n_shared >= 0.8 * n_item
+""".replace("\\\\", "\\")

@@ -32,6 +32,12 @@ WIDTH = 5
 LARGEST = 26
 
 
+def pinned(c: Column) -> Column:
+    """``c``, worked out once where it stands: the optimizer moves no filter below it, so what refers to it many times
+    refers to its value and not to a copy of its expression."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
@@ -62,7 +68,7 @@ def _sketches(df: DataFrame, parts: list[int], bits) -> DataFrame:
         for turn in range(SIZES[part][2]):
             names.append(f"_m{part}_{turn}")
             df = _minima(df, bits(SIZES[part][1]), part, turn, names[-1])
-    return df.withColumn("minimum", F.explode(F.concat(*names))).drop("h", *names)
+    return df.withColumn("minimum", F.explode(pinned(F.concat(*names)))).drop("h", *names)
 
 
 def _joined(large: DataFrame, small: DataFrame, on: str, broadcast_rows: int) -> DataFrame:
@@ -71,7 +77,7 @@ def _joined(large: DataFrame, small: DataFrame, on: str, broadcast_rows: int) ->
 
 
 def _within(texts: DataFrame, items: DataFrame, width: int, parts: list[int], threshold: float, broadcast_rows: int) -> DataFrame:
-    docs = texts.select("doc_id", "doc_key", shingles(F.col("w"), width).alias("h")).filter(F.size("h") > 0)
+    docs = texts.select("doc_id", "doc_key", pinned(shingles(F.col("w"), width)).alias("h")).filter(F.size("h") > 0)
     sketched = []
     for part in parts:
         most = SIZES[part + 1][0] - 1 if part + 1 < len(SIZES) else 1 << 30
@@ -93,14 +99,14 @@ def _within(texts: DataFrame, items: DataFrame, width: int, parts: list[int], th
 def contained(docs: DataFrame, items: DataFrame, text: str = "text", threshold: float = 0.8, broadcast_rows: int = 1 << 20) -> DataFrame:
     """doc_id, item_id, doc_key, n_shared, n_item and containment of every item of which a document holds
     ``threshold`` or more of the shingles. ``doc_key`` is ``key_of`` the document."""
-    w = items.select("item_id", words(F.col("text")).alias("w")).filter(F.size("w") > 0).withColumn("width", F.least(F.size("w"), F.lit(WIDTH)))
+    w = items.select("item_id", pinned(words(F.col("text"))).alias("w")).filter(F.size("w") > 0).withColumn("width", F.least(F.size("w"), F.lit(WIDTH)))
     by_width = F.coalesce(*(F.when(F.col("width") == k, shingles(F.col("w"), k)) for k in range(1, WIDTH + 1)))
-    known = written(w.withColumn("h", by_width).select("item_id", "width", "h", F.size("h").alias("n_item"), F.xxhash64("width", "h").alias("item_key")).distinct(), "items")
+    known = written(w.withColumn("h", pinned(by_width)).select("item_id", "width", "h", F.size("h").alias("n_item"), F.xxhash64("width", "h").alias("item_key")).distinct(), "items")
     part = F.lit(len(SIZES) - 1)
     for i in range(len(SIZES) - 1, 0, -1):
         part = F.when(F.col("n_item") < SIZES[i][0], i - 1).otherwise(part)
     kinds = known.select("width", part.alias("part")).distinct().collect()  # a few numbers: widths times rows of SIZES
-    texts = docs.select("doc_id", key_of(docs, text).alias("doc_key"), words(F.col(f"`{text}`")).alias("w"))
+    texts = docs.select("doc_id", key_of(docs, text).alias("doc_key"), pinned(words(F.col(f"`{text}`"))).alias("w"))
     empty = docs.select("doc_id").limit(0).join(items.select("item_id").limit(0), F.lit(True)).selectExpr(
         "doc_id", "item_id", "cast(0 as long) doc_key", "cast(0 as long) n_shared", "cast(0 as long) n_item", "cast(0 as double) containment")
     found = [_within(texts, known.filter(F.col("width") == k), k, sorted(r["part"] for r in kinds if r["width"] == k), threshold, broadcast_rows) for k in sorted({r["width"] for r in kinds})]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, decontam, pii, quality, secrets, warc
+from sievework.llm import bpe, decontam, pii, quality, secrets, suffix, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,13 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and spans removed from every document, and a digest of what is kept."""
+    found = suffix.dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, and digests of the ids and of the decoded text."""

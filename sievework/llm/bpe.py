@@ -8,15 +8,15 @@ takes the arc ``b`` after ``a`` away. Whether an arc is left after a state follo
 storing all 50,000 x 50,000 arcs. Each word has one accepted path; the encoder walks to it by the
 longest arcs first and never returns to an end that proved dead. Decoding emits the labels of the arcs.
 
-Edge cases: a null text encodes as an empty one and null ids decode to an empty text; special tokens that stand in a
+Edge cases: a null text encodes as an empty one; special tokens that stand in a
 text are read as themselves; a text is encoded whole, in time linear in its length; rows are independent, so repeated
 rows, empty tables and extra columns need no care.
 """
 
 from __future__ import annotations
 
-import itertools
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,14 +39,14 @@ def byte_letters() -> dict[str, int]:
 class Automaton:
     """The compiled automaton of a byte-level BPE file of the tokenizers library."""
 
-    def __init__(self, path: str, table_size: int = 1 << 20, words: int = 1 << 18) -> None:
+    def __init__(self, path: str, table_size: int = 1 << 18, words: int = 1 << 18) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         ids = {w: i for w, i in spec["model"]["vocab"].items() if w not in self.special}
         self.labels = {i: bytes(letters[c] for c in w) for w, i in ids.items()} | {i: w.encode() for w, i in self.special.items()}
-        self.table: dict[tuple[int, int], bool] = {}
+        self.table: dict[int, bool] = {}
         self.paths: dict[str, list[int]] = {}
         self.table_size, self.words = table_size, words
         self.gadget: dict[tuple[int, int], int] = {}
@@ -56,10 +56,21 @@ class Automaton:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self._add(ids[a], ids[b], ids[a + b], rank)
-        #: First two bytes to the length of the longest arc that begins with them.
-        self.reach: dict[bytes, int] = {}
-        for label in self.token:
-            self.reach[label[:2]] = max(len(label), self.reach.get(label[:2], 1))
+        # A table of bytes finds the arcs that begin at a place: node and byte to node, and the arc that ends at a node.
+        self.step: dict[int, int] = {}
+        self.ends = [-1]
+        for label, t in self.token.items():
+            node = 0
+            for byte in label:
+                after = self.step.get(node << 8 | byte)
+                if after is None:
+                    after = self.step[node << 8 | byte] = len(self.ends)
+                    self.ends.append(-1)
+                node = after
+            self.ends[node] = t
+        self.size = {t: len(self.labels[t]) for t in self.token.values()}
+        #: To an arc, the longest arc that it begins with.
+        self.shorter = {t: next((self.token[x[:k]] for k in range(len(x) - 1, 0, -1) if x[:k] in self.token), -1) for x, t in self.token.items()}
         self.word = regex.compile(WORD)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
@@ -87,7 +98,7 @@ class Automaton:
 
     def arc(self, state: int, token: int) -> bool:
         """Whether ``token`` may follow ``state`` once all gadgets are in."""
-        key = (state, token)
+        key = state << 24 | token
         left = self.table.get(key)
         if left is None:
             if len(self.table) >= self.table_size:
@@ -99,23 +110,31 @@ class Automaton:
         """The accepted path over the bytes of one word."""
         if (whole := self.token.get(word)) is not None:
             return [whole]
-        n, at, token, arc, reach = len(word), 0, self.token, self.arc, self.reach
+        n, at, arc, step, ends, shorter, size = len(word), 0, self.arc, self.step, self.ends, self.shorter, self.size
         out: list[int] = []
         dead: set[int] = set()  # a prefix has one accepted path, so an end that leads nowhere is never tried again
-        most = reach[word[:2]] if word[:2] in reach else 1
+        t = -2
         while at < n:
-            for end in range(min(n, at + most), at, -1):
-                t = token.get(word[at:end])
-                if t is not None and end not in dead and (not out or arc(out[-1], t)):
-                    out.append(t)
-                    at = end
-                    most = reach.get(word[at : at + 2], 1)
-                    break
+            if t == -2:  # the longest arc from here
+                node, i, t = 0, at, -1
+                while i < n:
+                    node = step.get(node << 8 | word[i], 0)
+                    if not node:
+                        break
+                    i += 1
+                    if ends[node] >= 0:
+                        t = ends[node]
+            while t >= 0 and (at + size[t] in dead or out and not arc(out[-1], t)):
+                t = shorter[t]
+            if t >= 0:
+                out.append(t)
+                at += size[t]
+                t = -2
             else:
                 dead.add(at)
-                most = len(self.labels[out.pop()])
-                at -= most
-                most -= 1
+                t = out.pop()
+                at -= size[t]
+                t = shorter[t]
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -145,37 +164,30 @@ def compiled(path: str) -> Automaton:
     return Automaton(path)
 
 
-def encoder(path: str):
-    """A function from a text column to its ids, ``array<int>``; ``path`` is a vocabulary file that executors can read."""
+def coder(path: str):
+    """A function from a text column to a struct of its ids, ``array<int>``, and of the text that they decode to;
+    ``path`` is a vocabulary file that executors can read. One function, so that a task holds one automaton."""
 
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = compiled(path)
         for texts in batches:
-            found = [automaton.encode(x.as_py() or "") for x in texts]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, int(ends[-1]))
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            flat, ends, back = array("i"), [0], []
+            for x in texts:
+                ids = automaton.encode(x.as_py() or "")
+                flat.extend(ids)
+                ends.append(len(flat))
+                back.append(automaton.decode(ids))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+            yield pa.StructArray.from_arrays([lists, pa.array(back, pa.string())], ["ids", "decoded"])
 
-    return encode
-
-
-def decoder(path: str):
-    """A function from a column of ids to the text they stand for."""
-
-    @F.arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        automaton = compiled(path)
-        for ids in batches:
-            yield pa.array([automaton.decode(x.as_py() or []) for x in ids], pa.string())
-
-    return decode
+    return code
 
 
 def tokenize(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs`` with the columns ``ids`` (array<int>) and ``decoded`` (string)."""
-    out = docs.withColumn(ids, encoder(path)(F.col(f"`{text}`").cast("string")))
-    return out.withColumn(decoded, decoder(path)(F.col(ids)))
+    out = docs.withColumn("_coded", coder(path)(F.col(f"`{text}`").cast("string")))
+    return out.withColumns({ids: F.col("_coded.ids"), decoded: F.col("_coded.decoded")}).drop("_coded")
 
 
 def digests(ids: Column, decoded: Column) -> dict[str, Column]:

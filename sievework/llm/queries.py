@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, decontam, pii, quality, secrets, suffix, warc
+from sievework.llm import bpe, decontam, jaccard, lines, pii, quality, secrets, suffix, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,6 +58,19 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, secrets.BASE), F.sha2(listed(base), 256).alias("base_sha256"), listed(p).alias("spans"))
 
 
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, class_id and number of links of every document."""
+    return jaccard.join(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, visible lines, lines taken out, and a digest of the text that is left."""
+    found = lines.dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 _ASSIGN = r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 SQL["op6_secret_scan"] = rf"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),

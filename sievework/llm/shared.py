@@ -22,8 +22,19 @@ def folder(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: its lineage is cut, and it outlives executors."""
+    """``df`` written as a table in the shared folder and read again: its lineage is cut, and it outlives executors.
+    Asking the driver's JVM to collect garbage lets Spark delete the shuffle files that led to the table."""
     spark = df.sparkSession
     path = folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again."""
+    jvm = spark.sparkContext._jvm
+    for table in tables:
+        for parent in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(parent)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, decontam, jaccard, lines, pii, quality, secrets, suffix, warc
+from sievework.llm import bpe, decontam, hpylm, jaccard, lines, pii, quality, secrets, suffix, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,6 +58,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, secrets.BASE), F.sha2(listed(base), 256).alias("base_sha256"), listed(p).alias("spans"))
 
 
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base score and model score of every document."""
+    return hpylm.score(documents(spark, sf_dir))
+
+
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id and number of links of every document."""

@@ -226,7 +226,7 @@ def links(groups: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def join(docs: DataFrame, text: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, row (hash of id and text), class_id (least doc_id of the documents that links and equal sets connect;
+    """doc_id, row (hash of id and text), root (the class's name), class_id (least doc_id of the documents that links and equal sets connect;
     null if all ids are) and n_links (number of other texts, by shingle set, that are linked): one row per row."""
     rows = docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     sketched = written(sketches(rows, width), "sketches")
@@ -249,13 +249,13 @@ def join(docs: DataFrame, text: str = "text", width: int = WIDTH, similarity: fl
     tied = sketched.select("doc_id", "row", "class").join(roots.withColumnRenamed("node", "class"), "class", "left").join(counts, "class", "left")
     tied = tied.withColumn("root", F.coalesce("root", "class"))
     least = tied.filter("class is not null").groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return tied.join(least, "root", "left").select("doc_id", "row", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return tied.join(least, "root", "left").select("doc_id", "row", F.coalesce("root", "row").alias("root"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def first_of_each(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` whose id is their class's least, with the columns of ``docs``; of rows that repeat an id
-    and a text one stays. Rows without an id stay unless their class has one with an id."""
-    tied = join(docs, text, similarity=similarity)
-    keep = tied.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id", "doc_id").agg(F.min("row").alias("_row")).select("_row").distinct()
+    """One row of ``docs`` of each class, the one with the least id, with the columns of ``docs``; a row without an id
+    only where its class has no other."""
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    keep = join(docs, text, similarity=similarity).groupBy("root").agg(best.alias("best")).select(F.col("best.row").alias("_row"))
     keyed = docs.withColumn("_row", F.xxhash64("doc_id", F.col(f"`{text}`").cast("string")))
     return keyed.join(keep, "_row", "left_semi").dropDuplicates(["_row"]).select(*(F.col(f"`{c}`") for c in docs.columns))

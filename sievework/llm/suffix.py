@@ -6,10 +6,11 @@ pass a group of equal suffixes is exactly a repeated window, and groups of one l
 * The first digit is read at one anchor per window: the window's smallest hash of ``first`` bytes, the leftmost of
   equals. Equal windows choose equal anchors, so one row per anchor (about one per ``(length - first) / 2`` bytes)
   stands for all its windows, and anchors whose digit occurs once end the search for all of them.
+* Runs of windows with one anchor that occur whole in two places are repeated as they stand; of each kind of run one
+  goes on, and only if another kind has the same anchor digit.
 * The second digit is the core that ``block`` neighbouring windows of an anchor share: ``length - block + 1`` bytes,
   with its 128-bit hash. Blocks whose core occurs once leave.
-* The last digit is what a window has beside its core, under ``block`` bytes in all. Where every block of a core has
-  the same bytes beside it, the blocks are repeated as they stand; only other blocks are spread into windows.
+* The last digit is what a window has beside its core, under ``block`` bytes in all.
 
 Each pass counts by key with partial sums and joins the counts back, so a passage that stands in a third of all
 documents is a large key of a skewed join that can be split, never one task's group. Tasks read texts in slabs of
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import written
+from sievework.llm.shared import dropped, written
 
 LENGTH, FIRST, BLOCK = 400, 200, 32
 _BITS = 20
@@ -130,44 +131,64 @@ def repeated(docs: DataFrame, length: int = LENGTH, first: int = FIRST, block: i
             r1, r2, texts = np.asarray(b.column("_row1")), np.asarray(b.column("_row2")), _bytes(b.column("text"))
             wanted = [np.asarray(x.values) for x in b.column("digits")]
             rows: list[tuple] = []
+            held = 0
             for i, anchor, low, high, digit in anchors(texts, length, first):
                 ends = np.flatnonzero(np.diff(i, append=-1))
                 live = np.concatenate([np.isin(digit[s : e + 1], wanted[i[e]]) for s, e in zip([0, *(ends[:-1] + 1)], ends, strict=True)])
-                for n, a, lo, hi in zip(i[live].tolist(), anchor[live].tolist(), low[live].tolist(), high[live].tolist(), strict=True):
-                    text = texts[n]
-                    for q in range((a - hi) // block, (a - lo) // block + 1):
-                        x = a - q * block
-                        end = x - block + 1 + length
-                        p, z = max(lo, x - block + 1), min(hi, x)
-                        rows.append((r1[n], r2[n], xxhash.xxh3_128_digest(text[x:end]), x, x - z, x - p, text[p:x], text[end : z + length]))
-                if len(rows) > 50_000:
-                    yield _cores(rows)
+                for n, a, lo, hi, d in zip(*(x[live].tolist() for x in (i, anchor, low, high, digit)), strict=True):
+                    data = texts[n][lo : hi + length]
+                    rows.append((r1[n], r2[n], a, lo, hi, d, xxhash.xxh3_128_digest(b"%d %d " % (a - lo, a - hi) + data), data))
+                    held += len(data)
+                    if held > 8 << 20:
+                        yield _table(rows, RUNS)
+                        held = 0
             if rows:
-                yield _cores(rows)
+                yield _table(rows, RUNS)
 
+    def third_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: list[tuple] = []
+            for r1, r2, a, lo, hi, n, data in zip(*(b.column(k).to_pylist() for k in ("_row1", "_row2", "a", "lo", "hi", "n", "data")), strict=True):
+                for q in range((a - hi) // block, (a - lo) // block + 1):
+                    x = a - q * block
+                    core, p, z = x - lo, max(lo, x - block + 1), min(hi, x)
+                    end = core - block + 1 + length
+                    rows.append((r1, r2, xxhash.xxh3_128_digest(data[core:end]), x, x - z, x - p, data[p - lo : core], data[end : z - lo + length], n))
+            if rows:
+                yield _table(rows, CORES)
+
+    spark = docs.sparkSession
     made = written(docs.select(*_ROW, "text").mapInArrow(first_pass, "_row1 long, _row2 long, digit long"), "anchors")
     often = made.groupBy("digit").count().filter("count > 1").select("digit")
     alive = made.join(often, "digit").groupBy(*_ROW).agg(F.collect_set("digit").alias("digits"))
-    cores = written(docs.select(*_ROW, "text").join(alive, _ROW).mapInArrow(second_pass, CORES), "cores")
-    beside = F.struct("near", "far", "left", "right")
-    groups = cores.groupBy("core").agg(F.count("*").alias("n"), F.min(beside).alias("a"), F.max(beside).alias("b")).filter("n > 1").select("core", (F.col("a") == F.col("b")).alias("closed"))
-    found = cores.join(groups, "core")
-    closed = found.filter("closed").select(*_ROW, (F.col("x") - F.col("far")).alias("low"), (F.col("x") - F.col("near")).alias("high"))
+    runs = written(docs.select(*_ROW, "text").join(alive, _ROW).mapInArrow(second_pass, RUNS), "runs")
+    dropped(spark, made)
+    # Runs that occur whole in two places are done. Of each kind of run one goes on, if its digit has other kinds.
+    one = F.min(F.struct(*_ROW, "a", "lo")).alias("one")
+    kinds = written(runs.groupBy("digit", "whole").agg(F.count("*").alias("n"), one), "kinds")
+    whole = runs.select(*_ROW, "lo", "hi", "whole").join(kinds.filter("n > 1").select("whole"), "whole").select(*_ROW, F.col("lo").alias("low"), F.col("hi").alias("high"))
+    several = kinds.groupBy("digit").count().filter("count > 1").select("digit")
+    tried = kinds.join(several, "digit").select("one.*", "n")
+    cores = written(runs.join(tried, [*_ROW, "a", "lo"]).select(*_ROW, "a", "lo", "hi", "n", "data").mapInArrow(third_pass, CORES), "cores")
+    shared = cores.groupBy("core").count().filter("count > 1").select("core")
     window = F.md5(F.concat("core", F.encode(F.col("j").cast("string"), "utf-8"), F.expr("substring(left, length(left) - j + 1, j)"), F.expr(f"substring(right, 1, {block - 1} - j)")))
-    spread = found.filter("not closed").withColumn("j", F.explode(F.sequence("near", "far"))).select(*_ROW, F.unhex(window).alias("window"), (F.col("x") - F.col("j")).alias("low"))
-    again = spread.groupBy("window").count().filter("count > 1").select("window")
-    return closed.unionByName(spread.join(again, "window").select(*_ROW, "low", F.col("low").alias("high")))
+    spread = cores.join(shared, "core").withColumn("j", F.explode(F.sequence("near", "far"))).select(*_ROW, F.unhex(window).alias("window"), (F.col("x") - F.col("j")).alias("low"), "n")
+    again = spread.groupBy("window").agg(F.sum("n").alias("m")).filter("m > 1").select("window")
+    parts = written(spread.filter("n = 1").join(again, "window").groupBy(*_ROW).agg(F.array_sort(F.collect_set("low")).alias("lows")), "windows")
+    return whole.unionByName(parts.select(*_ROW, F.explode("lows").alias("low")).withColumn("high", F.col("low")))
 
 
+#: The windows of one anchor: from ``lo`` to ``hi`` in the document, and all their bytes.
+RUNS = "_row1 long, _row2 long, a int, lo int, hi int, digit long, whole binary, data binary"
 #: A block of windows: hash of the core, where it begins, how far before it the last and first window start, and the
-#: bytes from the first window to the core and from the core to the end of the last.
-CORES = "_row1 long, _row2 long, core binary, x int, near int, far int, left binary, right binary"
+#: bytes from the first window to the core and from the core to the end of the last. n: places of the run.
+CORES = "_row1 long, _row2 long, core binary, x int, near int, far int, left binary, right binary, n long"
 
 
-def _cores(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-    names = ["_row1", "_row2", "core", "x", "near", "far", "left", "right"]
-    out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    out = pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*rows, strict=True), types, strict=True)], list(names))
     rows.clear()
     return out
 

@@ -1,10 +1,6 @@
-"""Queries over the driver's tables, one for each operator or group of operators, and their SQL."""
+"""All queries over the driver's tables but those of the training data operators, and their SQL."""
 
-from __future__ import annotations
+from sievework.plans import evaluation, feed, incremental, reconciliation, sampling  # noqa: F401
+from sievework.plans.registry import QUERIES, SQL
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]

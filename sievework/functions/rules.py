@@ -77,3 +77,52 @@ ACT_NOT_TRIGGERED = r"没有触发|未触发|不触发|没触发"
 ACT_PRICE = r"(?:设|在|到|价格?|@)\s*\$?([0-9]{2,4}\.[0-9]{1,2}|[0-9]{2,4})\s*(?:美元|元)?\s*(?:止盈|卖|挂|买|成交)?"
 ACT_SIZE = (r"(?:卖出|卖掉|减仓|买入|加仓|止盈)[^0-9%]{0,12}?([0-9]{1,3}(?:\.[0-9]+)?)\s*%", r"占[^0-9%]{0,10}?总仓位的?\s*([0-9]{1,3}(?:\.[0-9]+)?)\s*%")
 ACT_ORDER = ("SELL_EXECUTED", "BUY_EXECUTED", "REBALANCE", "SELL_PLANNED", "BUY_PLANNED", "HOLD", "UNCLEAR", "COMMENTARY")
+
+#: Structured learning: fields with one number, labels of actions, conditions, portfolio rules and lessons.
+OP_FIELDS = {
+    "entry_1": r"第一档\s*([0-9]+(?:\.[0-9]+)?)", "entry_2": r"第二档\s*([0-9]+(?:\.[0-9]+)?)", "exit_line": r"卖出线\s*(?:暂时不定|([0-9]+(?:\.[0-9]+)?))",
+    "sell_put_strike": r"(?:卖|sell)\s*([0-9]+(?:\.[0-9]+)?)\s*行权价.*?(?:put)", "entry_below": r"跌到\s*([0-9]+(?:\.[0-9]+)?)\s*以下.*?第一档",
+}
+OP_TARGET = r"目标区\s*([0-9]+(?:\.[0-9]+)?)\s*(?:到|[-–~至])\s*([0-9]+(?:\.[0-9]+)?)"
+OP_ACTIONS = (
+    ("clear", r"清仓"), ("trim_half", r"卖掉一半"), ("trim", r"减仓|卖掉不小的一部分|开始卖"), ("add", r"加仓|补仓|继续买"), ("buy", r"买入|建仓|逢低买"), ("sell", r"卖出"),
+    ("sell_put", r"卖\s*\d*(?:\.\d+)?\s*行权价.*?put|sell put"), ("hold", r"持有|一股也不卖"), ("no_add", r"不主动加"), ("no_direct_stock_buy", r"不直接买股票"),
+)
+OP_CONDITIONS = (("no_active_add", r"不主动加"), ("only_below_threshold", r"(?=.*只有跌到).*才考虑"), ("accept_assignment_then_reassess", r"接到货再说"))
+PORTFOLIO_RULES = (
+    ("cash_floor", r"现金底线不破|现金比例不跌破底线"), ("no_core_leverage", r"核心仓位不上杠杆"), ("predefined_levels", r"预设点位|把点位写下来|跌到就买，不跌就不买"),
+    ("one_tranche_at_a_time", r"每次只用一档|不允许一次打完"), ("do_not_chase", r"不追高|不追涨"), ("speculation_stop_10", r"投机股一旦回撤\s*10%.*?止损"),
+    ("sell_put_only_willing_to_own", r"只卖\s*put\s*给自己愿意长期持有"), ("dca_core", r"核心长期股采用\s*DCA|逢低逐步买入"), ("keep_cash_30", r"保留约\s*30%\s*现金"),
+    ("avoid_extreme_emotion", r"避免在极端情绪日做重大决策"),
+)
+LESSONS = (
+    ("cash_too_early", r"加得太快.*太猛|子弹在半山腰就打光"), ("process_wrong", r"过程是错的"), ("luck_not_skill", r"不是我预判精准.*运气|把运气当能力"),
+    ("thesis_vs_timing", r"方向正确.*不代表|判断没错.*过程"), ("admit_wrong", r"认错|看错了|割肉"),
+)
+THIRD_NAMES = ("段永平", "巴菲特", "德鲁肯米勒", "斯坦利", "芒格", "Burry", "伯里")
+FIRST_PERSON = r"(^|[，。；：\s])(我|我的|我在|我已经|我现在|我会|我不|我只|我买|我卖|我加|我减|我持有|我清仓|我重仓|我准备)"
+PLAN = r"预设点位|现在的做法|第一档|第二档|目标区|卖出线|才考虑|接到货再说"
+#: Method signals: condition, pattern over a unit and its neighbours, whether a machine may act on it.
+SIGNALS = (
+    ("tcds_cross_zero", r"tcds.{0,48}(?:回到\s*(?:0|零)|=\s*0|转正|由负(?:值)?(?:持续)?回升)", False),
+    ("ppo_above_signal", r"ppo.{0,96}(?:上穿|向上交叉|向上超过|高于|超过|金叉|cross(?:es|ed)?\s+above).{0,48}(?:signal|信号线)", False),
+    ("ppo_hist_positive", r"(?:ppo.{0,40})?(?:histogram|柱状图|柱线).{0,40}(?:负转正|转正|positive)", False),
+    ("price_above_ma50", r"(?:价格|股价|price)?.{0,36}(?:站上|突破|高于|above).{0,18}ma\s*50", True),
+    ("price_below_ma50", r"(?:价格|股价|price)?.{0,36}(?:跌破|低于|below).{0,18}ma\s*50", True),
+    ("ma50_hold_two_sessions", r"(?:连续\s*(?:两|2)\s*(?:个)?(?:交易日|天).{0,36}(?:站上|守住|高于).{0,18}ma\s*50|ma\s*50.{0,64}连续\s*(?:两|2)\s*(?:个)?(?:交易日|天).{0,24}(?:站上|守住|高于)?)", True),
+    ("supertrend_bullish", r"supertrend.{0,40}(?:翻多|转多|bull)", True),
+    ("macd_hist_positive", r"macd.{0,80}(?:柱状图|柱线|histogram).{0,40}(?:负转正|转正|positive)", True),
+)
+STATES = (("EARLY_ENTRY", r"early entry|早期介入|早期阶段"), ("CONFIRMATION", r"confirmed entry|确认突破|趋势确认"), ("RISK", r"false break|假突破"))
+#: Themes of a feed and words of advertising.
+THEMES = {
+    "Sell Put": ["sell put", "sp ", "卖put", "卖 put", "put"], "LEAPS": ["leap", "leaps", "长期期权"],
+    "风险管理": ["风险", "回撤", "现金", "保险", "对冲", "止损", "爆仓", "stop loss", "mental stop", "risk management"], "失败复盘": ["认错", "失败", "亏", "割肉", "复盘", "看错", "wrong", "mistake"],
+    "长期持有纪律": ["长期", "长持", "定投", "time in the market", "纪律"], "趋势确认": ["突破", "breakout", "strong close", "hold above", "technical analysis", " ta "],
+    "逆向交易": ["恐慌时买", "恐慌买入", "buy when they are panic", "buy when they panic", "panic"], "止损纪律": ["止损", "stop loss", "mental stop"],
+    "INTC": ["intc", "intel", "英特尔"], "IREN": ["iren"], "TSLA": ["tsla", "tesla", "特斯拉"],
+}
+OTHER_THEME = "其他研究"
+PROMOTION = (
+    "开户链接", "开户福利", "开户奖励", "入金", "转仓", "免费股票", "免费股", "现金券", "碎股礼包", "免佣", "moomoo", "webull", "tradeup", "老虎证券", "邀请链接", "粉丝专属", "新用户", "开户即享", "存入",
+)

@@ -2,7 +2,7 @@
 
 Texts are sets of ``width``-word shingles; texts with equal sets are one class and only its representative is joined.
 Representatives are banded by MinHash: at a Jaccard similarity of 0.8 two share one of ``BANDS`` bands of ``ROWS``
-values with probability 1 - (1 - 0.8 ** ROWS) ** BANDS, over 0.999999. Within a bucket MinHash values are compared
+values with probability 1 - (1 - 0.8 ** ROWS) ** BANDS, 0.99997. Within a bucket MinHash values are compared
 ``STEP`` at a time; with m of k values equal the similarity has a Beta(m + 1, k - m + 1) posterior under a flat prior,
 and a pair is dropped as soon as the probability of reaching the threshold falls below ``tolerance``. What is left of
 a bucket leaves it as a spanning forest, and distributed union-find joins the forests into groups. In each group the
@@ -32,7 +32,7 @@ from sievework.llm.near import components, mixed, rolled, signatures
 from sievework.llm.shared import dropped, written
 
 WIDTH, SIMILARITY, TOLERANCE = 5, 0.8, 1e-4
-BANDS, ROWS, STEP, BLOCK = 20, 3, 10, 512
+BANDS, ROWS, STEP, BLOCK = 20, 4, 10, 512
 _HASHES = BANDS * ROWS
 
 

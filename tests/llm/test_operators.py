@@ -136,8 +136,8 @@ def test_jaccard_equals_brute_force(spark, monkeypatch):
 
 def test_bayes_prunes_no_close_pair():
     least = jaccard.least_matches(0.8, 1e-4)
-    assert len(least) == 6 and list(least) == sorted(least)
-    assert sum(math.comb(60, m) * 0.8**m * 0.2 ** (60 - m) for m in range(least[-1])) < 0.01
+    assert len(least) == 8 and list(least) == sorted(least)
+    assert sum(math.comb(80, m) * 0.8**m * 0.2 ** (80 - m) for m in range(least[-1])) < 0.01
 
 
 def test_lines_equal_brute_force(spark):

@@ -121,4 +121,6 @@ def score(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that the table keeps, with the columns of ``docs``."""
     prefix = "__kept_"
-    return features(docs, text, prefix).filter(verdict(rules, prefix)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    # The id keeps the optimizer from moving the filter below the features, where it would repeat their expressions.
+    judged = features(docs, text, prefix).withColumn(prefix, F.when(F.monotonically_increasing_id() >= 0, verdict(rules, prefix)))
+    return judged.filter(F.col(prefix)).select(*(F.col(f"`{c}`") for c in docs.columns))

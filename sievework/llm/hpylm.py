@@ -5,8 +5,8 @@ training words and one unknown word. A table of a context restaurant is a custom
 by Gibbs sweeps over all pairs at once: given the parent's predictive probabilities and the other tables of its
 context, the number of tables that a pair's customers sit at is drawn anew. Up to ``EXACT`` customers the draw is from
 its exact conditional, by generalized Stirling numbers; the customers beyond are seated in doubling blocks. A pair
-seen once sits at one table for certain and is pruned to its parent: its customer counts there and in its context, but
-it has no probability of its own. Sweeps after ``burn`` are averaged in the predictive probabilities, from which texts are scored.
+seen once sits at one table for certain: it takes no part in the sweeps, and has its probability like every other
+pair. Sweeps after ``burn`` are averaged in the predictive probabilities, from which texts are scored.
 
 Only counts move: tokens are counted by pair where they are read and summed by key. Counts, seating and scoring cover
 all training documents. For scoring, the ``heavy`` most frequent words and pairs (a fixed number, hence of bounded
@@ -163,14 +163,13 @@ def draw_tables(n: np.ndarray, others: np.ndarray, base: np.ndarray, discount: f
 def train(docs: DataFrame, sweeps: int = 3, burn: int = 1, discount: float = DISCOUNT, strength: float = STRENGTH, seed: int = 7) -> tuple[DataFrame, DataFrame, dict]:
     """Pairs (context, word, n, excess) with ``excess`` the averaged part of a pair's probability that its own
     customers give; words (word, n, p, lift): the count, the parent's averaged probability, and what the word as a
-    context passes to its parent; and totals. A pair seen once sits at one table for certain; it has no excess, as
-    its whole customer goes to the parent, and so needs no row of its own."""
+    context passes to its parent; and totals. A pair seen once sits at one table for certain and is only drawn in
+    the sense that its table counts in its context and in the parent."""
     counted = written(condensed(count_pairs(docs)), "counts")
-    pairs = written(counted.filter("kind = 0").select("context", "word", "n"), "pairs")
+    pairs, single = (counted.filter(f"kind = {kind}").select("context", "word", "n") for kind in (0, 3))
     words = written(counted.filter("kind = 1").groupBy("word").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")), "words")
     rooms = written(counted.filter("kind = 2").groupBy(F.col("word").alias("context")).agg(F.sum("n").alias("c"), F.sum("ones").alias("ones")), "rooms")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    dropped(docs.sparkSession, counted)
     uniform = 1.0 / (distinct + 1)
     fresh = (strength + discount * distinct) * uniform
 
@@ -204,18 +203,21 @@ def train(docs: DataFrame, sweeps: int = 3, burn: int = 1, discount: float = DIS
     for more in kept[1:]:
         every = every.unionByName(more)
     mean = written(every.groupBy("context", "word", "n").agg((F.sum("t") / len(kept)).alias("t")), "seating")
-    dropped(docs.sparkSession, pairs, *kept)
+    dropped(docs.sparkSession, *kept)
     p, total = parent(mean)
     passed = rooms.join(mean.groupBy("context").agg(F.sum("t").alias("t")), "context", "left")
-    lift = passed.select(F.col("context").alias("word"), ((strength + discount * F.coalesce("t", F.lit(0.0)) + F.col("ones")) / (strength + F.col("c"))).alias("lift"))
+    lift = passed.select(F.col("context").alias("word"), ((strength + discount * (F.coalesce("t", F.lit(0.0)) + F.col("ones"))) / (strength + F.col("c"))).alias("lift"))
     model = written(words.select("word", "n").join(p, "word").join(lift, "word", "left"), "words-model")
-    excess = mean.join(rooms.select("context", "c"), "context").select("context", "word", "n", ((F.col("n") - discount * F.col("t")) / (strength + F.col("c"))).alias("excess"))
-    return written(excess, "pairs-model"), model, {"tokens": tokens, "distinct": distinct, "unseen": fresh / (strength + total)}
+    seated = mean.unionByName(single.withColumn("t", F.lit(1.0)))
+    excess = seated.join(rooms.select("context", "c"), "context").select("context", "word", "n", ((F.col("n") - discount * F.col("t")) / (strength + F.col("c"))).alias("excess"))
+    full = written(excess, "pairs-model")
+    dropped(docs.sparkSession, counted)
+    return full, model, {"tokens": tokens, "distinct": distinct, "unseen": fresh / (strength + total)}
 
 
 def condensed(pairs: DataFrame) -> DataFrame:
-    """Pairs seen more than once as they are (kind 0), and for every word (kind 1) and every context (kind 2, named in
-    ``word``) partial sums of customers and of pairs seen once."""
+    """Pairs seen more than once (kind 0) and once (kind 3), in an order of contexts that takes little room, and for every
+    word (kind 1) and every context (kind 2, named in ``word``) partial sums of customers and of pairs seen once."""
 
     def condense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "context", "word", "n", "ones"]
@@ -232,6 +234,12 @@ def condensed(pairs: DataFrame) -> DataFrame:
             c, w, n = (np.concatenate(held[k]) for k in ("context", "word", "n"))
             for x in held.values():
                 x.clear()
+            order = np.argsort(c, kind="stable")
+            c, w, n = c[order], w[order], n[order]
+            for kind, some in ((0, np.flatnonzero(n > 1)), (3, np.flatnonzero(n == 1))):
+                for at in range(0, len(some), 1 << 18):
+                    i = some[at : at + (1 << 18)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), kind, np.int32)), pa.array(c[i]), pa.array(w[i]), pa.array(n[i]), pa.array(np.zeros(len(i), np.int64))], names)
             yield sums(1, w, n)
             yield sums(2, c, n)
 
@@ -242,8 +250,6 @@ def condensed(pairs: DataFrame) -> DataFrame:
             for k, x in zip(held, (c, w, n), strict=True):
                 held[k].append(x.copy())
             rows += len(n)
-            many = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(int(many.sum()), np.int32)), pa.array(c[many]), pa.array(w[many]), pa.array(n[many]), pa.array(np.zeros(int(many.sum()), np.int64))], names)
             if rows > 4_000_000:
                 yield from flush()
                 rows = 0
@@ -259,14 +265,15 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
     rows = docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("text"))
     pairs, words, totals = train(rows, **options)
     top_words = words.orderBy(F.desc("n"), "word").limit(heavy_words).select("word", "n", "p", F.coalesce("lift", F.lit(1.0)).alias("lift")).toArrow()
-    top_pairs = pairs.orderBy(F.desc("n"), "context", "word").limit(heavy_pairs).select("context", "word", F.col("excess").cast("float").alias("excess")).toArrow()
+    all_words, all_pairs = totals["distinct"] <= heavy_words, pairs.count() <= heavy_pairs
+    frequent = pairs if all_pairs else pairs.filter("n > 1")
+    top_pairs = frequent.orderBy(F.desc("n"), "context", "word").limit(heavy_pairs).select("context", "word", F.col("excess").cast("float").alias("excess")).toArrow()
     code = pair_code(np.asarray(top_pairs.column("context")), np.asarray(top_pairs.column("word")))
     order, worder = np.argsort(code), np.argsort(np.asarray(top_words.column("word")))
     shared = spark.sparkContext.broadcast((
         code[order], np.asarray(top_pairs.column("excess"))[order],
         *(np.asarray(top_words.column(k))[worder] for k in ("word", "n", "p", "lift")),
     ))
-    all_words, all_pairs = totals["distinct"] <= heavy_words, pairs.count() <= heavy_pairs
     n_total, v, unseen = totals["tokens"], totals["distinct"], totals["unseen"]
     base_log = np.log10(n_total + 0.1 * (v + 1))
 
@@ -288,9 +295,10 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
             c = before(w, np.cumsum(sizes) - sizes)
             wi, w_in = find(names, w)
             ci, c_in = find(names, c)
-            pi, p_in = find(codes, pair_code(c, w))
-            # What is known here is settled here. A pair that may be in the model beyond the frequent ones is looked up
-            # by its code alone, and only words beyond the frequent ones are joined as words.
+            both = pair_code(c, w)
+            pi, p_in = find(codes, both)
+            # What is known here is settled here. Words beyond the frequent ones are joined as words, and a pair that may
+            # be in the model beyond the frequent ones is looked up by its code alone.
             words_known = (w_in | all_words) & (c_in | all_words)
             settled = words_known & (p_in | all_pairs)
             late = words_known & ~settled
@@ -300,38 +308,37 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
             room = np.where(c_in, lift[ci], 1.0) if len(n) else np.ones(len(w))
             own = np.where(p_in, excess[pi], 0.0) if len(codes) else np.zeros(len(w))
             prob = np.log10(own + room * up)
-            total = lambda x, s: np.bincount(doc[s], x[s], len(texts))
+            total = lambda x, s: np.bincount(doc[s], x[s], len(texts)).astype(float)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([held_out(d) for d in batch.column("doc_id").to_pylist()]), pa.array(sizes.astype(np.int64)),
                 pa.array(total((count > 0).astype(float), words_known).astype(np.int64)), pa.array(total(base, words_known)), pa.array(total(prob, settled)),
-                _left(doc, late, len(texts), code=pair_code(c, w), up=room * up),
-                _left(doc, ~words_known, len(texts), context=c, word=w),
+                _left(doc, late, len(texts), code=both, up=room * up),
+                _left(doc, ~words_known, len(texts), context=c, word=w, code=both),
             ], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "late", "rest"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    first = written(rows.mapInArrow(looked_up, fields + ", late array<struct<code:long,up:double>>, rest array<struct<context:long,word:long>>").withColumn("row", F.monotonically_increasing_id()), "settled")
+    first = written(rows.mapInArrow(looked_up, fields + ", late array<struct<code:long,up:double>>, rest array<struct<context:long,word:long,code:long>>").withColumn("row", F.monotonically_increasing_id()), "settled")
+
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(pair_code(np.asarray(b.column("context")), np.asarray(b.column("word")))), b.column("excess")], ["code", "excess"])
 
     codes_of = pairs.select("context", "word", "excess").mapInArrow(coded, "code long, excess double")
-    found = first.select("row", F.explode("late").alias("l")).select("row", "l.*").join(codes_of, "code", "left")
-    later = found.groupBy("row").agg(F.sum(F.log10(F.coalesce("excess", F.lit(0.0)) + F.col("up"))).alias("score3"))
-    left = first.select("row", F.explode("rest").alias("r")).groupBy("row", "r.context", "r.word").agg(F.count("*").alias("k"))
     w = words.select("word", "n", "p")
-    joined = (
-        left.join(w, "word", "left").join(words.select(F.col("word").alias("context"), "lift"), "context", "left")
-        .join(pairs.select("context", "word", "excess"), ["context", "word"], "left")
-    )
-    prob = F.coalesce("excess", F.lit(0.0)) + F.coalesce("lift", F.lit(1.0)) * F.coalesce("p", F.lit(float(unseen)))
-    late = joined.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("known2"),
-        F.sum(F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + 0.1) - float(base_log))).alias("base2"), F.sum(F.col("k") * F.log10(prob)).alias("score2"),
+    left = first.select("row", F.explode("rest").alias("r")).groupBy("row", "r.context", "r.word", "r.code").agg(F.count("*").alias("k"))
+    named = left.join(w, "word", "left").join(words.select(F.col("word").alias("context"), "lift"), "context", "left").select(
+        "row", "code", (F.coalesce("lift", F.lit(1.0)) * F.coalesce("p", F.lit(float(unseen)))).alias("up"), "k",
+        F.when(F.col("n") > 0, F.col("k")).otherwise(0).alias("known"), (F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + 0.1) - float(base_log))).alias("base"))
+    late = first.select("row", F.explode("late").alias("l")).select("row", "l.code", "l.up", F.lit(1).cast("long").alias("k"), F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"))
+    found = late.unionByName(named).join(codes_of, "code", "left")
+    later = found.groupBy("row").agg(
+        F.sum("known").alias("known2"), F.sum("base").alias("base2"),
+        F.sum(F.col("k") * F.log10(F.coalesce("excess", F.lit(0.0)) + F.col("up"))).alias("score2"),
     )
-    return first.drop("late", "rest").join(later, "row", "left").join(late, "row", "left").select(
+    return first.drop("late", "rest").join(later, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known2", F.lit(0))).cast("long").alias("n_known"), F.lit(n_total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("score3", F.lit(0.0)) + F.coalesce("score2", F.lit(0.0))).alias("score"))
+        (F.col("base_score") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"))
 
 
 def _left(doc: np.ndarray, which: np.ndarray, n: int, **columns: np.ndarray) -> pa.Array:

@@ -238,6 +238,25 @@ def test_language_model_sums_to_one(spark):
         assert math.isclose(total, 1, rel_tol=1e-9)
 
 
+def test_language_model_keeps_pairs_seen_once(spark):
+    """A pair seen once has (1 - discount) / (strength + its context's customers) of its own, looked up in either way."""
+    docs = spark.createDataFrame([(1, "a b a c"), (2, "a b d e")], SCHEMA)
+    pairs, words, totals = hpylm.train(docs)
+    found = {(r["context"], r["word"]): (r["n"], r["excess"]) for r in pairs.collect()}
+    name = {w: int(hpylm.Coder()(w)[0]) for w in "abcde"}
+    assert len(found) == 8 and found[name["a"], name["b"]][0] == found[hpylm.END, name["a"]][0] == 2
+    for c, w, customers in [("a", "c", 3), ("b", "a", 2), ("b", "d", 2), ("d", "e", 1)]:
+        n, excess = found[name[c], name[w]]
+        assert n == 1 and math.isclose(excess, (1 - hpylm.DISCOUNT) / (hpylm.STRENGTH + customers))
+    w = {r["word"]: r for r in words.collect()}
+    prob = lambda c, x: found[c, x][1] + (w[c]["lift"] * w[x]["p"])
+    for options in ({}, {"heavy_pairs": 1}, {"heavy_pairs": 1, "heavy_words": 1}):
+        scored = {r["doc_id"]: r["score"] for r in hpylm.score(docs, **options).collect()}
+        for d, text in ((1, "abac"), (2, "abde")):
+            path = [hpylm.END, *(name[x] for x in text), hpylm.END]
+            assert math.isclose(scored[d], sum(math.log10(prob(c, x)) for c, x in zip(path, path[1:], strict=False)), rel_tol=1e-5)
+
+
 def test_stirling_draws():
     import numpy as np
 

@@ -2,11 +2,12 @@
 
 Lines are compared lower-cased, with runs of white space as one space. Their shingles are ``width`` characters (a
 shorter line is one shingle). Signatures are cut into ``bands`` of ``rows`` values; at a Jaccard similarity of 0.8 two
-lines share a band with probability 1 - (1 - 0.8 ** rows) ** bands, 0.99995 by default. Within a band's bucket each line
-is tied to the bucket's first ``HEADS`` lines and to the line before it, in an order of the bucket's own: small buckets
-are compared in full, and in larger ones ties grow with lines, not with pairs, while each of the bands that two lines
-share gives them other heads to meet at. The shuffle is sorted, so a bucket of any size streams through its task. Each task leaves out lines it has met before, which takes
-the copies of a hot line out ahead of the shuffle. Ties are verified by the exact Jaccard similarity of the two lines'
+lines share a band with probability 1 - (1 - 0.8 ** rows) ** bands, 0.99995 by default. Each two lines of a band's bucket are
+compared, unless they are known to be of one component. First a line is tied to the bucket's first ``HEADS`` lines and to
+the line before it, in an order of the bucket's own, which is all of a small bucket. The shuffle is sorted, so a bucket
+of any size streams through its task. Each task leaves out lines it has met before, which takes the copies of a hot line
+out ahead of the shuffle. Then the larger buckets whose lines are not of one component yet are dealt out as pairs of
+blocks, and within those every two lines are compared. Ties are verified by the exact Jaccard similarity of the two lines'
 shingles, and distributed union-find joins what is left into components. Of each component the line that comes first
 by (doc_id, text hash, line number) stays.
 
@@ -24,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.llm.jaccard import _dealt, _forest, _runs, _sides
 from sievework.llm.near import components, mixed, rolled, short_signatures
 from sievework.llm.shared import written
 
 WIDTH, BANDS, ROWS, SIMILARITY = 8, 14, 3, 0.8
-#: Members of a bucket to which each later one is tied.
+#: Members of a bucket to which each later one is tied at first.
 HEADS = 16
 _KEYS = ["_row1", "_row2"]
 
@@ -50,7 +52,7 @@ def _lines(rows: DataFrame) -> DataFrame:
 
 
 def ties(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """Candidate pairs (a, b) of line keys."""
+    """Candidate pairs (a, b) of line keys, and each member ``a`` of a ``bucket`` in which these are not all pairs."""
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -75,6 +77,7 @@ def ties(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket: int | None = None
         members: list[int] = []  # the first HEADS of the bucket, and behind them the last one
+        first: list[int] | None = []  # all members so far; None once the bucket is known to be large
         for batch in batches:
             b, k = np.asarray(batch.column("bucket")), np.asarray(batch.column("key"))
             if not len(b):
@@ -83,19 +86,30 @@ def ties(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
             same = (b[1:] == b[:-1]) & (k[1:] != k[:-1])
             busy = np.concatenate([[True], same]) | np.concatenate([same, [True]])
             pairs: list[tuple[int, int]] = []
+            large: list[tuple[int, int]] = []
             for x, key in zip(b[busy].tolist(), k[busy].tolist(), strict=True):
                 if x != bucket:
-                    bucket, members = x, [key]
+                    bucket, members, first = x, [key], [key]
                 elif key != members[-1]:
                     pairs += [(min(m, key), max(m, key)) for m in members]
                     del members[HEADS:]
                     members.append(key)
+                    if first is None:
+                        large.append((x, key))
+                    else:
+                        first.append(key)
+                        if len(first) > HEADS + 1:
+                            large += [(x, m) for m in first]
+                            first = None
             if pairs:
                 a, z = np.array(pairs, np.int64).T
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(z)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(z), pa.nulls(len(a), pa.int64())], ["a", "b", "bucket"])
+            if large:
+                z, a = np.array(large, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.nulls(len(a), pa.int64()), pa.array(z)], ["a", "b", "bucket"])
 
     made = lines.select("key", "line").mapInArrow(banded, "bucket long, key long")
-    return made.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("bucket", "key"), "key").mapInArrow(tied, "a long, b long").distinct()
+    return made.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("bucket", "key"), "key").mapInArrow(tied, "a long, b long, bucket long").distinct()
 
 
 def _buckets(keys: np.ndarray, texts: list[str], width: int, bands: int, rows: int) -> pa.RecordBatch:
@@ -145,13 +159,79 @@ def verified(pairs: DataFrame, lines: DataFrame, width: int, similarity: float)
     return both.select("a", "b", "x", "y").mapInArrow(exact, "a long, b long")
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of each set of ``left`` with each of ``right``."""
+    out, width = np.zeros((len(left), len(right)), np.float32), 2048
+    p, q = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(p, q)
+    sides = []
+    for h, sets in ((p, left), (q, right)):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(both, h), max(0, len(both) - 1))
+        ok = both[at] == h if len(both) else np.zeros(len(h), bool)
+        order = np.argsort(at[ok], kind="stable")
+        sides.append((row[ok][order], at[ok][order]))
+    for start in range(0, len(both), width):
+        m = []
+        for (row, column), sets in zip(sides, (left, right), strict=True):
+            s, e = np.searchsorted(column, [start, start + width])
+            x = np.zeros((len(sets), min(width, len(both) - start)), np.float32)
+            x[row[s:e], column[s:e] - start] = 1
+            m.append(x)
+        out += m[0] @ m[1].T
+    return out
+
+
+def bridges(members: DataFrame, roots: DataFrame, lines: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Links (a, b) between the components ``roots`` (node, root) that are missing among the ``members`` (bucket, key) of
+    large buckets: a spanning forest for each pair of blocks, by the exact similarity of each two lines."""
+    placed = members.join(roots, F.col("key") == F.col("node"), "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    placed = written(placed, "members")
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket", "n")
+    sizes = written(sizes, "large")
+    open_ = placed.join(sizes.select("bucket"), "bucket")
+    texts = written(lines.select("key", "line").join(open_.select("key").distinct(), "key").dropDuplicates(["key"]), "lines")
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _runs(batches, ["bucket", "i", "j"]):
+            root = np.asarray(t.column("root"))
+            names, known = np.unique(root, return_inverse=True)
+            if len(names) < 2:
+                continue
+            x, y = _sides(t)
+            if not len(y):
+                if t.column("i")[0].as_py() != t.column("j")[0].as_py():
+                    continue  # the other block is empty, and this one is compared where i = j
+                y = x
+            elif not len(x):
+                continue
+            sets = [np.unique(shingles(k, width)) for k in t.column("line").to_pylist()]
+            n = np.array([len(k) for k in sets])
+            same = _common([sets[k] for k in x], [sets[k] for k in y])
+            close = (same >= similarity * (n[x][:, None] + n[y][None, :] - same)) & (known[x][:, None] != known[y][None, :])
+            p, q = np.nonzero(close)
+            tree = _forest(len(names), known[x[p]], known[y[q]])
+            if tree:
+                a, b = np.array(tree).T
+                yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
+
+    dealt = _dealt(open_.join(texts, "key"), "bucket", "key", sizes)
+    return dealt.select("bucket", "i", "j", "own", "root", "line").mapInArrow(exact, "a long, b long").distinct()
+
+
 def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the lines that are not their component's first taken out of ``text``, and n_lines, n_removed
     (long): visible lines before, and lines taken out."""
     source = docs.withColumns({"_row1": F.xxhash64("doc_id", F.col(f"`{text}`")), "_row2": F.xxhash64(F.col(f"`{text}`"), "doc_id", F.lit(1))})
     lines = _lines(source.select("doc_id", *_KEYS, F.col(f"`{text}`").cast("string").alias("text")))
-    pairs = written(ties(lines, width, bands, rows), "ties")
+    tied = written(ties(lines, width, bands, rows), "ties")
+    pairs, members = tied.filter("b is not null").select("a", "b"), tied.filter("b is null").select("bucket", F.col("a").alias("key"))
     roots = components(written(verified(pairs, lines, width, similarity), "links"))
+    if not members.isEmpty():
+        roots = written(roots, "roots")
+        more = components(written(bridges(members, roots, lines, width, similarity), "links"))
+        more = more.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        roots = roots.join(more, "root", "full").select(F.coalesce("node", "root").alias("node"), F.coalesce("top", "root").alias("root"))
     placed = lines.select("doc_id", *_KEYS, "line_no", "key").distinct().join(roots, F.col("key") == F.col("node"), "left")
     placed = written(placed.select("doc_id", *_KEYS, "line_no", F.coalesce("root", "key").alias("root")), "places")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", *_KEYS, "line_no")

@@ -190,17 +190,17 @@ def test_lines_equal_brute_force(spark):
 
 
 def test_lines_of_large_families(spark):
-    """Close pairs within thousands of lines that are alike at 0.6, so that no bucket's first lines lead to them."""
+    """Close pairs within thousands of lines that are alike at 0.7, so that no bucket's first lines lead to them."""
     rnd = random.Random(5)
     draw = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
-    head, tail = draw(42), draw(42)
-    fill = [draw(16) for _ in range(3000)]
-    close = [f[:8] + ("0" if i < 20 else "1") + f[9:] for i, f in enumerate(fill[:40])]
+    head, tail = draw(45), draw(46)
+    fill = [draw(9) for _ in range(3000)]
+    close = [f[:8] + "0" for f in fill[:200]]
     family = [head + f + tail for f in fill + close]
-    docs = [(i, "\n".join(family[i * 100 : i * 100 + 100])) for i in range(31)]
+    docs = [(i, "\n".join(family[i * 100 : i * 100 + 100])) for i in range(32)]
     got = {r["doc_id"]: r for r in lines.dedup(spark.createDataFrame(docs, SCHEMA)).collect()}
-    assert [got[i]["n_removed"] for i in range(31)] == [0] * 30 + [40]
-    assert all(got[i]["text"] == t for i, t in docs[:30]) and got[30]["text"] == ""
+    assert [got[i]["n_removed"] for i in range(32)] == [0] * 30 + [100] * 2
+    assert all(got[i]["text"] == t for i, t in docs[:30]) and got[30]["text"] == got[31]["text"] == ""
 
 
 def test_components(spark):

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.near import components, mixed, rolled, signatures
+from sievework.llm.near import components, forest, mixed, rolled, signatures
 from sievework.llm.shared import dropped, written
 
 WIDTH, SIMILARITY, TOLERANCE = 5, 0.8, 1e-4
@@ -64,23 +64,6 @@ def least_matches(threshold: float, tolerance: float, n: int = _HASHES, step: in
     return tuple(out)
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """(node, root) of the components that the edges make of 0..n-1, roots themselves left out."""
-    up = list(range(n))
-
-    def top(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        p, q = top(x), top(y)
-        if p != q:
-            up[max(p, q)] = min(p, q)
-    return [(x, top(x)) for x in range(n) if up[x] != x]
-
-
 def survivors(left: np.ndarray, right: np.ndarray | None, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of two signature tables (or of one, each pair once) that are never dropped."""
     other = left if right is None else right
@@ -174,7 +157,7 @@ def candidates(classes: DataFrame, similarity: float, tolerance: float) -> DataF
                 p, q = x[p], y[q]
             else:
                 p, q = survivors(sig, None, similarity, tolerance)
-            tree = _forest(len(nodes), p, q)
+            tree = forest(len(nodes), p, q)
             if tree:
                 n, r = np.array(tree).T
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[n]), pa.array(nodes[r])], ["a", "b"])
@@ -215,7 +198,7 @@ def links(groups: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             if len(y):  # pairs within a block are counted where i = j
                 close[np.ix_(x, x)] = False
                 close[np.ix_(y, y)] = False
-            tree = dict(_forest(len(nodes), *np.nonzero(np.triu(close))))
+            tree = dict(forest(len(nodes), *np.nonzero(np.triu(close))))
             counts = close.sum(axis=1)
             some = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(counts[some].astype(np.int64)), pa.array([int(nodes[tree[k]]) if k in tree else None for k in some.tolist()], pa.int64())], ["class", "n", "up"])

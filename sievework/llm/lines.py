@@ -2,18 +2,21 @@
 
 Lines are compared lower-cased, with runs of white space as one space. Their shingles are ``width`` characters (a
 shorter line is one shingle). Signatures are cut into ``bands`` of ``rows`` values; at a Jaccard similarity of 0.8 two
-lines share a band with probability 1 - (1 - 0.8 ** rows) ** bands, 0.99995 by default. Each two lines of a band's bucket are
-compared, unless they are known to be of one component. First a line is tied to the bucket's first ``HEADS`` lines and to
-the line before it, in an order of the bucket's own, which is all of a small bucket. The shuffle is sorted, so a bucket
-of any size streams through its task. Each task leaves out lines it has met before, which takes the copies of a hot line
-out ahead of the shuffle. Then the larger buckets whose lines are not of one component yet are dealt out as pairs of
-blocks, and within those every two lines are compared. Ties are verified by the exact Jaccard similarity of the two lines'
-shingles, and distributed union-find joins what is left into components. Of each component the line that comes first
-by (doc_id, text hash, line number) stays.
+lines share a band with probability 1 - (1 - 0.8 ** rows) ** bands, 0.99995 by default. Each two lines of a band's
+bucket are compared, unless they are known to be of one component. In a bucket of up to ``SMALL`` lines all pairs are
+candidates; in a larger one each line is tied to the first ``HEADS`` and to the one before it. Candidates are verified by
+the exact Jaccard similarity of the two lines' shingles, and distributed union-find joins what is left into components.
+Then the larger buckets whose lines are not of one component yet are dealt out as pairs of blocks, and within those
+every two lines of different components are compared, so no bucket's size takes links away. Of each component the line
+that comes first by (doc_id, text hash, line number) stays.
+
+Bands move as packed arrays, a share of all buckets in a row, and tasks leave out lines they have met before, which
+takes the copies of a hot line out ahead of the shuffle. A share of too many entries is worked off in pieces, between
+which only a large bucket's first lines are kept in memory; its others have gone out as rows by then.
 
 Edge cases: lines without a visible character are kept as they are; a null text stays null; null ids come first; rows
-that repeat both id and text are one document and end up alike; lines of any length are compared whole; extra columns
-pass through.
+that repeat both id and text are one document and end up alike; lines of any length are compared whole; lines are told
+apart by 128-bit hashes; extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,22 +25,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.jaccard import _dealt, _forest, _runs, _sides
-from sievework.llm.near import components, mixed, rolled, short_signatures
-from sievework.llm.shared import written
+from sievework.llm.jaccard import _dealt, _runs, _sides
+from sievework.llm.near import components, forest, mixed, rolled, short_signatures, thinned
+from sievework.llm.shared import PACKED, by_part, dropped, packed, parts_of, written
 
 WIDTH, BANDS, ROWS, SIMILARITY = 8, 14, 3, 0.8
-#: Members of a bucket to which each later one is tied at first.
-HEADS = 16
+#: Lines of a bucket of which all pairs are candidates, and those of a larger one to which each other line is tied.
+SMALL, HEADS = 6, 2
 _KEYS = ["_row1", "_row2"]
 
 
-def normal(line: Column) -> Column:
-    plain = ~line.rlike(r"(?U)\s\s|[\s&&[^ ]]")
-    return F.trim(F.lower(F.when(plain, line).otherwise(F.regexp_replace(line, r"(?U)\s+", " "))))
+def normal(line: str) -> str:
+    return " ".join(line.lower().split())
 
 
 def shingles(line: str, width: int) -> np.ndarray:
@@ -45,90 +48,148 @@ def shingles(line: str, width: int) -> np.ndarray:
     return rolled(codes, min(width, max(1, len(codes))))
 
 
-def _lines(rows: DataFrame) -> DataFrame:
-    """One row per visible line: row keys, line_no, line (normal form) and its key."""
-    split = rows.select("doc_id", *_KEYS, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    return split.select("doc_id", *_KEYS, "line_no", normal(F.col("raw")).alias("line")).filter("line <> ''").withColumn("key", F.xxhash64("line"))
+LISTED = "_row1 long, _row2 long, doc_id {kind}, numbers array<int>, keys array<long>, checks array<long>, fresh array<struct<key:long,check:long,line:string>>"
+
+
+def listed(rows: DataFrame) -> DataFrame:
+    """For each document the numbers of its visible lines with the two halves of their hashes, and the lines (in normal
+    form) that its task had not met before."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                numbers, keys, checks, ends = [], [], [], [0]
+                fresh, new_ends = ([], [], []), [0]
+                if len(seen) > 400_000:
+                    seen.clear()
+                for text in batch.column("text").to_pylist():
+                    for i, raw in enumerate(text.split("\n") if text else ()):
+                        line = normal(raw)
+                        if not line:
+                            continue
+                        h = xxhash.xxh3_128_intdigest(line)
+                        key, check = (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)
+                        numbers.append(i)
+                        keys.append(key)
+                        checks.append(check)
+                        if h not in seen:
+                            seen.add(h)
+                            for out, x in zip(fresh, (key, check, line), strict=True):
+                                out.append(x)
+                    ends.append(len(keys))
+                    new_ends.append(len(fresh[0]))
+                cuts, new_cuts = pa.array(ends, pa.int32()), pa.array(new_ends, pa.int32())
+                lines = pa.StructArray.from_arrays([pa.array(fresh[0], pa.int64()), pa.array(fresh[1], pa.int64()), pa.array(fresh[2], pa.string())], ["key", "check", "line"])
+                yield pa.RecordBatch.from_arrays([
+                    *(batch.column(k) for k in (*_KEYS, "doc_id")), pa.ListArray.from_arrays(cuts, pa.array(numbers, pa.int32())),
+                    pa.ListArray.from_arrays(cuts, pa.array(keys, pa.int64())), pa.ListArray.from_arrays(cuts, pa.array(checks, pa.int64())), pa.ListArray.from_arrays(new_cuts, lines),
+                ], [*_KEYS, "doc_id", "numbers", "keys", "checks", "fresh"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select(*_KEYS, "doc_id", "text").mapInArrow(read, LISTED.format(kind=kind))
+
+
+def _paired(bucket: np.ndarray, key: np.ndarray, large: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Candidates (a, b) among the members of buckets; places of members of large buckets, and of those that lead them;
+    and the sorted members. Buckets in ``large`` are so from before."""
+    order = np.lexsort((key, bucket))
+    bucket, key = bucket[order], key[order]
+    new = np.ones(len(bucket), bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])
+    bucket, key = bucket[new], key[new]
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    sizes = np.diff(starts, append=len(bucket))
+    some = np.repeat((sizes > 1) | np.isin(bucket[starts], large), sizes)
+    size, start = np.repeat(sizes, sizes)[some], np.repeat(starts, sizes)[some]
+    at = np.flatnonzero(some)
+    place = at - start
+    big = (size > SMALL) | np.isin(bucket[at], large)
+    left, right = [], []
+    for d in range(1, SMALL):
+        i = np.flatnonzero(~big & (place >= d))
+        left.append(at[i] - d)
+        right.append(at[i])
+    for h in range(HEADS):
+        i = np.flatnonzero(big & (place > h))
+        left.append(start[i] + h)
+        right.append(at[i])
+    i = np.flatnonzero(big & (place > HEADS))
+    left.append(at[i] - 1)
+    right.append(at[i])
+    return key[np.concatenate(left)], key[np.concatenate(right)], at[big], at[big & (place < HEADS)], bucket, key
 
 
 def ties(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """Candidate pairs (a, b) of line keys, and each member ``a`` of a ``bucket`` in which these are not all pairs."""
+    parts = parts_of(lines.sparkSession)
+    step = (1 << 64) // parts + 1
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        count = 0
+
+        def flush() -> pa.RecordBatch:
+            bucket, key = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.argsort(bucket)
+            return packed((bucket[order] // np.uint64(step)).astype(np.int64), [bucket[order], key[order]])
+
         for batch in batches:
-            keys, todo, texts = batch.column("key").to_pylist(), [], []
-            if len(seen) > 200_000:
-                seen.clear()
-            for i, k in enumerate(keys):
-                if k not in seen:
-                    seen.add(k)
-                    todo.append(k)
-                    texts.append(batch.column("line")[i].as_py())
-            at = 0
+            keys, texts, at = np.asarray(batch.column("key")), batch.column("line").to_pylist(), 0
             while at < len(texts):  # about 2 ** 17 characters at a time
-                end, held = at, 0
-                while end < len(texts) and (end == at or held + len(texts[end]) < 1 << 17):
-                    held += len(texts[end])
+                end, size = at, 0
+                while end < len(texts) and (end == at or size + len(texts[end]) < 1 << 17):
+                    size += len(texts[end])
                     end += 1
-                yield _buckets(np.array(todo[at:end], np.int64), texts[at:end], width, bands, rows)
+                found = _buckets(texts[at:end], width, bands, rows)
+                held.append((found.ravel(), np.repeat(keys[at:end], bands)))
+                count += len(held[-1][0])
                 at = end
-
-    def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket: int | None = None
-        members: list[int] = []  # the first HEADS of the bucket, and behind them the last one
-        first: list[int] | None = []  # all members so far; None once the bucket is known to be large
-        for batch in batches:
-            b, k = np.asarray(batch.column("bucket")), np.asarray(batch.column("key"))
-            if not len(b):
-                continue
-            # Most buckets hold one line: only rows beside another line of their bucket are looked at one by one.
-            same = (b[1:] == b[:-1]) & (k[1:] != k[:-1])
-            busy = np.concatenate([[True], same]) | np.concatenate([same, [True]])
-            pairs: list[tuple[int, int]] = []
-            large: list[tuple[int, int]] = []
-            for x, key in zip(b[busy].tolist(), k[busy].tolist(), strict=True):
-                if x != bucket:
-                    bucket, members, first = x, [key], [key]
-                elif key != members[-1]:
-                    pairs += [(min(m, key), max(m, key)) for m in members]
-                    del members[HEADS:]
-                    members.append(key)
-                    if first is None:
-                        large.append((x, key))
-                    else:
-                        first.append(key)
-                        if len(first) > HEADS + 1:
-                            large += [(x, m) for m in first]
-                            first = None
-            if pairs:
-                a, z = np.array(pairs, np.int64).T
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(z), pa.nulls(len(a), pa.int64())], ["a", "b", "bucket"])
-            if large:
-                z, a = np.array(large, np.int64).T
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.nulls(len(a), pa.int64()), pa.array(z)], ["a", "b", "bucket"])
-
-    made = lines.select("key", "line").mapInArrow(banded, "bucket long, key long")
-    return made.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("bucket", "key"), "key").mapInArrow(tied, "a long, b long, bucket long").distinct()
-
-
-def _buckets(keys: np.ndarray, texts: list[str], width: int, bands: int, rows: int) -> pa.RecordBatch:
+                if count > 1 << 20:
+                    yield flush()
+                    count = 0
+        if held:
+            yield flush()
+
+    state: dict = {}
+
+    def tied(part: int, arrays: list[np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
+        bucket, key = (np.concatenate([a, b]) for a, b in zip(arrays, state.pop("heads", (np.zeros(0, np.uint64), np.zeros(0, np.int64))), strict=True))
+        known = state.pop("large", np.zeros(0, np.uint64))
+        a, b, large, heads, bucket, key = _paired(bucket, key, known)
+        if not last:
+            rest = ~np.isin(bucket, bucket[large])
+            state["heads"] = tuple(np.concatenate([x[heads], x[rest]]) for x in (bucket, key))
+            state["large"] = np.unique(np.concatenate([known, bucket[large]]))
+        if len(a):
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(len(pairs[0]), pa.int64())], ["a", "b", "bucket"])
+        if len(large):
+            yield pa.RecordBatch.from_arrays([pa.array(key[large]), pa.nulls(len(large), pa.int64()), pa.array(bucket[large].view(np.int64))], ["a", "b", "bucket"])
+
+    made = lines.select("key", "line").mapInArrow(banded, PACKED)
+    return by_part(made, tied, [np.uint64, np.int64], "a long, b long, bucket long").distinct()
+
+
+def _hashes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of texts of at least ``width`` characters, one after the other, and how many each has."""
+    sizes = np.array([len(t) for t in texts])
+    h = rolled(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64), width)
+    whole = np.ones(int(sizes.sum()), bool)  # but shingles that would run into the next text
+    ends = np.cumsum(sizes)
+    for k in range(1, width):
+        whole[ends - k] = False
+    return h[whole[: len(h)]], sizes - width + 1
+
+
+def _buckets(texts: list[str], width: int, bands: int, rows: int) -> np.ndarray:
+    """Names of the buckets of each text, one a band."""
     long = np.array([len(t) >= width for t in texts])
-    hashes: list[np.ndarray] = []
-    if long.any():
-        joined = [t for t, ok in zip(texts, long, strict=True) if ok]
-        sizes = np.array([len(t) for t in joined])
-        codes = np.frombuffer("".join(joined).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        h = rolled(codes, width)
-        whole = np.ones(len(codes), bool)  # shingles that would run into the next line
-        ends = np.cumsum(sizes)
-        for k in range(1, width):
-            whole[ends - k] = False
-        h = h[whole[: len(h)]]
-        sig_long = short_signatures(h, sizes - width + 1, bands * rows)
     sig = np.empty((len(texts), bands * rows), np.uint32)
     if long.any():
-        sig[long] = sig_long
+        sig[long] = short_signatures(*_hashes([t for t, ok in zip(texts, long, strict=True) if ok], width), bands * rows)
     if not long.all():
         hashes = [shingles(t, width) for t, ok in zip(texts, long, strict=True) if not ok]
         sig[~long] = short_signatures(np.concatenate(hashes), np.array([len(x) for x in hashes]), bands * rows)
@@ -138,25 +199,63 @@ def _buckets(keys: np.ndarray, texts: list[str], width: int, bands: int, rows: i
         for r in range(rows):
             h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + sig[:, b * rows + r])
         out[:, b] = h
-    return pa.RecordBatch.from_arrays([pa.array(out.ravel().view(np.int64)), pa.array(np.repeat(keys, bands))], ["bucket", "key"])
+    return out
 
 
-def verified(pairs: DataFrame, lines: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs whose lines' shingle sets have at least ``similarity``."""
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    texts = written(lines.select("key", "line").join(wanted, "key").dropDuplicates(["key"]), "lines")
+def close(xs: list[str], ys: list[str], width: int, similarity: float) -> np.ndarray:
+    """Whether the shingle sets of each two texts have at least ``similarity``; up to 1024 pairs. Texts under ``width``
+    have one shingle, which different texts don't share. A pair's shingles are compared by 54 bits of their hashes."""
+    out = np.zeros(len(xs), bool)
+    some = np.flatnonzero([min(len(x), len(y)) >= width for x, y in zip(xs, ys, strict=True)])
+    if not len(some):
+        return out
+    sides = []
+    for texts in (xs, ys):
+        h, n = _hashes([texts[i] for i in some], width)
+        sides.append(np.unique(np.repeat(np.arange(len(some), dtype=np.uint64), n) << np.uint64(54) | h >> np.uint64(10)))
+    count = lambda x: np.bincount((x >> np.uint64(54)).astype(np.int64), minlength=len(some))
+    x, y, both = count(sides[0]), count(sides[1]), count(np.intersect1d(*sides, assume_unique=True))
+    out[some] = both >= similarity * (x + y - both)
+    return out
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Edges (a, b) that connect what the pairs of at least ``similarity`` connect: each task thins its own out."""
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("key").alias("b"), F.col("line").alias("y")), "b")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        count = 0
+
+        def flush() -> pa.RecordBatch:
+            a, b = thinned(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                p, q = (np.unique(shingles(t.as_py(), width)) for t in (x, y))
-                n = 0 if min(len(p), len(q)) < similarity * max(len(p), len(q)) else len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(n >= similarity * (len(p) + len(q) - n))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            xs, ys = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            a, b, at = np.asarray(batch.column("a")), np.asarray(batch.column("b")), 0
+            while at < len(xs):
+                end, size = at, 0
+                while end < len(xs) and (end == at or end - at < 1024 and size < 1 << 18):
+                    size += len(xs[end]) + len(ys[end])
+                    end += 1
+                on = close(xs[at:end], ys[at:end], width, similarity)
+                held.append((a[at:end][on], b[at:end][on]))
+                count += int(on.sum())
+                at = end
+            if count > 1 << 20:
+                yield flush()
+                count = 0
+        if held:
+            yield flush()
+
+    return both.select("a", "b", "x", "y").mapInArrow(exact, "a long, b long").distinct()
+
 
-    return both.select("a", "b", "x", "y").mapInArrow(exact, "a long, b long")
+def chosen(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """One line (key, check, line) for each of the distinct ``keys``."""
+    return written(lines.join(keys, "key").dropDuplicates(["key"]), "lines")
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -182,15 +281,16 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def bridges(members: DataFrame, roots: DataFrame, lines: DataFrame, width: int, similarity: float) -> DataFrame:
+def bridges(members: DataFrame, roots: DataFrame, lines: DataFrame, width: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between the components ``roots`` (node, root) that are missing among the ``members`` (bucket, key) of
-    large buckets: a spanning forest for each pair of blocks, by the exact similarity of each two lines."""
+    large buckets, by the exact similarity of each two lines: a spanning forest for each pair of blocks. Also the lines
+    that were compared."""
     placed = members.join(roots, F.col("key") == F.col("node"), "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     placed = written(placed, "members")
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket", "n")
     sizes = written(sizes, "large")
     open_ = placed.join(sizes.select("bucket"), "bucket")
-    texts = written(lines.select("key", "line").join(open_.select("key").distinct(), "key").dropDuplicates(["key"]), "lines")
+    texts = chosen(lines, open_.select("key").distinct())
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _runs(batches, ["bucket", "i", "j"]):
@@ -208,41 +308,61 @@ def bridges(members: DataFrame, roots: DataFrame, lines: DataFrame, width: int,
             sets = [np.unique(shingles(k, width)) for k in t.column("line").to_pylist()]
             n = np.array([len(k) for k in sets])
             same = _common([sets[k] for k in x], [sets[k] for k in y])
-            close = (same >= similarity * (n[x][:, None] + n[y][None, :] - same)) & (known[x][:, None] != known[y][None, :])
-            p, q = np.nonzero(close)
-            tree = _forest(len(names), known[x[p]], known[y[q]])
+            near = (same >= similarity * (n[x][:, None] + n[y][None, :] - same)) & (known[x][:, None] != known[y][None, :])
+            p, q = np.nonzero(near)
+            tree = forest(len(names), known[x[p]], known[y[q]])
             if tree:
                 a, b = np.array(tree).T
                 yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
 
-    dealt = _dealt(open_.join(texts, "key"), "bucket", "key", sizes)
-    return dealt.select("bucket", "i", "j", "own", "root", "line").mapInArrow(exact, "a long, b long").distinct()
+    dealt = _dealt(open_.join(texts.select("key", "line"), "key"), "bucket", "key", sizes)
+    return dealt.select("bucket", "i", "j", "own", "root", "line").mapInArrow(exact, "a long, b long").distinct(), texts
+
+
+def _cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """Texts without the lines of the given numbers, visible lines before, and lines taken out."""
+    out: tuple[list, list, list] = ([], [], [])
+    for text, numbers in zip(texts.to_pylist(), gone.to_pylist(), strict=True):
+        lines, away = (text or "").split("\n"), set(numbers or ())
+        out[0].append("\n".join([x for i, x in enumerate(lines) if i not in away]) if away else text)
+        out[1].append(sum(1 for x in lines if x and not x.isspace()))
+        out[2].append(len(away))
+    return pa.StructArray.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())], ["text", "n_lines", "n_removed"])
 
 
 def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the lines that are not their component's first taken out of ``text``, and n_lines, n_removed
-    (long): visible lines before, and lines taken out."""
-    source = docs.withColumns({"_row1": F.xxhash64("doc_id", F.col(f"`{text}`")), "_row2": F.xxhash64(F.col(f"`{text}`"), "doc_id", F.lit(1))})
-    lines = _lines(source.select("doc_id", *_KEYS, F.col(f"`{text}`").cast("string").alias("text")))
+    (long): visible lines before, and lines taken out. Columns of ``docs`` of these two names give way."""
+    spark, t = docs.sparkSession, F.col(f"`{text}`").cast("string")
+    keys = [F.xxhash64("doc_id", t).alias("_row1"), F.xxhash64(t, "doc_id", F.lit(1)).alias("_row2")]
+    places = written(listed(docs.select(*keys, "doc_id", t.alias("text"))), "places")
+    lines = places.select(F.explode("fresh").alias("f")).select("f.*")
     tied = written(ties(lines, width, bands, rows), "ties")
     pairs, members = tied.filter("b is not null").select("a", "b"), tied.filter("b is null").select("bucket", F.col("a").alias("key"))
-    roots = components(written(verified(pairs, lines, width, similarity), "links"))
+    texts = chosen(lines, pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    links = written(verified(pairs, texts, width, similarity), "links")
+    compared = texts.select("key", "check")
+    roots = written(components(links), "roots")
     if not members.isEmpty():
-        roots = written(roots, "roots")
-        more = components(written(bridges(members, roots, lines, width, similarity), "links"))
-        more = more.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        roots = roots.join(more, "root", "full").select(F.coalesce("node", "root").alias("node"), F.coalesce("top", "root").alias("root"))
-    placed = lines.select("doc_id", *_KEYS, "line_no", "key").distinct().join(roots, F.col("key") == F.col("node"), "left")
-    placed = written(placed.select("doc_id", *_KEYS, "line_no", F.coalesce("root", "key").alias("root")), "places")
+        crossed, more_texts = bridges(members, roots, lines, width, similarity)
+        crossed = written(crossed, "links")
+        if not crossed.isEmpty():
+            more = components(crossed).select(F.col("node").alias("root"), F.col("root").alias("top"))
+            roots = written(roots.join(more, "root", "full").select(F.coalesce("node", "root").alias("node"), F.coalesce("top", "root").alias("root")), "roots")
+            compared = compared.unionByName(more_texts.select("key", "check")).dropDuplicates(["key"])
+    named = written(roots.join(compared, F.col("node") == F.col("key")).select("key", "check", "root"), "named")
+    dropped(spark, texts, tied, links)
+    at = places.select("doc_id", *_KEYS, F.explode(F.arrays_zip("numbers", "keys", "checks")).alias("l")).select("doc_id", *_KEYS, F.col("l.numbers").alias("line_no"), F.col("l.keys").alias("key"), F.col("l.checks").alias("check"))
+    # A component is named by its root and a zero, any other line by the two halves of its hash.
+    placed = at.distinct().join(named, ["key", "check"], "left").select(
+        "doc_id", *_KEYS, "line_no", F.coalesce("root", "key").alias("name"), F.when(F.col("root").isNull(), F.col("check")).otherwise(F.lit(0)).alias("more"))
+    placed = written(placed, "placed")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", *_KEYS, "line_no")
-    firsts = placed.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("root", "first")
-    gone = placed.join(firsts, "root").filter(~place.eqNullSafe(F.col("first"))).groupBy(*_KEYS).agg(F.map_from_arrays(F.collect_set("line_no"), F.transform(F.collect_set("line_no"), lambda x: F.lit(True))).alias("_gone"))
-    joined = source.join(gone, _KEYS, "left")
-    split = F.split(F.col(f"`{text}`"), "\n", -1)
-    kept = F.filter(split, lambda x, i: F.try_element_at(F.col("_gone"), i).isNull())
-    return joined.withColumns({
-        "n_lines": F.coalesce(F.size(F.filter(split, lambda x: x.rlike(r"(?U)\S"))), F.lit(0)).cast("long"),
-        "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-        text: F.when(F.size("_gone") > 0, F.array_join(kept, "\n")).otherwise(F.col(f"`{text}`")),
-    }).drop(*_KEYS, "_gone")
-
+    firsts = placed.groupBy("name", "more").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("name", "more", "first")
+    gone = placed.join(firsts, ["name", "more"]).filter(~place.eqNullSafe(F.col("first"))).groupBy(*_KEYS).agg(F.collect_set("line_no").alias("numbers"))
+    gone = gone.select(F.struct(*_KEYS).alias("key"), "numbers")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.struct(*keys).alias("key"))
+    cutter = F.arrow_udf(_cut, "struct<text:string,n_lines:long,n_removed:long>")
+    cut = whole.join(gone, "key", "left").select("d", cutter(F.col("d").getField(text).cast("string"), F.col("numbers")).alias("c"))
+    own = [F.col("c.text").alias(text) if c == text else F.col("d").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return cut.select(*own, "c.n_lines", "c.n_removed")

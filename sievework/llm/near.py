@@ -1,4 +1,8 @@
-"""What the near-duplicate operators share: shingle hashes, MinHash signatures and distributed union-find."""
+"""What the near-duplicate operators share: shingle hashes, MinHash signatures and distributed union-find.
+
+Edge cases: an array shorter than a window has no hashes; edges of a node with itself and repeated edges count once or
+not at all; no edges give no components.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import written
+from sievework.llm.shared import dropped, written
 
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -57,6 +61,30 @@ def short_signatures(hashes: np.ndarray, sizes: np.ndarray, n: int) -> np.ndarra
     return out
 
 
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """(node, root) of the components that the edges make of 0..n-1, roots themselves left out."""
+    up = list(range(n))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = top(x), top(y)
+        if p != q:
+            up[max(p, q)] = min(p, q)
+    return [(x, top(x)) for x in range(n) if up[x] != x]
+
+
+def thinned(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer edges that connect the same nodes."""
+    names, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    tree = np.array(forest(len(names), places[: len(a)], places[len(a) :]), np.int64).reshape(-1, 2)
+    return names[tree[:, 0]], names[tree[:, 1]]
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
@@ -76,7 +104,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         hung = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        now = written(hung.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+        last, now = now, written(hung.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+        dropped(edges.sparkSession, last)
         after = _mark(now)
         if after == before:
             break

@@ -1,20 +1,29 @@
-"""Tables and folders in the place that driver and executors share."""
+"""Tables and folders in the place that driver and executors share, and shuffles of packed arrays.
+
+Edge cases: an empty table is written and read back with its schema; a packed shuffle of no arrays has no rows.
+"""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names; where that is unset, as in tests, in one of our
-    own making."""
+    """A new path in the folder that ``spark.checkpoint.dir`` names. Where that is unset and all tasks run on this
+    machine, as in tests, in a folder of our own making; elsewhere an unset folder is an error."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="sievework-"))
         base = _own[0]
@@ -38,3 +47,48 @@ def dropped(spark: SparkSession, *tables: DataFrame) -> None:
         for parent in {f.rpartition("/")[0] for f in table.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(parent)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+PACKED = "part int, arrays array<binary>"
+
+
+def parts_of(spark: SparkSession, each: int = 4) -> int:
+    """Number of parts of a packed shuffle: several to a shuffle partition, so that one part is a small share."""
+    return each * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def packed(part: np.ndarray, arrays: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each part that occurs: its slice of each array, as bytes. ``part`` is sorted."""
+    cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    ends = np.concatenate([cuts[1:], [len(part)]])
+    rows = [[a[s:e].tobytes() for a in arrays] for s, e in zip(cuts.tolist(), ends.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(part[cuts].astype(np.int32)), pa.array(rows, pa.list_(pa.binary()))], ["part", "arrays"])
+
+
+def by_part(df: DataFrame, reduce: Callable[[int, list[np.ndarray]], Iterator[pa.RecordBatch]], kinds: list, schema: str, most: int = 1 << 22) -> DataFrame:
+    """Shuffle packed rows by part and give ``reduce`` the number and the arrays of each part, as ``kinds`` of numbers;
+    a part of over ``most`` entries comes in pieces, each marked by a third argument that tells whether it is the last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, count = None, [], 0
+
+        def arrays() -> list[np.ndarray]:
+            out = [np.concatenate([np.frombuffer(row[i], k) for row in held]) for i, k in enumerate(kinds)]
+            held.clear()
+            return out
+
+        for batch in batches:
+            for p, row in zip(batch.column("part").to_pylist(), batch.column("arrays").to_pylist(), strict=True):
+                if held and p != now:
+                    yield from reduce(now, arrays(), True)
+                    count = 0
+                elif count > most:
+                    yield from reduce(now, arrays(), False)
+                    count = 0
+                now = p
+                held.append(row)
+                count += len(row[0]) // np.dtype(kinds[0]).itemsize
+        if held:
+            yield from reduce(now, arrays(), True)
+
+    return df.repartition("part").sortWithinPartitions("part").mapInArrow(run, schema)

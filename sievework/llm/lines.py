@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.jaccard import _dealt, _runs, _sides
-from sievework.llm.near import components, forest, mixed, rolled, short_signatures, thinned
+from sievework.llm.near import components, distinct, forest, mixed, rolled, short_signatures, thinned
 from sievework.llm.shared import PACKED, by_part, dropped, packed, parts_of, written
 
 WIDTH, BANDS, ROWS, SIMILARITY = 8, 14, 3, 0.8
@@ -162,10 +162,13 @@ def ties(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
         if not last:
             rest = ~np.isin(bucket, bucket[large])
             state["heads"] = tuple(np.concatenate([x[heads], x[rest]]) for x in (bucket, key))
-            state["large"] = np.unique(np.concatenate([known, bucket[large]]))
+            state["large"] = distinct(np.concatenate([known, bucket[large]]))
         if len(a):
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(len(pairs[0]), pa.int64())], ["a", "b", "bucket"])
+            a, b = np.minimum(a, b), np.maximum(a, b)
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.nulls(int(new.sum()), pa.int64())], ["a", "b", "bucket"])
         if len(large):
             yield pa.RecordBatch.from_arrays([pa.array(key[large]), pa.nulls(len(large), pa.int64()), pa.array(bucket[large].view(np.int64))], ["a", "b", "bucket"])
 
@@ -212,7 +215,7 @@ def close(xs: list[str], ys: list[str], width: int, similarity: float) -> np.nda
     sides = []
     for texts in (xs, ys):
         h, n = _hashes([texts[i] for i in some], width)
-        sides.append(np.unique(np.repeat(np.arange(len(some), dtype=np.uint64), n) << np.uint64(54) | h >> np.uint64(10)))
+        sides.append(distinct(np.repeat(np.arange(len(some), dtype=np.uint64), n) << np.uint64(54) | h >> np.uint64(10)))
     count = lambda x: np.bincount((x >> np.uint64(54)).astype(np.int64), minlength=len(some))
     x, y, both = count(sides[0]), count(sides[1]), count(np.intersect1d(*sides, assume_unique=True))
     out[some] = both >= similarity * (x + y - both)
@@ -262,7 +265,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Number of common elements of each set of ``left`` with each of ``right``."""
     out, width = np.zeros((len(left), len(right)), np.float32), 2048
     p, q = np.concatenate(left), np.concatenate(right)
-    both = np.intersect1d(p, q)
+    both = np.intersect1d(distinct(p), distinct(q), assume_unique=True)
     sides = []
     for h, sets in ((p, left), (q, right)):
         row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
@@ -305,7 +308,7 @@ def bridges(members: DataFrame, roots: DataFrame, lines: DataFrame, width: int,
                 y = x
             elif not len(x):
                 continue
-            sets = [np.unique(shingles(k, width)) for k in t.column("line").to_pylist()]
+            sets = [distinct(shingles(k, width)) for k in t.column("line").to_pylist()]
             n = np.array([len(k) for k in sets])
             same = _common([sets[k] for k in x], [sets[k] for k in y])
             near = (same >= similarity * (n[x][:, None] + n[y][None, :] - same)) & (known[x][:, None] != known[y][None, :])

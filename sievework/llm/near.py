@@ -24,14 +24,28 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def rolled(codes: np.ndarray, width: int) -> np.ndarray:
-    """A hash of the ``width`` numbers from each place of an array."""
+    """A hash of the ``width`` numbers from each place of an array, put together from those of powers of two."""
     if len(codes) < width:
         return np.zeros(0, np.uint64)
-    n = len(codes) - width + 1
-    h = np.zeros(n, np.uint64)
-    for k in range(width):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + n]
-    return mixed(h)
+    base, part, size, out, done = 0x9E3779B97F4A7C15, codes.astype(np.uint64), 1, None, 0
+    while True:
+        if width & size:
+            if out is None:
+                out, done = part, size
+            else:
+                n = len(codes) - done - size + 1
+                out = out[:n] * np.uint64(pow(base, size, 1 << 64)) + part[done : done + n]
+                done += size
+            if done == width:
+                return mixed(out)
+        part = part[:-size] * np.uint64(pow(base, size, 1 << 64)) + part[size:]
+        size *= 2
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers; by sorting, which is faster here than numpy's table of hashes."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 @lru_cache(4)

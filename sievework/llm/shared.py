@@ -32,14 +32,24 @@ def folder(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: its lineage is cut, and it outlives executors.
-    Asking the driver's JVM to collect garbage lets Spark delete the shuffle files that led to the table."""
+    Asking the driver's JVM to collect garbage, before and after, lets Spark delete shuffle files that led to this
+    table or an earlier one; results don't depend on it."""
     spark = df.sparkSession
     path = folder(spark, name)
+    spark.sparkContext._jvm.System.gc()
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def dropped(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete written tables that nothing will read again."""
     jvm = spark.sparkContext._jvm

@@ -2,7 +2,8 @@
 
 Texts are sets of ``width``-word shingles; texts with equal sets are one class and only its representative is joined.
 Representatives are banded by MinHash: at a Jaccard similarity of 0.8 two share one of ``BANDS`` bands of ``ROWS``
-values with probability 1 - (1 - 0.8 ** ROWS) ** BANDS, 0.99997. Within a bucket MinHash values are compared
+values with probability 1 - (1 - 0.8 ** ROWS) ** BANDS, 0.99997, and such a pair passes all looks of the pruning with
+0.9994, so one at exactly the threshold is tied with 0.9993 and closer ones more surely. Within a bucket MinHash values are compared
 ``STEP`` at a time; with m of k values equal the similarity has a Beta(m + 1, k - m + 1) posterior under a flat prior,
 and a pair is dropped as soon as the probability of reaching the threshold falls below ``tolerance``. What is left of
 a bucket leaves it as a spanning forest, and distributed union-find joins the forests into groups. In each group the
@@ -28,8 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.near import components, forest, mixed, rolled, signatures
-from sievework.llm.shared import dropped, written
+from sievework.llm.near import components, distinct, forest, mixed, rolled, signatures
+from sievework.llm.shared import dropped, fresh, written
 
 WIDTH, SIMILARITY, TOLERANCE = 5, 0.8, 1e-4
 BANDS, ROWS, STEP, BLOCK = 20, 4, 10, 512
@@ -43,7 +44,7 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
         return np.zeros(0, np.uint64)
     known: dict[str, int] = {}
     codes = np.fromiter((known.get(w) or known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words), np.uint64, len(words))
-    return np.unique(rolled(codes, min(width, len(words))))
+    return distinct(rolled(codes, min(width, len(words))))
 
 
 @lru_cache(8)
@@ -224,7 +225,8 @@ def join(docs: DataFrame, text: str = "text", width: int = WIDTH, similarity: fl
                 yield pa.RecordBatch.from_arrays([b.column("class"), pa.array([shingle_set(x.as_py(), width).tobytes() for x in b.column("text")], pa.binary())], ["class", "shingles"])
 
     chosen = groups.select(F.col("node").alias("class")).join(classes.select("class", "row"), "class")
-    sets = written(rows.select("row", "text").join(chosen, "row").dropDuplicates(["class"]).select("class", "text").mapInArrow(shingled, "class long, shingles binary"), "sets")
+    # Texts are shuffled at every size: the chosen rows grow with the input, so a broadcast that fits today would not last.
+    sets = written(rows.select("row", "text").join(chosen.hint("merge"), "row").dropDuplicates(["class"]).select("class", "text").mapInArrow(shingled, "class long, shingles binary"), "sets")
     found = written(links(groups, sets, similarity), "links")
     dropped(docs.sparkSession, sets)
     roots = components(found.filter("up is not null").select(F.col("class").alias("a"), F.col("up").alias("b")))
@@ -239,6 +241,7 @@ def first_of_each(docs: DataFrame, text: str = "text", similarity: float = SIMIL
     """One row of ``docs`` of each class, the one with the least id, with the columns of ``docs``; a row without an id
     only where its class has no other."""
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    keep = join(docs, text, similarity=similarity).groupBy("root").agg(best.alias("best")).select(F.col("best.row").alias("_row"))
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", F.col(f"`{text}`").cast("string")))
-    return keyed.join(keep, "_row", "left_semi").dropDuplicates(["_row"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    row = fresh(docs, "_row")
+    keep = join(docs, text, similarity=similarity).groupBy("root").agg(best.alias("best")).select(F.col("best.row").alias(row))
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", F.col(f"`{text}`").cast("string")))
+    return keyed.join(keep, row, "left_semi").dropDuplicates([row]).select(*(F.col(f"`{c}`") for c in docs.columns))

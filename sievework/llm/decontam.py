@@ -4,8 +4,8 @@ A short item inside a long document has a high containment but a tiny Jaccard si
 serve all documents. Documents are partitioned by the power of two above their number of shingles, and each partition
 has its own one-permutation MinHash sketch: the smallest hash of each of ``2 ** (size + extra)`` bins. Items are
 partitioned by their own number of shingles, and sketched once for each document partition; small items get more bins.
-An item is a candidate for a document of which it shares a bin minimum. Candidates are then verified by exact shingle
-containment.
+An item is a candidate for a document of which it shares a bin minimum. Only documents with a candidate are cut into
+shingles again, and their candidates are verified by exact shingle containment.
 
 With ``extra`` bins a shingle of an item inside a document is the minimum of its bin with probability 1 - 2**-extra at
 least, so an item is missed only if all its shared shingles fail: under 1e-6 for each row of ``SIZES``.
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import written
+from sievework.llm.shared import fresh, written
 
 #: Items with at least so many shingles, up to the next row: further bins as a power of two, and rounds of hashing.
 SIZES = ((1, 10, 2), (4, 7, 1), (12, 3, 1))
@@ -77,7 +77,12 @@ def _joined(large: DataFrame, small: DataFrame, on: str, broadcast_rows: int) ->
 
 
 def _within(texts: DataFrame, items: DataFrame, width: int, parts: list[int], threshold: float, broadcast_rows: int) -> DataFrame:
-    docs = texts.select("doc_id", "doc_key", pinned(shingles(F.col("w"), width)).alias("h")).filter(F.size("h") > 0)
+    """Items of one width in ``texts`` (doc_id, doc_key, text): candidates by sketches, then only their texts are verified."""
+
+    def hashed(some: DataFrame) -> DataFrame:
+        cut = some.withColumn("w", pinned(words(F.col("text")))).select("doc_id", "doc_key", pinned(shingles(F.col("w"), width)).alias("h"))
+        return cut.filter(F.size("h") > 0)
+
     sketched = []
     for part in parts:
         most = SIZES[part + 1][0] - 1 if part + 1 < len(SIZES) else 1 << 30
@@ -87,10 +92,13 @@ def _within(texts: DataFrame, items: DataFrame, width: int, parts: list[int], th
     for more in sketched[1:]:
         known = known.unionByName(more)
     size = F.least(F.ceil(F.log2(F.size("h").cast("double"))).cast("int"), F.lit(LARGEST))
-    probes = _sketches(docs.select("doc_key", "h"), parts, lambda extra: size + extra)
+    probes = _sketches(hashed(texts).select("doc_key", "h"), parts, lambda extra: size + extra)
     pairs = _joined(probes, written(known.select("item_key", "minimum").distinct(), "item-sketches"), "minimum", broadcast_rows).select("doc_key", "item_key").distinct()
+    pairs = written(pairs, "candidates")
+    found = written(pairs.select("doc_key").distinct(), "candidate-documents")
+    verify = hashed(_joined(texts, found, "doc_key", broadcast_rows))
     listed = written(items.select("item_id", "item_key", "n_item", F.explode("h").alias("shingle")), "item-shingles")
-    hits = _joined(docs.select("doc_id", "doc_key", F.explode("h").alias("shingle")), listed, "shingle", broadcast_rows)
+    hits = _joined(verify.select("doc_id", "doc_key", F.explode("h").alias("shingle")), listed, "shingle", broadcast_rows)
     shared = hits.join(pairs, ["doc_key", "item_key"], "left_semi").groupBy("doc_id", "doc_key", "item_id", "item_key", "n_item").agg(F.countDistinct("shingle").alias("n_shared"))
     return shared.filter(F.col("n_shared") >= threshold * F.col("n_item")).select(
         "doc_id", "item_id", "doc_key", "n_shared", F.col("n_item").cast("long").alias("n_item"), (F.col("n_shared") / F.col("n_item")).alias("containment"))
@@ -106,7 +114,7 @@ def contained(docs: DataFrame, items: DataFrame, text: str = "text", threshold:
     for i in range(len(SIZES) - 1, 0, -1):
         part = F.when(F.col("n_item") < SIZES[i][0], i - 1).otherwise(part)
     kinds = known.select("width", part.alias("part")).distinct().collect()  # a few numbers: widths times rows of SIZES
-    texts = docs.select("doc_id", key_of(docs, text).alias("doc_key"), pinned(words(F.col(f"`{text}`"))).alias("w"))
+    texts = docs.select("doc_id", key_of(docs, text).alias("doc_key"), F.col(f"`{text}`").cast("string").alias("text"))
     empty = docs.select("doc_id").limit(0).join(items.select("item_id").limit(0), F.lit(True)).selectExpr(
         "doc_id", "item_id", "cast(0 as long) doc_key", "cast(0 as long) n_shared", "cast(0 as long) n_item", "cast(0 as double) containment")
     found = [_within(texts, known.filter(F.col("width") == k), k, sorted(r["part"] for r in kinds if r["width"] == k), threshold, broadcast_rows) for k in sorted({r["width"] for r in kinds})]
@@ -117,5 +125,6 @@ def contained(docs: DataFrame, items: DataFrame, text: str = "text", threshold:
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", threshold: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that hold no item, with the columns of ``docs``."""
-    bad = contained(docs, items, text, threshold).select(F.col("doc_key").alias("_bad")).distinct()
-    return docs.join(bad, key_of(docs, text) == F.col("_bad"), "left_anti")
+    bad = fresh(docs, "_bad")
+    found = contained(docs, items, text, threshold).select(F.col("doc_key").alias(bad)).distinct()
+    return docs.join(found, key_of(docs, text) == F.col(bad), "left_anti")

@@ -7,9 +7,10 @@ key, kind and value alone: equal values get equal pseudonyms in every document,
 different values of one format never meet. Only texts with a digit or an at sign are cut.
 
 What is permuted: all digits of a card number but the check digit; the digits of an IBAN's account part; the last ten
-digits of a phone number or all of a shorter one; the digits of a social security number; the octets of an IPv4
+digits of a phone number or all of a shorter one; area, group and serial number of a social security number, each
+within what is ever given out; the octets of an IPv4
 address; dates within the 400 years from 1800, in any of four layouts; letters and digits of an e-mail's local part,
-each within its own alphabet.
+each within its own alphabet, capital letters like small ones.
 
 Edge cases: a null text stays null with counts 0; other columns pass through; rows are independent; texts are
 processed whole; matches that fail their check stay as they are.
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.llm.shared import fresh
+
 KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card")
 #: One alternative per format, the longest first where they can start alike.
 PATTERN = "|".join((
@@ -123,6 +126,11 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     card = _let(_permuted(F.substring(digits, F.lit(1), F.length(digits) - 1), "card", key), lambda p: F.concat(p, F.pmod(-_luhn(F.concat(p, F.lit("0"))), F.lit(10)).cast("string")))
     tail = F.least(F.length(digits), F.lit(10))
     phone = F.concat(F.substring(digits, F.lit(1), F.length(digits) - tail), _permuted(F.substring(digits, F.length(digits) - tail + 1, tail), "phone", key))
+    # Areas 001 to 899 without 666, groups from 01, serial numbers from 0001.
+    area = F.substring(digits, 1, 3).cast("int")
+    places = F.array(area - F.when(area > 666, 2).otherwise(1), F.substring(digits, 4, 2).cast("int") - 1, F.substring(digits, 6, 4).cast("int") - 1)
+    ssn = _let(feistel(places, F.array(F.lit(898), F.lit(99), F.lit(9999)), F.lit("ssn"), key), lambda s: F.concat_ws(
+        "-", *(F.lpad((x + k).cast("string"), n, "0") for x, k, n in ((s[0], F.when(s[0] > 664, 2).otherwise(1), 3), (s[1], F.lit(1), 2), (s[2], F.lit(1), 4)))))
     ip = F.array_join(feistel(F.split(m, r"\.").cast("array<int>"), F.array_repeat(F.lit(256), 4), F.lit("ip"), key).cast("array<string>"), ".")
     moved = _let(_day(m), lambda d: feistel(F.array(F.floor(d / DAY_LOW).cast("int"), d % DAY_LOW), F.array(F.lit(DAY_HIGH), F.lit(DAY_LOW)), F.lit("date"), key))
     date = _let(moved, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), s[0] * DAY_LOW + s[1]))
@@ -134,7 +142,7 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     chars = F.filter(F.split(local, ""), lambda c: c != "")
     base = lambda c: F.when(c.rlike("[0-9]"), 48).when(c.rlike("[a-z]"), 97).when(c.rlike("[A-Z]"), 65)
     width = F.transform(chars, lambda c: F.when(c.rlike("[0-9]"), 10).when(c.rlike("[A-Za-z]"), 26).otherwise(1))
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(local, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A")
+    shape = F.regexp_replace(F.regexp_replace(local, "[0-9]", "0"), "[A-Za-z]", "a")
     symbols = F.transform(chars, lambda c: F.coalesce(F.ascii(c) - base(c), F.lit(0)))
     email = F.concat(_let(feistel(symbols, width, F.concat(F.lit("email"), shape, F.lower(at)), key), lambda s: F.array_join(F.transform(chars, lambda c, i: F.coalesce(F.char(base(c) + F.get(s, i)), c)), "")), F.lit("@"), at)
     body = F.regexp_replace(F.substring(m, 5, 99), "[ -]", "")
@@ -143,7 +151,7 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     spaced = F.concat(F.substring(m, 1, 2), _let(iban, lambda a: F.aggregate(F.filter(F.split(F.substring(m, 3, 99), ""), lambda c: c != ""), F.struct(F.lit(0).alias("n"), F.lit("").alias("s")),
         lambda t, c: F.struct((t["n"] + F.when(c == " ", 0).otherwise(1)).alias("n"), F.concat(t["s"], F.when(c == " ", c).otherwise(F.substring(a, t["n"] + 1, F.lit(1)))).alias("s")), lambda t: t["s"])))
     return (
-        F.when(kind == "card", _put(m, card)).when(kind == "phone", _put(m, phone)).when(kind == "ssn", _put(m, _permuted(digits, "ssn", key)))
+        F.when(kind == "card", _put(m, card)).when(kind == "phone", _put(m, phone)).when(kind == "ssn", ssn)
         .when(kind == "ip", ip).when(kind == "date", laid).when(kind == "email", email).when(kind == "iban", spaced).otherwise(m)
     )
 
@@ -154,12 +162,13 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     some = F.coalesce(t.rlike("[0-9]|@"), F.lit(False))
     matches = F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0))
     typed = F.transform(matches, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
-    out = docs.withColumn("_found", F.when(some, typed)).withColumn("_gaps", F.when(some & (F.size("_found") > 0), F.split(t, PATTERN, -1)))
-    new = F.transform("_found", lambda x: pseudonym(x["m"], x["kind"], key))
-    joined = F.array_join(F.zip_with("_gaps", F.concat(new, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
+    found, gaps = fresh(docs, "_found"), fresh(docs, "_gaps")
+    out = docs.withColumn(found, F.when(some, typed)).withColumn(gaps, F.when(some & (F.size(found) > 0), F.split(t, PATTERN, -1)))
+    new = F.transform(found, lambda x: pseudonym(x["m"], x["kind"], key))
+    joined = F.array_join(F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
 
     def count(kind: str) -> Column:
-        return F.coalesce(F.size(F.filter("_found", lambda x: F.coalesce(x["kind"] == kind, F.lit(False)))), F.lit(0)).cast("long")
+        return F.coalesce(F.size(F.filter(found, lambda x: F.coalesce(x["kind"] == kind, F.lit(False)))), F.lit(0)).cast("long")
 
     out = out.withColumns({f"n_{k}": F.when(some, count(k)).otherwise(F.lit(0).cast("long")) for k in KINDS})
-    return out.withColumn(text, F.when(F.size("_gaps") > 1, joined).otherwise(t)).drop("_found", "_gaps")
+    return out.withColumn(text, F.when(F.size(gaps) > 1, joined).otherwise(t)).drop(found, gaps)

@@ -58,7 +58,7 @@ def features(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     64-bit hash, within one text only.
     """
     p = f"__{prefix}q_"
-    out = df.withColumn(p + "t", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    out = df.withColumn(p + "t", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     t = F.col(p + "t")
     out = out.withColumns({
         p + "w": F.filter(F.split(t, SPACE_RUN), lambda w: w != ""),
@@ -109,18 +109,23 @@ def base_failed(prefix: str = "", min_words: int = 50, max_repeat: float = 0.5)
     return (n < min_words) | (100 * F.col(prefix + "n_repeat_words") > 100 * max_repeat * n)
 
 
+def _pinned(c: Column) -> Column:
+    """``c``, kept where it stands: the optimizer moves no filter on it below the features, whose expressions the filter
+    would repeat."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def score(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, the counts, ``base_failed`` and ``kept``: one row per row of ``docs``."""
-    found = features(docs.select("doc_id", F.col(text).alias("text")))
+    found = features(docs.select("doc_id", F.col(f"`{text}`").alias("text")))
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed().alias("base_failed"), verdict(rules).alias("kept"),
+        base_failed().alias("base_failed"), _pinned(verdict(rules)).alias("kept"),
     )
 
 
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that the table keeps, with the columns of ``docs``."""
     prefix = "__kept_"
-    # The id keeps the optimizer from moving the filter below the features, where it would repeat their expressions.
-    judged = features(docs, text, prefix).withColumn(prefix, F.when(F.monotonically_increasing_id() >= 0, verdict(rules, prefix)))
+    judged = features(docs, text, prefix).withColumn(prefix, _pinned(verdict(rules, prefix)))
     return judged.filter(F.col(prefix)).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -30,9 +30,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes and spans removed from every document, and a digest of what is kept."""
+    """Bytes and spans removed from every document, a digest of what is kept, the share removed and the text kept."""
     found = suffix.dedup(documents(spark, sf_dir))
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                        (F.col("n_removed") / F.greatest("n_bytes", F.lit(1))).alias("removed_share"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 @query

@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.llm.shared import fresh
+
 #: Fixed value: the word pattern of byte-level vocabularies with a leading space.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -186,8 +188,9 @@ def coder(path: str):
 
 def tokenize(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs`` with the columns ``ids`` (array<int>) and ``decoded`` (string)."""
-    out = docs.withColumn("_coded", coder(path)(F.col(f"`{text}`").cast("string")))
-    return out.withColumns({ids: F.col("_coded.ids"), decoded: F.col("_coded.decoded")}).drop("_coded")
+    coded = fresh(docs, "_coded")
+    out = docs.withColumn(coded, coder(path)(F.col(f"`{text}`").cast("string")))
+    return out.withColumns({ids: F.col(f"{coded}.ids"), decoded: F.col(f"{coded}.decoded")}).drop(coded)
 
 
 def digests(ids: Column, decoded: Column) -> dict[str, Column]:

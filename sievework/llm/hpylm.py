@@ -2,11 +2,13 @@
 
 Every word context is a restaurant; all share one parent, the unigram restaurant, whose own parent is uniform over the
 training words and one unknown word. A table of a context restaurant is a customer of the parent. Seating is sampled
-by Gibbs sweeps over all pairs at once: given the parent's predictive probabilities and the other tables of its
-context, the number of tables that a pair's customers sit at is drawn anew. Up to ``EXACT`` customers the draw is from
-its exact conditional, by generalized Stirling numbers; the customers beyond are seated in doubling blocks. A pair
-seen once sits at one table for certain: it takes no part in the sweeps, and has its probability like every other
-pair. Sweeps after ``burn`` are averaged in the predictive probabilities, from which texts are scored.
+by Gibbs sweeps over all pairs at once, and then over all words of the parent: given the parent's predictive
+probabilities and the other tables of its restaurant, the number of tables that a dish's customers sit at is drawn
+anew. Up to ``EXACT`` customers the draw is from its exact conditional, by generalized Stirling numbers; the customers
+beyond are seated in doubling blocks. A pair seen once sits at one table for certain: it takes no part in the sweeps,
+and has its probability like every other pair. A draw depends on seed, sweep and dish alone, so neither partitions nor
+a task that runs again change a score. Sweeps after ``burn`` are averaged in the predictive probabilities, from which
+texts are scored.
 
 Only counts move: tokens are counted by pair where they are read and summed by key. Counts, seating and scoring cover
 all training documents. For scoring, the ``heavy`` most frequent words and pairs (a fixed number, hence of bounded
@@ -20,22 +22,20 @@ training documents all words are unknown; texts are read whole; extra columns ar
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.near import mixed
 from sievework.llm.shared import dropped, written
 
-WORD = regex.compile(r"[^\x20\x09-\x0D]+")
-LOWER = {c: c + 32 for c in range(65, 91)}
+GAP = re.compile(rb"[\x20\x09-\x0D]")
 END = -1  # the end of a text, as a word; also the context of a first word
 UNKNOWN = 0  # what a word's hash never is
 DISCOUNT, STRENGTH, EXACT = 0.75, 2.0, 32
@@ -46,27 +46,79 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(str("" if doc_id is None else doc_id).encode()) % 10 == 0
 
 
-class Coder:
-    """Texts to arrays of word codes, with a bounded memory of words."""
-
-    def __init__(self, most: int = 1 << 18) -> None:
-        self.known: dict[str, int] = {}
-        self.most = most
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        known = self.known
-        out = []
-        for w in WORD.findall((text or "").translate(LOWER)):
-            c = known.get(w)
-            if c is None:
-                c = xxhash.xxh3_64_intdigest(w) - (1 << 63)
-                c = 1 if c in (END, UNKNOWN) else c
-                if len(known) >= self.most:
-                    known.clear()
-                known[w] = c
-            out.append(c)
-        out.append(END)
-        return np.array(out, np.int64)
+@lru_cache(1)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes end a word, and a random number for each byte, capital letters like small ones."""
+    ends = np.isin(np.arange(256), [0x20, *range(9, 14)])
+    value = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64)
+    value[65:91] = value[97:123]
+    value[ends] = 0
+    return ends, value
+
+
+@lru_cache(1)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)):
+        steps = np.full(1 << bits, base, np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
+
+
+def _pieces(data: bytes, most: int) -> Iterator[bytes]:
+    """``data`` cut behind words; a piece is longer than ``most`` only where a word is."""
+    at = 0
+    while len(data) - at > most:
+        cut = GAP.search(data, at + most)
+        if cut is None:
+            break
+        yield data[at : cut.end()]
+        at = cut.end()
+    yield data[at:]
+
+
+def coded(texts: list[str | None], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Word codes of texts, each with its end, one text after the other; and how many each text has. A word's code is a
+    hash of its bytes, worked out from running sums over many words at once."""
+    ends, value = _letters()
+    words: list[np.ndarray] = []
+    texts_of: list[np.ndarray] = []
+    held: list[bytes] = []
+    owner: list[int] = []
+    size = 0
+
+    def flush() -> None:
+        nonlocal size
+        data = np.frombuffer(b" ".join(held) + b" ", np.uint8)
+        up, down = _powers(max(20, int(len(data)).bit_length() + 1))
+        gap = ends[data]
+        first = np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]]))
+        last = np.flatnonzero(gap & ~np.concatenate([[True], gap[:-1]]))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(value[data] * up[: len(data)], out=sums[1:])
+        h = mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)).view(np.int64)
+        h[(h == END) | (h == UNKNOWN)] = 1
+        begins = np.cumsum([0] + [len(x) + 1 for x in held[:-1]])
+        words.append(h)
+        texts_of.append(np.array(owner)[np.searchsorted(begins, first, side="right") - 1])
+        held.clear()
+        owner.clear()
+        size = 0
+
+    for i, text in enumerate(texts):
+        for piece in _pieces((text or "").encode(), most):
+            held.append(piece)
+            owner.append(i)
+            size += len(piece) + 1
+            if size >= most:
+                flush()
+    if held:
+        flush()
+    n = len(texts)
+    of = np.concatenate([*texts_of, np.arange(n)]) if texts_of else np.arange(n)
+    all_words = np.concatenate([*words, np.full(n, END)]) if words else np.full(n, END)
+    return all_words[np.argsort(of, kind="stable")], np.bincount(of, minlength=n)
 
 
 def pair_code(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -97,7 +149,6 @@ def count_pairs(docs: DataFrame) -> DataFrame:
     """(context, word, n) over the training documents, summed."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         total = 0
 
@@ -110,10 +161,10 @@ def count_pairs(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c[new]), pa.array(w[new]), pa.array(np.diff(new, append=len(c)))], ["context", "word", "n"])
 
         for batch in _slices(batches):
-            texts = [coder(t) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if not held_out(d)]
+            texts = [t for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if not held_out(d)]
             if texts:
-                words = np.concatenate(texts)
-                held.append((before(words, np.cumsum([0] + [len(t) for t in texts[:-1]])), words))
+                words, sizes = coded(texts)
+                held.append((before(words, np.cumsum(sizes) - sizes), words))
                 total += len(words)
             if total > 3_000_000:
                 yield summed()
@@ -136,83 +187,105 @@ def _stirling(discount: float) -> np.ndarray:
     return out
 
 
-def draw_tables(n: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each pair: ``n`` customers, ``others`` tables in its restaurant beside its own, ``base`` the parent's
-    probability of its word."""
+def chance(key: np.ndarray, *turn: int) -> np.ndarray:
+    """A number from 0 to 1 for each key and turn, the same wherever it is drawn."""
+    h = key.view(np.uint64)
+    for x in turn:
+        h = mixed((h ^ np.uint64(x + 1)) * np.uint64(0x9E3779B97F4A7C15))
+    return (h >> np.uint64(11)).astype(np.float64) / (1 << 53)
+
+
+def draw_tables(n: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float, key: np.ndarray, *turn: int) -> np.ndarray:
+    """Tables of each dish: ``n`` customers, ``others`` tables in its restaurant beside its own, ``base`` the parent's
+    probability of it. Draws depend on ``key`` and ``turn`` alone, not on the rows beside."""
     t = np.ones(len(n), np.int64)
     known = _stirling(discount)
-    small = np.minimum(n, EXACT)
-    for c in np.unique(small[small > 1]).tolist():
-        for part in np.array_split(np.flatnonzero(small == c), max(1, (small == c).sum() // 100_000)):
+    small, luck = np.minimum(n, EXACT), chance(key, *turn)
+    for c in range(2, EXACT + 1):
+        some = np.flatnonzero(small == c)
+        for part in np.array_split(some, max(1, len(some) // 100_000)):
             k = np.arange(1, c + 1)
             weight = known[c, 1 : c + 1][None, :] + k[None, :] * np.log(base[part])[:, None]
             weight += np.cumsum(np.log(strength + discount * (others[part][:, None] + k[None, :] - 1)), axis=1)
             weight = np.exp(weight - weight.max(axis=1, keepdims=True)).cumsum(axis=1)
-            t[part] = 1 + (weight < rng.random(len(part))[:, None] * weight[:, -1:]).sum(axis=1)
-    seated = np.full(len(n), EXACT)
-    rest = np.flatnonzero(n > EXACT)
-    while len(rest):
-        block = np.minimum(seated[rest], n[rest] - seated[rest])
-        new = (strength + discount * (others[rest] + t[rest])) * base[rest]
-        t[rest] += rng.binomial(block, new / (new + seated[rest] - discount * t[rest]))
-        seated[rest] += block
-        rest = rest[seated[rest] < n[rest]]
+            t[part] = 1 + (weight < luck[part][:, None] * weight[:, -1:]).sum(axis=1)
+    for i in np.flatnonzero(n > EXACT).tolist():
+        rng = np.random.Generator(np.random.Philox(key=[int(key[i]) & (1 << 64) - 1, sum((x + 1) << 20 * k for k, x in enumerate(turn))]))
+        seated, tables = EXACT, int(t[i])
+        while seated < n[i]:
+            block = min(seated, int(n[i]) - seated)
+            new = (strength + discount * (others[i] + tables)) * base[i]
+            tables += int(rng.binomial(block, new / (new + seated - discount * tables)))
+            seated += block
+        t[i] = tables
     return t
 
 
-def train(docs: DataFrame, sweeps: int = 3, burn: int = 1, discount: float = DISCOUNT, strength: float = STRENGTH, seed: int = 7) -> tuple[DataFrame, DataFrame, dict]:
+def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DISCOUNT, strength: float = STRENGTH, seed: int = 7) -> tuple[DataFrame, DataFrame, dict]:
     """Pairs (context, word, n, excess) with ``excess`` the averaged part of a pair's probability that its own
     customers give; words (word, n, p, lift): the count, the parent's averaged probability, and what the word as a
     context passes to its parent; and totals. A pair seen once sits at one table for certain and is only drawn in
     the sense that its table counts in its context and in the parent."""
+    spark = docs.sparkSession
     counted = written(condensed(count_pairs(docs)), "counts")
     pairs, single = (counted.filter(f"kind = {kind}").select("context", "word", "n") for kind in (0, 3))
     words = written(counted.filter("kind = 1").groupBy("word").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")), "words")
     rooms = written(counted.filter("kind = 2").groupBy(F.col("word").alias("context")).agg(F.sum("n").alias("c"), F.sum("ones").alias("ones")), "rooms")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     uniform = 1.0 / (distinct + 1)
-    fresh = (strength + discount * distinct) * uniform
 
-    def parent(tables: DataFrame) -> tuple[DataFrame, float]:
-        """The unigram restaurant, whose customers are the contexts' tables; each word has one table there."""
-        m = words.select("word", "ones").join(tables.groupBy("word").agg(F.sum("t").alias("t")), "word", "left").select("word", (F.col("ones") + F.coalesce("t", F.lit(0))).alias("m"))
-        total = m.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
-        return m.select("word", ((F.col("m") - discount + fresh) / (strength + float(total))).alias("p")), float(total)
+    def parent(tables: DataFrame, tops: DataFrame, total: int, sweep: int) -> tuple[DataFrame, int, float]:
+        """The unigram restaurant, whose customers are the contexts' tables, seated anew: word, t and p; all its tables;
+        and the probability of a word that training has not seen."""
+        m = words.select("word", "ones").join(tables.groupBy("word").agg(F.sum("t").alias("s")), "word", "left").join(tops, "word").select("word", (F.col("ones") + F.coalesce("s", F.lit(0))).alias("m"), "t")
+
+        def reseated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                w, n, t = (np.asarray(b.column(k)) for k in ("word", "m", "t"))
+                new = draw_tables(n, total - t, np.full(len(n), uniform), discount, strength, w, seed, sweep, 1)
+                yield pa.RecordBatch.from_arrays([b.column("word"), b.column("m"), pa.array(new)], ["word", "m", "t"])
+
+        found = written(m.mapInArrow(reseated, "word long, m long, t long"), "parent")
+        customers, seats = found.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
+        spare = (strength + discount * seats) * uniform
+        return found.select("word", "t", ((F.col("m") - discount * F.col("t") + spare) / (strength + float(customers))).alias("p")), seats, spare / (strength + customers)
 
     tables = pairs.withColumn("t", F.lit(1).cast("long"))
-    kept: list[DataFrame] = []
-    for sweep in range(sweeps):
-        p, _ = parent(tables)
+    p, total, _ = parent(tables, words.select("word", F.lit(1).cast("long").alias("t")), distinct, 0)
+    kept: list[tuple[DataFrame, DataFrame, float]] = []
+    for sweep in range(1, sweeps + 1):
         seats = rooms.select("context", "ones").join(tables.groupBy("context").agg(F.sum("t").alias("t")), "context").select("context", (F.col("ones") + F.col("t")).alias("seats"))
-        joined = tables.join(p, "word").join(seats, "context")
+        joined = tables.join(p.select("word", "p"), "word").join(seats, "context")
 
         def reseated(batches: Iterator[pa.RecordBatch], sweep: int = sweep) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 c, w, n, t, base, seats = (np.asarray(b.column(k)) for k in ("context", "word", "n", "t", "p", "seats"))
-                # Seeded by the rows: a task that runs again on another executor draws the same.
-                mark = int(np.bitwise_xor.reduce(pair_code(c, w).view(np.uint64))) if len(c) else 0
-                order = np.argsort(pair_code(c, w), kind="stable")
-                new = np.empty(len(n), np.int64)
-                new[order] = draw_tables(n[order], (seats - t)[order], base[order], discount, strength, np.random.default_rng([seed, sweep, mark]))
+                new = draw_tables(n, seats - t, base, discount, strength, pair_code(c, w), seed, sweep, 0)
                 yield pa.RecordBatch.from_arrays([b.column("context"), b.column("word"), b.column("n"), pa.array(new)], ["context", "word", "n", "t"])
 
-        tables = written(joined.select("context", "word", "n", "t", "p", "seats").mapInArrow(reseated, "context long, word long, n long, t long"), "tables")
-        if sweep >= burn:
-            kept.append(tables)
-    every = kept[0]
-    for more in kept[1:]:
-        every = every.unionByName(more)
-    mean = written(every.groupBy("context", "word", "n").agg((F.sum("t") / len(kept)).alias("t")), "seating")
-    dropped(docs.sparkSession, *kept)
-    p, total = parent(mean)
-    passed = rooms.join(mean.groupBy("context").agg(F.sum("t").alias("t")), "context", "left")
+        last, tables = tables, written(joined.select("context", "word", "n", "t", "p", "seats").mapInArrow(reseated, "context long, word long, n long, t long"), "tables")
+        if 1 < sweep <= burn + 1:
+            dropped(spark, last)
+        p, total, unseen = parent(tables, p.select("word", "t"), total, sweep)
+        if sweep > burn:
+            kept.append((tables, p.select("word", "p"), unseen))
+
+    def mean(frames: list[DataFrame], keys: list[str], value: str) -> DataFrame:
+        every = frames[0]
+        for more in frames[1:]:
+            every = every.unionByName(more)
+        return every.groupBy(*keys).agg((F.sum(value) / len(frames)).alias(value))
+
+    seating = written(mean([t for t, _, _ in kept], ["context", "word", "n"], "t"), "seating")
+    dropped(spark, *(t for t, _, _ in kept))
+    passed = rooms.join(seating.groupBy("context").agg(F.sum("t").alias("t")), "context", "left")
     lift = passed.select(F.col("context").alias("word"), ((strength + discount * (F.coalesce("t", F.lit(0.0)) + F.col("ones"))) / (strength + F.col("c"))).alias("lift"))
-    model = written(words.select("word", "n").join(p, "word").join(lift, "word", "left"), "words-model")
-    seated = mean.unionByName(single.withColumn("t", F.lit(1.0)))
+    model = written(words.select("word", "n").join(mean([p for _, p, _ in kept], ["word"], "p"), "word").join(lift, "word", "left"), "words-model")
+    seated = seating.unionByName(single.withColumn("t", F.lit(1.0)))
     excess = seated.join(rooms.select("context", "c"), "context").select("context", "word", "n", ((F.col("n") - discount * F.col("t")) / (strength + F.col("c"))).alias("excess"))
     full = written(excess, "pairs-model")
-    dropped(docs.sparkSession, counted)
-    return full, model, {"tokens": tokens, "distinct": distinct, "unseen": fresh / (strength + total)}
+    dropped(spark, counted, seating)
+    return full, model, {"tokens": tokens, "distinct": distinct, "unseen": sum(u for _, _, u in kept) / len(kept)}
 
 
 def condensed(pairs: DataFrame) -> DataFrame:
@@ -267,7 +340,7 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
     top_words = words.orderBy(F.desc("n"), "word").limit(heavy_words).select("word", "n", "p", F.coalesce("lift", F.lit(1.0)).alias("lift")).toArrow()
     all_words, all_pairs = totals["distinct"] <= heavy_words, pairs.count() <= heavy_pairs
     frequent = pairs if all_pairs else pairs.filter("n > 1")
-    top_pairs = frequent.orderBy(F.desc("n"), "context", "word").limit(heavy_pairs).select("context", "word", F.col("excess").cast("float").alias("excess")).toArrow()
+    top_pairs = frequent.orderBy(F.desc("n"), "context", "word").limit(heavy_pairs).select("context", "word", "excess").toArrow()
     code = pair_code(np.asarray(top_pairs.column("context")), np.asarray(top_pairs.column("word")))
     order, worder = np.argsort(code), np.argsort(np.asarray(top_words.column("word")))
     shared = spark.sparkContext.broadcast((
@@ -279,18 +352,16 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, excess, names, n, p, lift = shared.value
-        coder = Coder()
 
         def find(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             at = np.minimum(np.searchsorted(table, x), max(0, len(table) - 1))
             return at, (table[at] == x) if len(table) else np.zeros(len(x), bool)
 
         for batch in _slices(batches):
-            texts = [coder(t) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
             if not texts:
                 continue
-            sizes = np.array([len(t) for t in texts])
-            w = np.concatenate(texts)
+            w, sizes = coded(texts)
             doc = np.repeat(np.arange(len(texts)), sizes)
             c = before(w, np.cumsum(sizes) - sizes)
             wi, w_in = find(names, w)
@@ -320,11 +391,11 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
     fields = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     first = written(rows.mapInArrow(looked_up, fields + ", late array<struct<code:long,up:double>>, rest array<struct<context:long,word:long,code:long>>").withColumn("row", F.monotonically_increasing_id()), "settled")
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(pair_code(np.asarray(b.column("context")), np.asarray(b.column("word")))), b.column("excess")], ["code", "excess"])
 
-    codes_of = pairs.select("context", "word", "excess").mapInArrow(coded, "code long, excess double")
+    codes_of = pairs.select("context", "word", "excess").mapInArrow(by_code, "code long, excess double")
     w = words.select("word", "n", "p")
     left = first.select("row", F.explode("rest").alias("r")).groupBy("row", "r.context", "r.word", "r.code").agg(F.count("*").alias("k"))
     named = left.join(w, "word", "left").join(words.select(F.col("word").alias("context"), "lift"), "context", "left").select(

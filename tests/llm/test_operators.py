@@ -257,7 +257,7 @@ def test_language_model_keeps_pairs_seen_once(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "a b d e")], SCHEMA)
     pairs, words, totals = hpylm.train(docs)
     found = {(r["context"], r["word"]): (r["n"], r["excess"]) for r in pairs.collect()}
-    name = {w: int(hpylm.Coder()(w)[0]) for w in "abcde"}
+    name = {w: int(hpylm.coded([w])[0][0]) for w in "abcde"}
     assert len(found) == 8 and found[name["a"], name["b"]][0] == found[hpylm.END, name["a"]][0] == 2
     for c, w, customers in [("a", "c", 3), ("b", "a", 2), ("b", "d", 2), ("d", "e", 1)]:
         n, excess = found[name[c], name[w]]
@@ -274,11 +274,62 @@ def test_language_model_keeps_pairs_seen_once(spark):
 def test_stirling_draws():
     import numpy as np
 
-    rng = np.random.default_rng(1)
-    t = hpylm.draw_tables(np.array([1, 2, 5, 1000, 40] * 200), np.full(1000, 10), np.full(1000, 0.01), 0.75, 2.0, rng)
+    t = hpylm.draw_tables(np.array([1, 2, 5, 1000, 40] * 200), np.full(1000, 10), np.full(1000, 0.01), 0.75, 2.0, np.arange(1000), 7, 1, 0)
     assert (t[0::5] == 1).all() and t.min() >= 1 and (t[1::5] <= 2).all() and (t[3::5] <= 1000).all()
 
 
+def test_draws_follow_their_distribution():
+    """Tables of five customers: frequencies against the product of seating weights, summed over all seatings."""
+    import numpy as np
+
+    n, d, strength, others, base = 5, 0.75, 2.0, 3, 0.2
+    weight = collections.Counter()
+
+    def seat(left, tables, sizes, w):
+        if not left:
+            weight[tables] += w
+            return
+        for i, x in enumerate(sizes):
+            seat(left - 1, tables, [*sizes[:i], x + 1, *sizes[i + 1 :]], w * (x - d))
+        seat(left - 1, tables + 1, [*sizes, 1], w * (strength + d * (others + tables)) * base)
+
+    seat(n, 0, [], 1.0)
+    total = sum(weight.values())
+    many = 40_000
+    keys = np.random.default_rng(2).integers(-(1 << 62), 1 << 62, many)
+    t = hpylm.draw_tables(np.full(many, n), np.full(many, others), np.full(many, base), d, strength, keys, 7, 1, 0)
+    for k in range(1, n + 1):
+        assert abs((t == k).mean() - weight[k] / total) < 0.01
+    some = hpylm.draw_tables(np.full(10, n), np.full(10, others), np.full(10, base), d, strength, keys[:10], 7, 1, 0)
+    assert (some == t[:10]).all()
+
+
+def test_language_model_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    scored = []
+    for n in ("4", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        scored.append({r["doc_id"]: r["score"] for r in hpylm.score(docs.repartition(int(n)), heavy_pairs=100).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert all(math.isclose(x, scored[1][d], rel_tol=1e-9) for d, x in scored[0].items())
+
+
+def test_coded_words():
+    rnd = random.Random(9)
+    texts = [None, "", "  ", "Ab ab AB é É\x0b\tab", "x" * 5000, *(" ".join("".join(rnd.choice("abXY é") for _ in range(rnd.randint(0, 9))) for _ in range(80)) for _ in range(20))]
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    for most in (64, 1 << 20):
+        codes, sizes = hpylm.coded(texts, most)
+        assert sizes.tolist() == [len(split(t)) + 1 for t in texts]
+        names, at = {}, 0
+        for t, n in zip(texts, sizes.tolist(), strict=True):
+            assert codes[at + n - 1] == hpylm.END
+            for w, c in zip(split(t), codes[at : at + n - 1].tolist(), strict=True):
+                assert names.setdefault(w, c) == c
+            at += n
+        assert len(set(names.values())) == len(names)
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a", "x" * 3_000_000), (2, None, None), (3, "u\nv", "é\r\n\r\nWARC"), (4, "b", "x" * 3_000_000), (None, "c", "q"), (7, "d", ""), (4, "b", "x" * 3_000_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("n", F.lit(1))

@@ -32,7 +32,7 @@ def attribution(title: Column, unit: Column, context: Column) -> Column:
     pair = lambda a, b: F.struct(F.lit(a).alias("who"), F.lit(b).alias("confidence"))
     return (
         F.when(first & plan, pair("author_plan", "high")).when(first, pair("author_action", "high")).when(named, pair("third_party_example", "high"))
-        .when(plan, pair("author_plan", "medium")).otherwise(pair("unconfirmed", "low"))
+        .when(plan, pair("author_plan", "medium")).otherwise(pair("unconfirmed_author_context", "needs_review"))
     )
 
 

@@ -60,3 +60,70 @@ def weighted_share(rows: DataFrame, population: DataFrame, stratum: str, conditi
     """Share of a condition over strata, weighted by their population."""
     s = rows.groupBy(stratum).agg(F.avg(condition.cast("double")).alias("share"))
     return s.join(population, stratum).agg(F.round(F.sum(F.col("n") * F.col("share")) / F.sum("n"), 3).alias("share"), F.sum("n").alias("population"))
+
+
+def split_scores(items: DataFrame, gold: DataFrame, found: DataFrame) -> DataFrame:
+    """Per split: items, those left out (ambiguous, unavailable), traceability, and the sets' precision, recall, coverage
+    and abstention over what is left. ``items`` has item, split, ambiguous and available; the others item, symbol, stance."""
+    usable = items.filter(~F.col("ambiguous") & F.col("available")).select("item", "split")
+    n = items.groupBy("split").agg(F.count("*").alias("items"), F.count_if("ambiguous").alias("ambiguous"), F.count_if(~F.col("ambiguous") & ~F.col("available")).alias("unavailable"))
+    keys = ["item", "symbol", "stance"]
+    g, f = gold.select(*keys).distinct().withColumn("_g", F.lit(1)), found.select(*keys).distinct().withColumn("_f", F.lit(1))
+    per = usable.join(g.join(f, keys, "full"), "item", "left").groupBy("split", "item").agg(
+        F.count_if(F.col("_g").isNotNull() & F.col("_f").isNotNull()).alias("tp"), F.count_if(F.col("_g").isNull() & F.col("_f").isNotNull()).alias("fp"), F.count_if(F.col("_g").isNotNull() & F.col("_f").isNull()).alias("fn"))
+    silent = F.col("tp") + F.col("fp") == 0
+    sums = per.groupBy("split").agg(F.count("*").alias("scored"), *(F.sum(c).alias(c) for c in ("tp", "fp", "fn")), F.count_if(silent).alias("abstained"), F.count_if(silent & (F.col("fn") == 0)).alias("abstained_rightly"))
+    tp, fp, fn = (F.coalesce(c, F.lit(0)) for c in ("tp", "fp", "fn"))
+    z = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return n.join(sums, "split", "left").select(
+        "split", "items", "ambiguous", "unavailable", z("scored"), z("tp"), z("fp"), z("fn"), z("abstained"), z("abstained_rightly"),
+        S.ratio(F.coalesce("scored", F.lit(0)), F.col("items") - F.col("ambiguous")).alias("traceability"), S.ratio(tp, tp + fp).alias("precision"),
+        S.ratio(tp, tp + fn).alias("recall"), S.ratio(tp + fp, tp + fn).alias("coverage"), S.ratio(F.col("abstained"), F.col("scored")).alias("abstain_rate"))
+
+
+def by_gate(gold: DataFrame, found: DataFrame, keys: list[str], gate: str) -> DataFrame:
+    """Right and wrong claims of each gate."""
+    g = gold.select(*keys).distinct().withColumn("_g", F.lit(1))
+    return found.filter(F.col(gate).isNotNull()).join(g, keys, "left").groupBy(gate).agg(F.count_if(F.col("_g").isNotNull()).alias("correct"), F.count_if(F.col("_g").isNull()).alias("wrong"))
+
+
+def union(*found: DataFrame) -> DataFrame:
+    """The claims of several extractors as one set."""
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.distinct()
+
+
+def kappa_by(pairs: DataFrame, a: str, b: str, by: str) -> DataFrame:
+    """Binary kappa of each group; null where chance agreement is certain."""
+    x, y = F.avg(F.col(a).cast("double")), F.avg(F.col(b).cast("double"))
+    g = pairs.groupBy(by).agg(F.count("*").alias("n"), F.avg((F.col(a) == F.col(b)).cast("double")).alias("o"), x.alias("x"), y.alias("y"))
+    e = F.col("x") * F.col("y") + (1 - F.col("x")) * (1 - F.col("y"))
+    return g.select(by, "n", F.round("o", 3).alias("observed"), S.kappa(F.col("o"), e).alias("kappa"))
+
+
+def channels(rows: DataFrame, **conditions: Column) -> DataFrame:
+    """Each row once for each channel it is part of; channels may overlap."""
+    return rows.withColumn("channel", F.explode(F.array_compact(F.array(*(F.when(c, n) for n, c in conditions.items())))))
+
+
+def blind_pairs(items: DataFrame, gold: DataFrame, answers: DataFrame) -> DataFrame:
+    """(item, symbol, gold, answer, skipped): decisions side by side, ``none`` where one side has no such symbol, and one
+    row of ``_none_`` where neither has any. Items that a side can't judge are one row with the reason."""
+    reason = F.when(F.col("status").isin("unavailable", "ambiguous"), F.col("status")).when(F.col("ambiguous"), "gold_ambiguous")
+    judged = items.withColumn("skipped", reason)
+    g, a = gold.select("item", "symbol", F.col("stance").alias("gold")), answers.select("item", "symbol", F.col("stance").alias("answer"))
+    both = judged.filter("skipped is null").select("item").join(g.join(a, ["item", "symbol"], "full"), "item", "left")
+    rows = both.select("item", F.coalesce("symbol", F.lit("_none_")).alias("symbol"), F.coalesce("gold", F.lit("none")).alias("gold"), F.coalesce("answer", F.lit("none")).alias("answer"), F.lit(None).cast("string").alias("skipped"))
+    null = F.lit(None).cast("string")
+    return rows.unionByName(judged.filter("skipped is not null").select("item", null.alias("symbol"), null.alias("gold"), null.alias("answer"), "skipped"))
+
+
+def adjudicated(items: DataFrame, patches: DataFrame, key: str, order: str, column: str) -> DataFrame:
+    """Items with the newest patch of ``column``; ``refused`` marks patches of items that aren't dev, which change
+    nothing."""
+    last = patches.groupBy(key).agg(F.max_by(column, order).alias("_new"), F.lit(True).alias("_patched"))
+    j = items.join(last, key, "left")
+    patched = F.coalesce("_patched", F.lit(False))
+    return j.withColumns({column: F.when(patched & (F.col("split") == "dev"), F.col("_new")).otherwise(F.col(column)), "refused": patched & (F.col("split") != "dev")}).drop("_new", "_patched")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import extract as X
 from sievework.functions import text as T
-from sievework.operators import feed, recon
+from sievework.operators import feed, health, recon
 from sievework.plans.registry import query, table
 
 TERMS = ["the", "und", "que", "los"]
@@ -34,17 +34,17 @@ def feed_matrix(spark, sf):
     """Source by language: records, duplicates, records with a term, upper median of characters."""
     d = feed.duplicate_flags(table(spark, sf, "documents").withColumn("h", F.sha1("text")), dup=F.col("h"))
     chars = F.length("text").cast("long")
-    g = d.groupBy("source", "lang").agg(
-        F.count("*").alias("records"), F.count_if("dup").alias("duplicates"), F.count_if(T.has_token(F.col("text"), "the")).alias("with_term"),
-        F.percentile_approx(chars, 0.5, 1000000).alias("lower"), F.count("*").alias("n"), F.sort_array(F.collect_list(chars)).alias("all"))
-    return g.select("source", "lang", "records", "duplicates", "with_term", F.get("all", F.floor(F.col("n") / 2).cast("int")).alias("median_chars"))
+    d = d.select("source", "lang", "dup", T.has_token(F.col("text"), "the").alias("term"), chars.alias("chars"))
+    g = d.groupBy("source", "lang").agg(F.count("*").alias("records"), F.count_if("dup").alias("duplicates"), F.count_if("term").alias("with_term"))
+    return g.join(health.upper_median(d, ["source", "lang"], "chars").withColumnRenamed("median", "median_chars"), ["source", "lang"])
 
 
-@query("""with i as (select 'x' || doc_id as id from documents), r as (select substr(sha1(id), 1, 3) as part, count(*) as n, count(distinct id) as d,
-  sha256(string_agg(id, chr(10) order by id)) as h from i group by 1)
-select cast(sum(n) as bigint) as records, cast(sum(d) as bigint) as distinct_ids, sha256(string_agg(h, chr(10) order by part)) as ids_sha256 from r""")
+@query("""with i as (select 'x' || doc_id as id, lang, source from documents)
+select count(*) as records, count(distinct id) as distinct_ids, cast(sum(strlen(id) + strlen(lang) + strlen(source)) as bigint) as bytes,
+  sha256(cast(sum(cast(('0x' || substr(sha256(id), 1, 15)) as bigint)) as varchar)) as ids_digest,
+  sha256(cast(sum(cast(('0x' || substr(sha256(id || chr(31) || lang || chr(31) || source), 1, 15)) as bigint)) as varchar)) as content_digest from i""")
 def feed_manifest(spark, sf):
-    return feed.manifest(table(spark, sf, "documents").select(F.concat(F.lit("x"), "doc_id").alias("id")))
+    return feed.manifest(table(spark, sf, "documents").select(F.concat(F.lit("x"), "doc_id").alias("id"), "lang", "source"))
 
 
 @query("""select doc_id, count(*) over (partition by text) > 1 as duplicate_text, count(*) over (partition by split_part(text, chr(10), 1)) > 1 as duplicate_title from documents""")
@@ -73,8 +73,9 @@ def themes(spark, sf):
  q as (select doc_id, trim(regexp_replace(s, '\s+', ' ', 'g')) as s from s)
 select doc_id, count(*) filter (length(s) >= 6) as sentences, coalesce(cast(sum(length(s)) filter (length(s) >= 6) as bigint), 0) as chars from q group by doc_id""")
 def sentence_stats(spark, sf):
-    s = T.sentences(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.size(s).cast("long").alias("sentences"), F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("chars"))
+    s = F.col("s")
+    cut = table(spark, sf, "documents").select("doc_id", F.when(F.monotonically_increasing_id() >= 0, T.sentences(F.col("text"))).alias("s"))  # worked out once
+    return cut.select("doc_id", F.size(s).cast("long").alias("sentences"), F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("chars"))
 
 
 _PROMO_SQL = " or ".join(f"contains(lower(x), '{w}')" for w in PROMO)

@@ -61,12 +61,6 @@ def unsupported_keys(spark, sf):
     return state.persistent(e, "user_id", "day", F.col("event_type") == "view")
 
 
-@query("""select cast(ts as date) as day, count(*) as calls, count(*) filter (value < 5) as errors, count(*) = count(*) filter (value >= 5) + count(*) filter (value < 5) as reconciled from events group by 1""")
-def budget_reconcile(spark, sf):
-    g = table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("calls"), F.count_if(F.col("value") < 5).alias("errors"), F.count_if(F.col("value") >= 5).alias("_ok"))
-    return g.select("day", "calls", "errors", (F.col("calls") == F.col("_ok") + F.col("errors")).alias("reconciled"))
-
-
 @query("""select doc_id, regexp_extract(text, '([A-Za-z0-9._-]+)@', 1) as name, substr(md5(text), 1, 16) as fallback_id from documents""")
 def id_from_text(spark, sf):
     d = table(spark, sf, "documents")

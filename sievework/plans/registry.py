@@ -24,3 +24,18 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def values(rows: list[tuple]) -> str:
+    """Rows as the list of an SQL VALUES clause."""
+
+    def one(x) -> str:
+        if x is None:
+            return "null"
+        if isinstance(x, str):
+            return "'" + x.replace("'", "''") + "'"
+        if isinstance(x, (list, tuple)):
+            return "[" + ", ".join(map(one, x)) + "]"
+        return str(x).lower() if isinstance(x, bool) else repr(x)
+
+    return ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows)

@@ -47,10 +47,10 @@ def work_queue(spark, sf):
     return state.worklist(table(spark, sf, "events"), [p, F.desc("value"), "event_id"], 60).select("event_id", "user_id")
 
 
-@query("""select conv_id, turn, coalesce(string_agg(substr(text, 1, 20), '|') over (partition by conv_id order by turn rows between 5 preceding and 1 preceding), '') as earlier from conversations""")
+@query("""select conv_id, turn, sha256(coalesce(string_agg(text, '|') over (partition by conv_id order by turn rows between 5 preceding and 1 preceding), '')) as earlier_sha256 from conversations""")
 def thread_context(spark, sf):
     w = W.partitionBy("conv_id").orderBy("turn").rowsBetween(-5, -1)
-    return table(spark, sf, "conversations").select("conv_id", "turn", F.array_join(F.collect_list(F.substring("text", 1, 20)).over(w), "|").alias("earlier"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.sha2(F.array_join(F.collect_list("text").over(w), "|"), 256).alias("earlier_sha256"))
 
 
 @query("""select c.conv_id, c.turn, p.role as parent_role, (select count(*) from conversations k where k.conv_id = c.conv_id and k.turn = c.turn + 1) as replies
@@ -62,10 +62,10 @@ def reply_tree(spark, sf):
     return c.join(parents, ["conv_id", "turn"], "left").join(replies, ["conv_id", "turn"], "left").select("conv_id", "turn", "parent_role", F.coalesce("replies", F.lit(0)).cast("long").alias("replies"))
 
 
-@query("""select conv_id, turn, last_value(case when role = 'user' then substr(text, 1, 12) end ignore nulls) over (partition by conv_id order by turn rows unbounded preceding) as heading from conversations""")
+@query("""select conv_id, turn, last_value(case when role = 'user' then text end ignore nulls) over (partition by conv_id order by turn rows unbounded preceding) as heading from conversations""")
 def heading_carry(spark, sf):
     w = W.partitionBy("conv_id").orderBy("turn").rowsBetween(W.unboundedPreceding, 0)
-    return table(spark, sf, "conversations").select("conv_id", "turn", F.last(F.when(F.col("role") == "user", F.substring("text", 1, 12)), ignorenulls=True).over(w).alias("heading"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.last(F.when(F.col("role") == "user", F.col("text")), ignorenulls=True).over(w).alias("heading"))
 
 
 @query("select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as r from events) where r <= 3")

@@ -115,3 +115,60 @@ def links(pages: DataFrame, key: str, column: str) -> DataFrame:
             yield batch.map(lambda x: [{"href": h, "label": t} for h, t in list_entries(x)])
 
     return pages.select(key, F.posexplode(find(column)).alias("position", "l")).select(key, "position", "l.href", "l.label")
+
+
+def atom_entries(text: Column) -> Column:
+    """Array of (video_id, published, updated, title) of the entries of an Atom text that have a video id."""
+    field = lambda x, tag: F.regexp_extract(x, rf"(?s)<{tag}>(.*?)</{tag}>", 1)
+    entries = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?s)<entry>(.*?)</entry>"), F.lit(1))
+    made = F.transform(entries, lambda x: F.struct(field(x, "yt:videoId").alias("video_id"), field(x, "published").alias("published"), field(x, "updated").alias("updated"), field(x, "title").alias("title")))
+    return F.filter(made, lambda e: e["video_id"] != "")
+
+
+_TAG = regex.compile(r"<[^>]+>")
+
+
+def _plain(source: str) -> str:
+    return regex.sub(r"\s+", " ", html.unescape(_TAG.sub(" ", source))).strip()
+
+
+def board_entries(source: str | None, author: str) -> list[dict]:
+    """Entries of a board's list page by one author: post id, link, title, time and whether it is a reply. An entry's
+    author tag stands between its link and the next one; without one it isn't anybody's."""
+    links = list(regex.finditer(r'<a\b[^>]*class="[^"]*\bpost\b[^"]*"[^>]*>(.*?)</a>', source or "", regex.S))
+    out = []
+    for link, after in zip(links, [*links[1:], None], strict=False):
+        rest = source[link.end() : after.start() if after else len(source)]
+        who = regex.search(r'<span\b[^>]*class="[^"]*\bb\b[^"]*"[^>]*>\s*<a\b[^>]*>(.*?)</a>', rest, regex.S)
+        href = regex.search(r'href="([^"]*)"', link[0])
+        number = regex.search(r"(\d+)\.html", href[1]) if href else None
+        if not who or not number or _plain(who[1]).casefold() != author.casefold():
+            continue
+        time = regex.search(r"(\d{2}/\d{2}/\d{4})\s*(postreply)?\s*(\d{2}:\d{2}:\d{2})", _plain(rest), regex.I)
+        out.append({
+            "post_id": number[1], "href": html.unescape(href[1]), "title": _plain(link[1]), "published_at": f"{time[1]} {time[3]}" if time else "",
+            "kind": "reply" if time and time[2] else "post"})
+    return out
+
+
+def board(pages: DataFrame, key: str, column: str, author: str) -> DataFrame:
+    """One row per entry of an author on list pages."""
+
+    @F.pandas_udf("array<struct<post_id:string,href:string,title:string,published_at:string,kind:string>>")
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(lambda x: board_entries(x, author))
+
+    return pages.select(key, F.posexplode(read(column)).alias("position", "e")).select(key, "position", "e.*")
+
+
+def tree(replies: DataFrame, thread: str, position: str, depth: str, node: str) -> DataFrame:
+    """``replies`` with ``parent``: the last node before that lies one level higher, or, where levels are skipped, at any
+    higher level; the thread itself for the others. A parent is the nearest earlier row of lower depth, so it is the
+    newest of the last rows at each lower depth."""
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy(thread).orderBy(position).rowsBetween(W.unboundedPreceding, -1)
+    before = F.collect_list(F.struct(position, depth, node)).over(w)
+    lower = F.filter(before, lambda x: x[depth] < F.col(depth))
+    return replies.withColumn("parent", F.coalesce(F.element_at(F.when(F.size(lower) > 0, lower), -1)[node].cast("string"), F.col(thread).cast("string")))

@@ -1,6 +1,6 @@
 """All queries over the driver's tables but those of the training data operators, and their SQL."""
 
-from sievework.plans import backlog, evaluation, feed, incremental, labels, reconciliation, sampling, scoring, sets  # noqa: F401
+from sievework.plans import backlog, claims, evaluation, feed, incremental, labels, reconciliation, sampling, scoring, sets  # noqa: F401
 from sievework.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -56,12 +56,12 @@ def listed(rows: DataFrame) -> DataFrame:
     form) that its task had not met before."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                numbers, keys, checks, ends = [], [], [], [0]
-                fresh, new_ends = ([], [], []), [0]
+                numbers, names, ends = [], [], [0]
+                fresh, new_names, new_ends = [], [], [0]
                 if len(seen) > 400_000:
                     seen.clear()
                 for text in batch.column("text").to_pylist():
@@ -69,22 +69,22 @@ def listed(rows: DataFrame) -> DataFrame:
                         line = normal(raw)
                         if not line:
                             continue
-                        h = xxhash.xxh3_128_intdigest(line)
-                        key, check = (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)
+                        h = xxhash.xxh3_128_digest(line)
                         numbers.append(i)
-                        keys.append(key)
-                        checks.append(check)
+                        names.append(h)
                         if h not in seen:
                             seen.add(h)
-                            for out, x in zip(fresh, (key, check, line), strict=True):
-                                out.append(x)
-                    ends.append(len(keys))
-                    new_ends.append(len(fresh[0]))
+                            new_names.append(h)
+                            fresh.append(line)
+                    ends.append(len(names))
+                    new_ends.append(len(fresh))
                 cuts, new_cuts = pa.array(ends, pa.int32()), pa.array(new_ends, pa.int32())
-                lines = pa.StructArray.from_arrays([pa.array(fresh[0], pa.int64()), pa.array(fresh[1], pa.int64()), pa.array(fresh[2], pa.string())], ["key", "check", "line"])
+                keys, checks = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2).T.copy()
+                new = np.frombuffer(b"".join(new_names), np.int64).reshape(-1, 2).T.copy()
+                lines = pa.StructArray.from_arrays([pa.array(new[0]), pa.array(new[1]), pa.array(fresh, pa.string())], ["key", "check", "line"])
                 yield pa.RecordBatch.from_arrays([
                     *(batch.column(k) for k in (*_KEYS, "doc_id")), pa.ListArray.from_arrays(cuts, pa.array(numbers, pa.int32())),
-                    pa.ListArray.from_arrays(cuts, pa.array(keys, pa.int64())), pa.ListArray.from_arrays(cuts, pa.array(checks, pa.int64())), pa.ListArray.from_arrays(new_cuts, lines),
+                    pa.ListArray.from_arrays(cuts, pa.array(keys)), pa.ListArray.from_arrays(cuts, pa.array(checks)), pa.ListArray.from_arrays(new_cuts, lines),
                 ], [*_KEYS, "doc_id", "numbers", "keys", "checks", "fresh"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -284,16 +284,16 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def bridges(members: DataFrame, roots: DataFrame, lines: DataFrame, width: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+def bridges(members: DataFrame, roots: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """Links (a, b) between the components ``roots`` (node, root) that are missing among the ``members`` (bucket, key) of
-    large buckets, by the exact similarity of each two lines: a spanning forest for each pair of blocks. Also the lines
-    that were compared."""
+    large buckets, by the exact similarity of each two lines: a spanning forest for each pair of blocks. Of buckets with
+    the same members, as bands make them, one is compared. ``texts`` has the lines of all members."""
     placed = members.join(roots, F.col("key") == F.col("node"), "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     placed = written(placed, "members")
-    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket", "n")
-    sizes = written(sizes, "large")
+    marks = [F.bit_xor(F.xxhash64("key", F.lit(k))).alias(f"mark{k}") for k in (1, 2)]
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), *marks).filter("low <> high")
+    sizes = written(sizes.groupBy("n", "mark1", "mark2").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "large")
     open_ = placed.join(sizes.select("bucket"), "bucket")
-    texts = chosen(lines, open_.select("key").distinct())
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _runs(batches, ["bucket", "i", "j"]):
@@ -319,7 +319,7 @@ def bridges(members: DataFrame, roots: DataFrame, lines: DataFrame, width: int,
                 yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
 
     dealt = _dealt(open_.join(texts.select("key", "line"), "key"), "bucket", "key", sizes)
-    return dealt.select("bucket", "i", "j", "own", "root", "line").mapInArrow(exact, "a long, b long").distinct(), texts
+    return dealt.select("bucket", "i", "j", "own", "root", "line").mapInArrow(exact, "a long, b long").distinct()
 
 
 def _cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
@@ -344,20 +344,18 @@ def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, bands: int =
     pairs, members = tied.filter("b is not null").select("a", "b"), tied.filter("b is null").select("bucket", F.col("a").alias("key"))
     texts = chosen(lines, pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     links = written(verified(pairs, texts, width, similarity), "links")
-    compared = texts.select("key", "check")
     roots = written(components(links), "roots")
     if not members.isEmpty():
-        crossed, more_texts = bridges(members, roots, lines, width, similarity)
-        crossed = written(crossed, "links")
+        crossed = written(bridges(members, roots, texts, width, similarity), "links")
         if not crossed.isEmpty():
             more = components(crossed).select(F.col("node").alias("root"), F.col("root").alias("top"))
             roots = written(roots.join(more, "root", "full").select(F.coalesce("node", "root").alias("node"), F.coalesce("top", "root").alias("root")), "roots")
-            compared = compared.unionByName(more_texts.select("key", "check")).dropDuplicates(["key"])
-    named = written(roots.join(compared, F.col("node") == F.col("key")).select("key", "check", "root"), "named")
+    named = written(roots.join(texts.select("key", "check"), F.col("node") == F.col("key")).select("key", "check", "root"), "named")
     dropped(spark, texts, tied, links)
     at = places.select("doc_id", *_KEYS, F.explode(F.arrays_zip("numbers", "keys", "checks")).alias("l")).select("doc_id", *_KEYS, F.col("l.numbers").alias("line_no"), F.col("l.keys").alias("key"), F.col("l.checks").alias("check"))
     # A component is named by its root and a zero, any other line by the two halves of its hash.
-    placed = at.distinct().join(named, ["key", "check"], "left").select(
+    # A row that repeats id and text has the place of the other one, so it counts in n but is never taken for another line.
+    placed = at.join(named, ["key", "check"], "left").select(
         "doc_id", *_KEYS, "line_no", F.coalesce("root", "key").alias("name"), F.when(F.col("root").isNull(), F.col("check")).otherwise(F.lit(0)).alias("more"))
     placed = written(placed, "placed")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", *_KEYS, "line_no")

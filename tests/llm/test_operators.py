@@ -393,3 +393,59 @@ def test_feistel_is_a_permutation(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     same(spark, QUERIES[name], SQL[name], SF)
+
+
+def test_columns_of_inner_names_pass_through(spark):
+    """Columns named like those that operators use inside come out as they went in."""
+    rows = [(1, "one two three four five six seven\nsame line of words here"), (2, "one two three four five six seven\nsame line of words here"), (3, None), (3, None), (None, "x")]
+    names = ["_row", "_row1", "_row2", "_found", "_gaps", "_coded", "_bad", "key", "numbers", "c", "d", "line_no", "root", "doc_key"]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.concat(F.lit(n), F.coalesce("doc_id", F.lit(0))) for n in names})
+    items = spark.createDataFrame([(1, "absent words are not in any text")], "item_id long, text string")
+    forms = {
+        "lines": lines.dedup(docs), "jaccard": jaccard.first_of_each(docs), "bpe": bpe.tokenize(docs, vocabulary()), "pii": pii.pseudonymize(docs, "k"),
+        "decontam": decontam.clean(docs, items), "quality": quality.keep(docs),
+    }
+    for name, out in forms.items():
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        for r in out.select("doc_id", *names).collect():
+            assert all(r[n] == f"{n}{r['doc_id'] or 0}" for n in names), name
+    assert len(forms["lines"].collect()) == 5 and len(forms["decontam"].collect()) == 5
+
+
+def test_filters_above_quality_scores_end(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r["doc_id"] for r in quality.score(docs).filter("kept").select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in quality.keep(docs).select("doc_id").collect()}
+
+
+def test_suffix_at_production_lengths(spark):
+    """400 bytes, first digit of 200, blocks of 32, against all windows counted one by one."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60").collect()]
+    rnd = random.Random(11)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(430))
+    rows += [(1000, "start " + passage + " middle"), (1001, passage[10:] + "x" * 900), (1002, passage[:399])]
+    seen = collections.Counter(t[i : i + 400] for _, x in rows for t in [x.encode()] for i in range(len(t) - 399))
+    want = {}
+    for d, x in rows:
+        t, gone = x.encode(), bytearray(len(x.encode()))
+        for i in range(len(t) - 399):
+            if seen[t[i : i + 400]] > 1:
+                gone[i : i + 400] = b"\1" * 400
+        want[d] = (sum(gone), bytes(c for c, g in zip(t, gone, strict=True) if not g))
+    got = {r["doc_id"]: (r["n_removed"], bytes(r["kept"])) for r in suffix.dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == want and want[1000][0] == 420
+
+
+def test_social_security_numbers_stay_valid(spark):
+    rows = [(i, f"no {a:03d}-{g:02d}-{s:04d}.") for i, (a, g, s) in enumerate([(1, 1, 1), (665, 99, 9999), (667, 10, 1234), (899, 50, 42), (123, 45, 6789), (123, 45, 6789)])]
+    out = {r["doc_id"]: r["text"] for r in pii.pseudonymize(spark.createDataFrame(rows, SCHEMA), "k").collect()}
+    for i, text in out.items():
+        a, g, s = re.fullmatch(r"no (\d{3})-(\d{2})-(\d{4})\.", text).groups()
+        assert a not in ("000", "666") and a[0] != "9" and g != "00" and s != "0000" and text != rows[i][1]
+    assert out[4] == out[5] and len(set(out.values())) == 5
+
+
+def test_email_case_keeps_the_link(spark):
+    rows = [(1, "Jo.Doe@x.example"), (2, "jo.doe@x.example")]
+    out = {r["doc_id"]: r["text"] for r in pii.pseudonymize(spark.createDataFrame(rows, SCHEMA), "k").collect()}
+    assert out[1].lower() == out[2] != "jo.doe@x.example" and out[1][0].isupper()

@@ -13,7 +13,8 @@ texts are scored.
 Only counts move: tokens are counted by pair where they are read and summed by key. Counts, seating and scoring cover
 all training documents. For scoring, the ``heavy`` most frequent words and pairs (a fixed number, hence of bounded
 size) go to each task as sorted arrays; whatever a text holds beside them is joined by shuffle, so no word or pair is
-left out at any size.
+left out at any size. A pair seen once is stored only if a held-out text holds it too: a training text's pair that the
+table lacks was seen once, and then its context alone tells its probability.
 
 Edge cases: a null text is empty and has only its end; words are told apart by a 64-bit hash; a null id hashes as an
 empty one and so always has the same fold; rows are scored one by one, so repeated rows and ids stay apart; with no
@@ -22,6 +23,7 @@ training documents all words are unknown; texts are read whole; extra columns ar
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sievework.llm.near import mixed
-from sievework.llm.shared import dropped, written
+from sievework.llm.shared import PACKED, by_part, dropped, parts_of, written
 
 GAP = re.compile(rb"[\x20\x09-\x0D]")
 END = -1  # the end of a text, as a word; also the context of a first word
@@ -145,34 +148,92 @@ def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 22) -> Iterator[
             yield batch.slice(at)
 
 
-def count_pairs(docs: DataFrame) -> DataFrame:
-    """(context, word, n) over the training documents, summed."""
+def part_of(code: np.ndarray, parts: int) -> np.ndarray:
+    return ((code.view(np.uint64) >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+
+
+def _summed(c: np.ndarray, w: np.ndarray, n: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Equal pairs as one, by context: counts added, ``held`` where any was."""
+    order = np.argsort(pair_code(c, w), kind="stable")
+    order = order[np.argsort(c[order], kind="stable")]
+    c, w, n, held = c[order], w[order], n[order], held[order]
+    new = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])) if len(c) else np.zeros(0, np.int64)
+    if not len(new):
+        return c, w, n, held
+    return c[new], w[new], np.add.reduceat(n, new), np.maximum.reduceat(held, new)
+
+
+def count_pairs(docs: DataFrame, whole: bool = True) -> DataFrame:
+    """Pairs of the training documents: those seen more than once (kind 0); those seen once (kind 3), all of them if
+    ``whole``, else those that a held-out document holds too; and for every word (kind 1) and every context (kind 2, named
+    in ``word``) partial sums of customers and of pairs seen once, over all pairs in either case."""
+    spark = docs.sparkSession
+    parts = parts_of(spark, 2)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows: list[tuple[np.ndarray, ...]] = []
         total = 0
 
-        def summed() -> pa.RecordBatch:
-            c, w = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(pair_code(c, w), kind="stable")
-            c, w = c[order], w[order]
-            new = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])]))
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c[new]), pa.array(w[new]), pa.array(np.diff(new, append=len(c)))], ["context", "word", "n"])
+        def flush() -> pa.RecordBatch:
+            c, w, n, held = _summed(*(np.concatenate(x) for x in zip(*rows, strict=True)))
+            rows.clear()
+            part = part_of(pair_code(c, w), parts)
+            order = np.argsort(part, kind="stable")
+            part, c, w, n, held = (x[order] for x in (part, c, w, n, held))
+            # Contexts go as runs: each once for a part, with its number of pairs.
+            new = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (part[1:] != part[:-1])]))
+            ends = np.flatnonzero(np.concatenate([part[1:] != part[:-1], [True]])) + 1
+            starts = np.concatenate([[0], ends[:-1]])
+            first, last = np.searchsorted(new, starts), np.searchsorted(new, ends)
+            runs = np.diff(new, append=len(c)).astype(np.int32)
+            arrays = [
+                [w[s:e].tobytes(), n[s:e].astype(np.int32).tobytes(), held[s:e].tobytes(), c[new[f:l]].tobytes(), runs[f:l].tobytes()]
+                for s, e, f, l in zip(starts.tolist(), ends.tolist(), first.tolist(), last.tolist(), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), pa.array(arrays, pa.list_(pa.binary()))], ["part", "arrays"])
 
         for batch in _slices(batches):
-            texts = [t for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if not held_out(d)]
-            if texts:
-                words, sizes = coded(texts)
-                held.append((before(words, np.cumsum(sizes) - sizes), words))
-                total += len(words)
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            if not texts:
+                continue
+            words, sizes = coded(texts)
+            away = np.repeat(np.array([held_out(d) for d in ids]), sizes)
+            rows.append((before(words, np.cumsum(sizes) - sizes), words, (~away).astype(np.int64), away.astype(np.int8)))
+            total += len(words)
             if total > 3_000_000:
-                yield summed()
+                yield flush()
                 total = 0
-        if held:
-            yield summed()
+        if rows:
+            yield flush()
+
+    kept: list[tuple[np.ndarray, ...]] = []
+    names = ["kind", "context", "word", "n", "ones"]
+
+    def sums(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], n[order]
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(new), kind, np.int32)), pa.array(np.zeros(len(new), np.int64)), pa.array(key[new]), pa.array(np.add.reduceat(n, new)), pa.array(np.add.reduceat((n == 1).astype(np.int64), new))], names)
+
+    def reduced(part: int, arrays: list[np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
+        w, n, held, c, runs = arrays
+        kept.append((np.repeat(c, runs), w, n.astype(np.int64), held))
+        if len(kept) > 1:
+            kept[:] = [tuple(np.concatenate(x) for x in zip(*kept, strict=True))]
+        kept[:] = [_summed(*kept[0])]
+        if not last:
+            return
+        c, w, n, held = kept.pop()
+        for kind, some in ((0, np.flatnonzero(n > 1)), (3, np.flatnonzero((n == 1) & ((held > 0) | whole)))):
+            for at in range(0, len(some), 1 << 18):
+                i = some[at : at + (1 << 18)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), kind, np.int32)), pa.array(c[i]), pa.array(w[i]), pa.array(n[i]), pa.array(np.zeros(len(i), np.int64))], names)
+        c, w, n = c[n > 0], w[n > 0], n[n > 0]
+        if len(n):
+            yield sums(1, w, n)
+            yield sums(2, c, n)
 
-    return docs.select("doc_id", "text").mapInArrow(counted, "context long, word long, n long").groupBy("context", "word").agg(F.sum("n").alias("n"))
+    rows = docs.select("doc_id", "text").mapInArrow(counted, PACKED)
+    return by_part(rows, reduced, [np.int64, np.int32, np.int8, np.int64, np.int32], "kind int, context long, word long, n long, ones long")
 
 
 @lru_cache(2)
@@ -221,13 +282,15 @@ def draw_tables(n: np.ndarray, others: np.ndarray, base: np.ndarray, discount: f
     return t
 
 
-def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DISCOUNT, strength: float = STRENGTH, seed: int = 7) -> tuple[DataFrame, DataFrame, dict]:
-    """Pairs (context, word, n, excess) with ``excess`` the averaged part of a pair's probability that its own
-    customers give; words (word, n, p, lift): the count, the parent's averaged probability, and what the word as a
-    context passes to its parent; and totals. A pair seen once sits at one table for certain and is only drawn in
-    the sense that its table counts in its context and in the parent."""
+def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DISCOUNT, strength: float = STRENGTH, seed: int = 7, whole: bool = True) -> tuple[DataFrame, DataFrame, dict]:
+    """Pairs (context, word, n, excess, ratio) with ``excess`` the averaged part of a pair's probability that its own
+    customers give, and ``ratio`` that part against the one of a pair seen once in the same context; words (word, n, p,
+    lift, alone): the count, the parent's averaged probability, what the word as a context passes to its parent, and
+    the part of a pair seen once in that context (null where it is no context); and totals. A pair seen once sits at one
+    table for certain, which counts in its context and in the parent. Without ``whole`` the pairs seen once that no
+    held-out document holds are not listed, since ``alone`` says all about them."""
     spark = docs.sparkSession
-    counted = written(condensed(count_pairs(docs)), "counts")
+    counted = written(count_pairs(docs, whole), "counts")
     pairs, single = (counted.filter(f"kind = {kind}").select("context", "word", "n") for kind in (0, 3))
     words = written(counted.filter("kind = 1").groupBy("word").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")), "words")
     rooms = written(counted.filter("kind = 2").groupBy(F.col("word").alias("context")).agg(F.sum("n").alias("c"), F.sum("ones").alias("ones")), "rooms")
@@ -279,143 +342,190 @@ def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DIS
     seating = written(mean([t for t, _, _ in kept], ["context", "word", "n"], "t"), "seating")
     dropped(spark, *(t for t, _, _ in kept))
     passed = rooms.join(seating.groupBy("context").agg(F.sum("t").alias("t")), "context", "left")
-    lift = passed.select(F.col("context").alias("word"), ((strength + discount * (F.coalesce("t", F.lit(0.0)) + F.col("ones"))) / (strength + F.col("c"))).alias("lift"))
+    lift = passed.select(F.col("context").alias("word"), ((strength + discount * (F.coalesce("t", F.lit(0.0)) + F.col("ones"))) / (strength + F.col("c"))).alias("lift"), ((1 - discount) / (strength + F.col("c"))).alias("alone"))
     model = written(words.select("word", "n").join(mean([p for _, p, _ in kept], ["word"], "p"), "word").join(lift, "word", "left"), "words-model")
     seated = seating.unionByName(single.withColumn("t", F.lit(1.0)))
-    excess = seated.join(rooms.select("context", "c"), "context").select("context", "word", "n", ((F.col("n") - discount * F.col("t")) / (strength + F.col("c"))).alias("excess"))
+    excess = seated.join(rooms.select("context", "c"), "context").select("context", "word", "n", ((F.col("n") - discount * F.col("t")) / (strength + F.col("c"))).alias("excess"), ((F.col("n") - discount * F.col("t")) / (1 - discount)).alias("ratio"))
     full = written(excess, "pairs-model")
     dropped(spark, counted, seating)
     return full, model, {"tokens": tokens, "distinct": distinct, "unseen": sum(u for _, _, u in kept) / len(kept)}
 
 
-def condensed(pairs: DataFrame) -> DataFrame:
-    """Pairs seen more than once (kind 0) and once (kind 3), in an order of contexts that takes little room, and for every
-    word (kind 1) and every context (kind 2, named in ``word``) partial sums of customers and of pairs seen once."""
-
-    def condense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "context", "word", "n", "ones"]
-        held: dict[str, list[np.ndarray]] = {"context": [], "word": [], "n": []}
-        rows = 0
-
-        def sums(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            order = np.argsort(key, kind="stable")
-            key, n = key[order], n[order]
-            new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(new), kind, np.int32)), pa.array(np.zeros(len(new), np.int64)), pa.array(key[new]), pa.array(np.add.reduceat(n, new)), pa.array(np.add.reduceat((n == 1).astype(np.int64), new))], names)
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            c, w, n = (np.concatenate(held[k]) for k in ("context", "word", "n"))
-            for x in held.values():
-                x.clear()
-            order = np.argsort(c, kind="stable")
-            c, w, n = c[order], w[order], n[order]
-            for kind, some in ((0, np.flatnonzero(n > 1)), (3, np.flatnonzero(n == 1))):
-                for at in range(0, len(some), 1 << 18):
-                    i = some[at : at + (1 << 18)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), kind, np.int32)), pa.array(c[i]), pa.array(w[i]), pa.array(n[i]), pa.array(np.zeros(len(i), np.int64))], names)
-            yield sums(1, w, n)
-            yield sums(2, c, n)
+def _keys(ids: list, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A 96-bit name of each row, by id and text: the same wherever it is worked out."""
+    made = b"".join(hashlib.blake2b(repr((d, t is None)).encode() + (t or "").encode(), digest_size=12).digest() for d, t in zip(ids, texts, strict=True))
+    both = np.frombuffer(made, np.dtype([("a", "<i8"), ("b", "<i4")]))
+    return both["a"].copy(), both["b"].copy()
 
-        for b in batches:
-            c, w, n = (np.asarray(b.column(k)) for k in ("context", "word", "n"))
-            if not len(n):
-                continue
-            for k, x in zip(held, (c, w, n), strict=True):
-                held[k].append(x.copy())
-            rows += len(n)
-            if rows > 4_000_000:
-                yield from flush()
-                rows = 0
-        if held["n"]:
-            yield from flush()
 
-    return pairs.mapInArrow(condense, "kind int, context long, word long, n long, ones long")
+def _lookups(parts: int, code: np.ndarray, odds: np.ndarray, k1: np.ndarray, k2: np.ndarray) -> tuple[list[int], list[list[bytes]]]:
+    """Tokens whose pair is looked up, by part of the pair; in a part a row's name stands once, with its number of tokens."""
+    part = part_of(code, parts)
+    order = np.lexsort((k2, k1, part))
+    part, code, odds, k1, k2 = (x[order] for x in (part, code, odds, k1, k2))
+    new = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (part[1:] != part[:-1])]))
+    ends = np.flatnonzero(np.concatenate([part[1:] != part[:-1], [True]])) + 1
+    starts = np.concatenate([[0], ends[:-1]])
+    first, last = np.searchsorted(new, starts), np.searchsorted(new, ends)
+    runs = np.diff(new, append=len(code)).astype(np.int32)
+    arrays = [
+        [code[s:e].tobytes(), odds[s:e].astype(np.float32).tobytes(), k1[new[f:l]].tobytes(), k2[new[f:l]].tobytes(), runs[f:l].tobytes()]
+        for s, e, f, l in zip(starts.tolist(), ends.tolist(), first.tolist(), last.tolist(), strict=True)]
+    return part[starts].tolist(), arrays
 
 
 def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, heavy_pairs: int = HEAVY_PAIRS, **options) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, one row per row of ``docs``."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, one row per row of ``docs``.
+
+    A token's probability is ``alone * (ratio + odds)``: ``alone`` is what a pair seen once has in its context, ``odds`` what
+    the parent gives against that. Texts are read once for all pairs beyond the frequent ones: tokens go to their pair's
+    part with code and odds only. A pair of a training document that the model doesn't list was seen once, so its ratio
+    is 1; for a held-out document it is 0."""
     spark = docs.sparkSession
+    parts = parts_of(spark, 2)
     rows = docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("text"))
-    pairs, words, totals = train(rows, **options)
-    top_words = words.orderBy(F.desc("n"), "word").limit(heavy_words).select("word", "n", "p", F.coalesce("lift", F.lit(1.0)).alias("lift")).toArrow()
-    all_words, all_pairs = totals["distinct"] <= heavy_words, pairs.count() <= heavy_pairs
-    frequent = pairs if all_pairs else pairs.filter("n > 1")
-    top_pairs = frequent.orderBy(F.desc("n"), "context", "word").limit(heavy_pairs).select("context", "word", "excess").toArrow()
+    pairs, words, totals = train(rows, whole=False, **options)
+    top_words = words.orderBy(F.desc("n"), "word").limit(heavy_words).select("word", "n", "p", F.coalesce("lift", F.lit(1.0)).alias("lift"), F.coalesce("alone", F.lit(0.0)).alias("alone")).toArrow()
+    all_words = totals["distinct"] <= heavy_words
+    top_pairs = pairs.orderBy(F.desc("n"), "context", "word").limit(heavy_pairs).select("context", "word", "ratio").toArrow()
     code = pair_code(np.asarray(top_pairs.column("context")), np.asarray(top_pairs.column("word")))
     order, worder = np.argsort(code), np.argsort(np.asarray(top_words.column("word")))
     shared = spark.sparkContext.broadcast((
-        code[order], np.asarray(top_pairs.column("excess"))[order],
-        *(np.asarray(top_words.column(k))[worder] for k in ("word", "n", "p", "lift")),
+        code[order], np.asarray(top_pairs.column("ratio"))[order],
+        *(np.asarray(top_words.column(k))[worder] for k in ("word", "n", "p", "lift", "alone")),
     ))
     n_total, v, unseen = totals["tokens"], totals["distinct"], totals["unseen"]
-    base_log = np.log10(n_total + 0.1 * (v + 1))
-
-    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, excess, names, n, p, lift = shared.value
+    base_log = float(np.log10(n_total + 0.1 * (v + 1)))
+    kind = docs.schema["doc_id"].dataType
+    kind_arrow = to_arrow_type(kind)
 
-        def find(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            at = np.minimum(np.searchsorted(table, x), max(0, len(table) - 1))
-            return at, (table[at] == x) if len(table) else np.zeros(len(x), bool)
+    def find(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(table, x), max(0, len(table) - 1))
+        return at, (table[at] == x) if len(table) else np.zeros(len(x), bool)
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Per slice: ids, fold, codes of words with their contexts, sizes, text of each token, names."""
         for batch in _slices(batches):
-            texts = batch.column("text").to_pylist()
-            if not texts:
-                continue
-            w, sizes = coded(texts)
-            doc = np.repeat(np.arange(len(texts)), sizes)
-            c = before(w, np.cumsum(sizes) - sizes)
-            wi, w_in = find(names, w)
-            ci, c_in = find(names, c)
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            if texts:
+                w, sizes = coded(texts)
+                yield batch.column("doc_id"), np.array([held_out(d) for d in ids]), before(w, np.cumsum(sizes) - sizes), w, sizes, np.repeat(np.arange(len(texts)), sizes), _keys(ids, texts)
+
+    names = ["part", "side", "arrays", "k1", "k2", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    fields = f"part int, side int, arrays array<binary>, k1 long, k2 int, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+    def chunk(side: int, part: list[int], arrays: list[list[bytes]]) -> pa.RecordBatch:
+        nothing = [pa.nulls(len(part), t) for t in (pa.int64(), pa.int32(), kind_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([side] * len(part), pa.int32()), pa.array(arrays, pa.list_(pa.binary())), *nothing], names)
+
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, ratio, known, n, p, lift, alone = shared.value
+        late: list[tuple[np.ndarray, ...]] = []
+        waiting = 0
+        for ids, away, c, w, sizes, doc, (k1, k2) in read(batches):
+            wi, w_in = find(known, w)
+            ci, c_in = find(known, c)
             both = pair_code(c, w)
             pi, p_in = find(codes, both)
-            # What is known here is settled here. Words beyond the frequent ones are joined as words, and a pair that may
-            # be in the model beyond the frequent ones is looked up by its code alone.
-            words_known = (w_in | all_words) & (c_in | all_words)
-            settled = words_known & (p_in | all_pairs)
-            late = words_known & ~settled
-            count = np.where(w_in, n[wi], 0) if len(n) else np.zeros(len(w), np.int64)
-            base = np.log10(count + 0.1) - base_log
-            up = np.where(w_in, p[wi], unseen) if len(n) else np.full(len(w), unseen)
-            room = np.where(c_in, lift[ci], 1.0) if len(n) else np.ones(len(w))
-            own = np.where(p_in, excess[pi], 0.0) if len(codes) else np.zeros(len(w))
-            prob = np.log10(own + room * up)
-            total = lambda x, s: np.bincount(doc[s], x[s], len(texts)).astype(float)
+            pick = lambda table, at, have, other: np.where(have, table[at], other) if len(table) else np.full(len(have), other)
+            count = pick(n, wi, w_in, 0)
+            up = pick(lift, ci, c_in, 1.0) * pick(p, wi, w_in, unseen)
+            own = pick(alone, ci, c_in, 0.0)
+            # What is known here is settled here: frequent pairs, and words after what is no context of the training texts.
+            named = (w_in | all_words) & (c_in | all_words)
+            later = named & ~p_in & (own > 0)
+            prob = np.log10(pick(ratio, pi, p_in, 0.0) * own + up)
+            prob[later] = np.log10(own[later])
+            total = lambda x: np.bincount(doc[named], x[named], len(sizes)).astype(float)
+            none = pa.nulls(len(sizes), pa.list_(pa.binary()))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([held_out(d) for d in batch.column("doc_id").to_pylist()]), pa.array(sizes.astype(np.int64)),
-                pa.array(total((count > 0).astype(float), words_known).astype(np.int64)), pa.array(total(base, words_known)), pa.array(total(prob, settled)),
-                _left(doc, late, len(texts), code=both, up=room * up),
-                _left(doc, ~words_known, len(texts), context=c, word=w, code=both),
-            ], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "late", "rest"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    fields = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    first = written(rows.mapInArrow(looked_up, fields + ", late array<struct<code:long,up:double>>, rest array<struct<context:long,word:long,code:long>>").withColumn("row", F.monotonically_increasing_id()), "settled")
-
-    def by_code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                pa.array(part_of(k1, parts).astype(np.int32)), pa.array(np.full(len(sizes), 2, np.int32)), none, pa.array(k1), pa.array(k2), ids, pa.array(away), pa.array(sizes.astype(np.int64)),
+                pa.array(total((count > 0).astype(float)).astype(np.int64)), pa.array(total(np.log10(count + 0.1) - base_log)), pa.array(total(prob))], names)
+            odds = up[later] / own[later]
+            of = doc[later]
+            late.append((both[later], np.where(away[of], -odds, odds), k1[of], k2[of]))
+            waiting += len(of)
+            if waiting > 2_000_000:
+                yield chunk(1, *_lookups(parts, *(np.concatenate(x) for x in zip(*late, strict=True))))
+                late.clear()
+                waiting = 0
+        if waiting:
+            yield chunk(1, *_lookups(parts, *(np.concatenate(x) for x in zip(*late, strict=True))))
+
+    def model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = pair_code(np.asarray(b.column("context")), np.asarray(b.column("word")))
+            part = part_of(codes, parts)
+            order = np.argsort(part, kind="stable")
+            part, codes, ratio = part[order], codes[order], np.asarray(b.column("ratio"))[order]
+            ends = np.flatnonzero(np.concatenate([part[1:] != part[:-1], [True]])) + 1 if len(part) else np.zeros(0, np.int64)
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
+            yield chunk(0, part[starts].tolist(), [[codes[s:e].tobytes(), ratio[s:e].tobytes()] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
+
+    every = rows.mapInArrow(looked_up, fields).unionByName(pairs.select("context", "word", "ratio").mapInArrow(model, fields))
+    extra = None
+    if not all_words:
+        def beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = shared.value[2]
+            for _, away, c, w, _, doc, (k1, k2) in read(batches):
+                i = np.flatnonzero(~(find(known, w)[1] & find(known, c)[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(k1[doc[i]]), pa.array(k2[doc[i]]), pa.array(away[doc[i]]), pa.array(c[i]), pa.array(w[i])], ["k1", "k2", "away", "context", "word"])
+
+        rest = rows.mapInArrow(beyond, "k1 long, k2 int, away boolean, context long, word long").groupBy("k1", "k2", "away", "context", "word").agg(F.count("*").alias("k"))
+        after = words.select(F.col("word").alias("context"), "lift", "alone")
+        rest = written(rest.join(words.select("word", "n", "p"), "word", "left").join(after, "context", "left").select(
+            "k1", "k2", "away", "context", "word", "k", F.coalesce("n", F.lit(0)).alias("n"), "alone", (F.coalesce("lift", F.lit(1.0)) * F.coalesce("p", F.lit(float(unseen)))).alias("up")), "rest")
+
+        def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    k1, k2, away, c, w, k, own, up = (b.column(x).to_numpy(zero_copy_only=False) for x in ("k1", "k2", "away", "context", "word", "k", "alone", "up"))
+                    odds = np.where(away.astype(bool), -up / own, up / own)
+                    yield chunk(1, *_lookups(parts, *(np.repeat(x, k) for x in (pair_code(c, w), odds, k1, k2))))
+
+        every = every.unionByName(rest.filter("alone is not null").mapInArrow(asked, fields))
+        extra = rest.groupBy("k1", "k2").agg(
+            F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("n_known"), F.sum(F.col("k") * (F.log10(F.col("n") + 0.1) - base_log)).alias("base_score"),
+            F.sum(F.col("k") * F.log10(F.coalesce("alone", "up"))).alias("score"))
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, listed, table = None, [], None
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(pair_code(np.asarray(b.column("context")), np.asarray(b.column("word")))), b.column("excess")], ["code", "excess"])
-
-    codes_of = pairs.select("context", "word", "excess").mapInArrow(by_code, "code long, excess double")
-    w = words.select("word", "n", "p")
-    left = first.select("row", F.explode("rest").alias("r")).groupBy("row", "r.context", "r.word", "r.code").agg(F.count("*").alias("k"))
-    named = left.join(w, "word", "left").join(words.select(F.col("word").alias("context"), "lift"), "context", "left").select(
-        "row", "code", (F.coalesce("lift", F.lit(1.0)) * F.coalesce("p", F.lit(float(unseen)))).alias("up"), "k",
-        F.when(F.col("n") > 0, F.col("k")).otherwise(0).alias("known"), (F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + 0.1) - float(base_log))).alias("base"))
-    late = first.select("row", F.explode("late").alias("l")).select("row", "l.code", "l.up", F.lit(1).cast("long").alias("k"), F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"))
-    found = late.unionByName(named).join(codes_of, "code", "left")
-    later = found.groupBy("row").agg(
-        F.sum("known").alias("known2"), F.sum("base").alias("base2"),
-        F.sum(F.col("k") * F.log10(F.coalesce("excess", F.lit(0.0)) + F.col("up"))).alias("score2"),
-    )
-    return first.drop("late", "rest").join(later, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known2", F.lit(0))).cast("long").alias("n_known"), F.lit(n_total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"))
-
-
-def _left(doc: np.ndarray, which: np.ndarray, n: int, **columns: np.ndarray) -> pa.Array:
-    """Chosen tokens as a list of structs for each of ``n`` texts."""
-    ends = np.concatenate([[0], np.cumsum(np.bincount(doc[which], minlength=n))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(c[which]) for c in columns.values()], list(columns)))
+            columns = [b.column(k) for k in names[3:]]
+            docs_here = np.flatnonzero(np.asarray(b.column("side")) == 2)
+            if len(docs_here):
+                yield pa.RecordBatch.from_arrays([x.take(pa.array(docs_here)) for x in columns], names[3:])
+            for part, side, arrays in zip(b.column("part").to_pylist(), b.column("side").to_pylist(), b.column("arrays"), strict=True):
+                if part != now:
+                    now, listed, table = part, [], None
+                if side == 2:
+                    continue
+                parts_here = arrays.as_py()
+                if side == 0:
+                    listed.append(parts_here)
+                    continue
+                if table is None:
+                    codes, ratio = (np.concatenate([np.frombuffer(x[i], t) for x in listed] or [np.zeros(0, t)]) for i, t in enumerate((np.int64, np.float64)))
+                    order = np.argsort(codes)
+                    table, listed = (codes[order], ratio[order]), []
+                code, odds, k1, k2, runs = (np.frombuffer(x, t) for x, t in zip(parts_here, (np.int64, np.float32, np.int64, np.int32, np.int32), strict=True))
+                at, have = find(table[0], code)
+                away = odds < 0
+                ratio = np.where(have, table[1][at], np.where(away, 0.0, 1.0)) if len(table[0]) else np.where(away, 0.0, 1.0)
+                prob = np.add.reduceat(np.log10(ratio + np.abs(odds).astype(np.float64)), np.cumsum(runs) - runs)
+                nothing = [pa.nulls(len(k1), t) for t in (kind_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), *nothing, pa.array(prob)], names[3:])
+
+    sums = every.repartition("part").sortWithinPartitions("part", "side").mapInArrow(matched, fields.partition("arrays array<binary>, ")[2])
+    if extra is not None:
+        sums = sums.unionByName(extra, allowMissingColumns=True)
+    # Rows of equal id and text share their name and so their sums, which are theirs in equal shares.
+    found = sums.groupBy("k1", "k2").agg(
+        F.count("n_tokens").alias("copies"), F.first("doc_id", True).alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
+        *(F.sum(k).alias(k) for k in ("n_known", "base_score", "score")))
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"), F.lit(n_total).cast("long").alias("train_tokens"),
+        (F.col("base_score") / F.col("copies")).alias("base_score"), (F.col("score") / F.col("copies")).alias("score"))
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

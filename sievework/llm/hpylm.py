@@ -42,7 +42,7 @@ GAP = re.compile(rb"[\x20\x09-\x0D]")
 END = -1  # the end of a text, as a word; also the context of a first word
 UNKNOWN = 0  # what a word's hash never is
 DISCOUNT, STRENGTH, EXACT = 0.75, 2.0, 32
-HEAVY_WORDS, HEAVY_PAIRS = 1 << 18, 1 << 20
+HEAVY_WORDS, HEAVY_PAIRS = 1 << 20, 1 << 20
 
 
 def held_out(doc_id) -> bool:
@@ -283,7 +283,7 @@ def draw_tables(n: np.ndarray, others: np.ndarray, base: np.ndarray, discount: f
 
 
 def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DISCOUNT, strength: float = STRENGTH, seed: int = 7, whole: bool = True) -> tuple[DataFrame, DataFrame, dict]:
-    """Pairs (context, word, n, excess, ratio) with ``excess`` the averaged part of a pair's probability that its own
+    """Pairs (context, word, n, excess if ``whole``, ratio) with ``excess`` the averaged part of a pair's probability that its own
     customers give, and ``ratio`` that part against the one of a pair seen once in the same context; words (word, n, p,
     lift, alone): the count, the parent's averaged probability, what the word as a context passes to its parent, and
     the part of a pair seen once in that context (null where it is no context); and totals. A pair seen once sits at one
@@ -297,58 +297,68 @@ def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DIS
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     uniform = 1.0 / (distinct + 1)
 
-    def parent(tables: DataFrame, tops: DataFrame, total: int, sweep: int) -> tuple[DataFrame, int, float]:
-        """The unigram restaurant, whose customers are the contexts' tables, seated anew: word, t and p; all its tables;
-        and the probability of a word that training has not seen."""
-        m = words.select("word", "ones").join(tables.groupBy("word").agg(F.sum("t").alias("s")), "word", "left").join(tops, "word").select("word", (F.col("ones") + F.coalesce("s", F.lit(0))).alias("m"), "t")
+    def parent(tables: DataFrame, tops: DataFrame, total: int, sweep: int) -> tuple[DataFrame, DataFrame, int, float]:
+        """The unigram restaurant, whose customers are the contexts' tables, seated anew: its written table; word, t, p and
+        the sum of p over the kept sweeps; all its tables; and the probability of a word that training has not seen."""
+        m = words.select("word", "ones").join(tables.groupBy("word").agg(F.sum("t").alias("s")), "word", "left").join(tops, "word").select("word", (F.col("ones") + F.coalesce("s", F.lit(0))).alias("m"), "t", "sum")
 
         def reseated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 w, n, t = (np.asarray(b.column(k)) for k in ("word", "m", "t"))
                 new = draw_tables(n, total - t, np.full(len(n), uniform), discount, strength, w, seed, sweep, 1)
-                yield pa.RecordBatch.from_arrays([b.column("word"), b.column("m"), pa.array(new)], ["word", "m", "t"])
+                yield pa.RecordBatch.from_arrays([b.column("word"), b.column("m"), pa.array(new), b.column("sum")], ["word", "m", "t", "sum"])
 
-        found = written(m.mapInArrow(reseated, "word long, m long, t long"), "parent")
+        found = written(m.mapInArrow(reseated, "word long, m long, t long, sum double"), "parent")
         customers, seats = found.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
         spare = (strength + discount * seats) * uniform
-        return found.select("word", "t", ((F.col("m") - discount * F.col("t") + spare) / (strength + float(customers))).alias("p")), seats, spare / (strength + customers)
+        p = found.withColumn("p", (F.col("m") - discount * F.col("t") + spare) / (strength + float(customers)))
+        return found, p.select("word", "t", "p", (F.col("sum") + (F.col("p") if sweep > burn else F.lit(0.0))).alias("sum")), seats, spare / (strength + customers)
 
-    tables = pairs.withColumn("t", F.lit(1).cast("long"))
-    p, total, _ = parent(tables, words.select("word", F.lit(1).cast("long").alias("t")), distinct, 0)
-    kept: list[tuple[DataFrame, DataFrame, float]] = []
+    tables = pairs.withColumns({"t": F.lit(1).cast("long"), "seen": F.lit(0).cast("long")})
+    found, p, total, _ = parent(tables, words.select("word", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("sum")), distinct, 0)
+    spare: list[float] = []
     for sweep in range(1, sweeps + 1):
         seats = rooms.select("context", "ones").join(tables.groupBy("context").agg(F.sum("t").alias("t")), "context").select("context", (F.col("ones") + F.col("t")).alias("seats"))
         joined = tables.join(p.select("word", "p"), "word").join(seats, "context")
 
         def reseated(batches: Iterator[pa.RecordBatch], sweep: int = sweep) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                c, w, n, t, base, seats = (np.asarray(b.column(k)) for k in ("context", "word", "n", "t", "p", "seats"))
+                c, w, n, t, seen, base, seats = (np.asarray(b.column(k)) for k in ("context", "word", "n", "t", "seen", "p", "seats"))
                 new = draw_tables(n, seats - t, base, discount, strength, pair_code(c, w), seed, sweep, 0)
-                yield pa.RecordBatch.from_arrays([b.column("context"), b.column("word"), b.column("n"), pa.array(new)], ["context", "word", "n", "t"])
+                yield pa.RecordBatch.from_arrays([b.column("context"), b.column("word"), b.column("n"), pa.array(new), pa.array(seen + new * (sweep > burn))], ["context", "word", "n", "t", "seen"])
 
-        last, tables = tables, written(joined.select("context", "word", "n", "t", "p", "seats").mapInArrow(reseated, "context long, word long, n long, t long"), "tables")
-        if 1 < sweep <= burn + 1:
+        last, tables = tables, written(joined.select("context", "word", "n", "t", "seen", "p", "seats").mapInArrow(reseated, "context long, word long, n long, t long, seen long"), "tables")
+        if sweep > 1:
             dropped(spark, last)
-        p, total, unseen = parent(tables, p.select("word", "t"), total, sweep)
+        old = found
+        found, p, total, unseen = parent(tables, p.select("word", "t", "sum"), total, sweep)
+        dropped(spark, old)
         if sweep > burn:
-            kept.append((tables, p.select("word", "p"), unseen))
+            spare.append(unseen)
 
-    def mean(frames: list[DataFrame], keys: list[str], value: str) -> DataFrame:
-        every = frames[0]
-        for more in frames[1:]:
-            every = every.unionByName(more)
-        return every.groupBy(*keys).agg((F.sum(value) / len(frames)).alias(value))
-
-    seating = written(mean([t for t, _, _ in kept], ["context", "word", "n"], "t"), "seating")
-    dropped(spark, *(t for t, _, _ in kept))
+    seating = tables.select("context", "word", "n", (F.col("seen") / len(spare)).alias("t"))
     passed = rooms.join(seating.groupBy("context").agg(F.sum("t").alias("t")), "context", "left")
     lift = passed.select(F.col("context").alias("word"), ((strength + discount * (F.coalesce("t", F.lit(0.0)) + F.col("ones"))) / (strength + F.col("c"))).alias("lift"), ((1 - discount) / (strength + F.col("c"))).alias("alone"))
-    model = written(words.select("word", "n").join(mean([p for _, p, _ in kept], ["word"], "p"), "word").join(lift, "word", "left"), "words-model")
-    seated = seating.unionByName(single.withColumn("t", F.lit(1.0)))
-    excess = seated.join(rooms.select("context", "c"), "context").select("context", "word", "n", ((F.col("n") - discount * F.col("t")) / (strength + F.col("c"))).alias("excess"), ((F.col("n") - discount * F.col("t")) / (1 - discount)).alias("ratio"))
-    full = written(excess, "pairs-model")
-    dropped(spark, counted, seating)
-    return full, model, {"tokens": tokens, "distinct": distinct, "unseen": sum(u for _, _, u in kept) / len(kept)}
+    model = written(words.select("word", "n").join(p.select("word", (F.col("sum") / len(spare)).alias("p")), "word").join(lift, "word", "left"), "words-model")
+    full = seating.unionByName(single.withColumn("t", F.lit(1.0))).withColumn("ratio", (F.col("n") - discount * F.col("t")) / (1 - discount))
+    if whole:
+        full = written(full.join(rooms.select("context", "c"), "context").withColumn("excess", (F.col("n") - discount * F.col("t")) / (strength + F.col("c"))), "pairs-model")
+        dropped(spark, counted, tables)
+    dropped(spark, found, words, rooms)
+    return full, model, {"tokens": tokens, "distinct": distinct, "unseen": sum(spare) / len(spare)}
+
+
+def _frequent(table: DataFrame, most: int) -> DataFrame:
+    """The rows with the highest ``n``, at most ``most``: those above a count that a histogram of a few thousand bins tells, so
+    that nothing is sorted in one task."""
+    bins = table.groupBy(F.floor(F.log2("n") * 32).alias("bin")).agg(F.count("*").alias("rows"), F.min("n").alias("least")).collect()
+    least, total = None, 0
+    for b in sorted(bins, key=lambda b: -b["bin"]):
+        total += b["rows"]
+        if total > most:
+            break
+        least = b["least"]
+    return table.filter(F.col("n") >= least) if least is not None else table.limit(0)
 
 
 def _keys(ids: list, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -385,9 +395,9 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
     parts = parts_of(spark, 2)
     rows = docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("text"))
     pairs, words, totals = train(rows, whole=False, **options)
-    top_words = words.orderBy(F.desc("n"), "word").limit(heavy_words).select("word", "n", "p", F.coalesce("lift", F.lit(1.0)).alias("lift"), F.coalesce("alone", F.lit(0.0)).alias("alone")).toArrow()
+    top_words = _frequent(words, heavy_words).select("word", "n", "p", F.coalesce("lift", F.lit(1.0)).alias("lift"), F.coalesce("alone", F.lit(0.0)).alias("alone")).toArrow()
     all_words = totals["distinct"] <= heavy_words
-    top_pairs = pairs.orderBy(F.desc("n"), "context", "word").limit(heavy_pairs).select("context", "word", "ratio").toArrow()
+    top_pairs = _frequent(pairs, heavy_pairs).select("context", "word", "ratio").toArrow()
     code = pair_code(np.asarray(top_pairs.column("context")), np.asarray(top_pairs.column("word")))
     order, worder = np.argsort(code), np.argsort(np.asarray(top_words.column("word")))
     shared = spark.sparkContext.broadcast((

@@ -42,7 +42,7 @@ GAP = re.compile(rb"[\x20\x09-\x0D]")
 END = -1  # the end of a text, as a word; also the context of a first word
 UNKNOWN = 0  # what a word's hash never is
 DISCOUNT, STRENGTH, EXACT = 0.75, 2.0, 32
-HEAVY_WORDS, HEAVY_PAIRS = 1 << 20, 1 << 20
+HEAVY_WORDS, HEAVY_PAIRS = 1 << 19, 1 << 20
 
 
 def held_out(doc_id) -> bool:
@@ -271,7 +271,7 @@ def draw_tables(n: np.ndarray, others: np.ndarray, base: np.ndarray, discount: f
             weight = np.exp(weight - weight.max(axis=1, keepdims=True)).cumsum(axis=1)
             t[part] = 1 + (weight < luck[part][:, None] * weight[:, -1:]).sum(axis=1)
     for i in np.flatnonzero(n > EXACT).tolist():
-        rng = np.random.Generator(np.random.Philox(key=[int(key[i]) & (1 << 64) - 1, sum((x + 1) << 20 * k for k, x in enumerate(turn))]))
+        rng = np.random.Generator(np.random.Philox(key=np.array([int(key[i]) & (1 << 64) - 1, sum((x + 1) << 20 * k for k, x in enumerate(turn))], np.uint64)))
         seated, tables = EXACT, int(t[i])
         while seated < n[i]:
             block = min(seated, int(n[i]) - seated)
@@ -291,9 +291,12 @@ def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DIS
     held-out document holds are not listed, since ``alone`` says all about them."""
     spark = docs.sparkSession
     counted = written(count_pairs(docs, whole), "counts")
-    pairs, single = (counted.filter(f"kind = {kind}").select("context", "word", "n") for kind in (0, 3))
     words = written(counted.filter("kind = 1").groupBy("word").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")), "words")
     rooms = written(counted.filter("kind = 2").groupBy(F.col("word").alias("context")).agg(F.sum("n").alias("c"), F.sum("ones").alias("ones")), "rooms")
+    # The partial sums take most of the first table; what is read in each sweep goes to one of its own.
+    listed = written(counted.filter("kind in (0, 3)").select("kind", "context", "word", "n"), "pairs")
+    dropped(spark, counted)
+    pairs, single = (listed.filter(f"kind = {kind}").select("context", "word", "n") for kind in (0, 3))
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     uniform = 1.0 / (distinct + 1)
 
@@ -343,7 +346,7 @@ def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DIS
     full = seating.unionByName(single.withColumn("t", F.lit(1.0))).withColumn("ratio", (F.col("n") - discount * F.col("t")) / (1 - discount))
     if whole:
         full = written(full.join(rooms.select("context", "c"), "context").withColumn("excess", (F.col("n") - discount * F.col("t")) / (strength + F.col("c"))), "pairs-model")
-        dropped(spark, counted, tables)
+        dropped(spark, listed, tables)
     dropped(spark, found, words, rooms)
     return full, model, {"tokens": tokens, "distinct": distinct, "unseen": sum(spare) / len(spare)}
 

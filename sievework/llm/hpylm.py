@@ -391,7 +391,7 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, one row per row of ``docs``.
 
     A token's probability is ``alone * (ratio + odds)``: ``alone`` is what a pair seen once has in its context, ``odds`` what
-    the parent gives against that. Texts are read once for all pairs beyond the frequent ones: tokens go to their pair's
+    the parent gives against that. Texts are read once for frequent words, and again for the others where there are any: tokens go to their pair's
     part with code and odds only. A pair of a training document that the model doesn't list was seen once, so its ratio
     is 1; for a held-out document it is 0."""
     spark = docs.sparkSession

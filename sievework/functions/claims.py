@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions import extract as X
@@ -129,6 +129,36 @@ def without_text(found: Column) -> Column:
     return F.transform(found, lambda c: c.dropFields("_s"))
 
 
+def _located(text: Column, width: int) -> Column:
+    """Each sentence with its number, symbols, whether it holds a stance cue, its hash, and ``width`` characters around the
+    first name or ticker of its symbols."""
+
+    def of(s: Column, i: Column) -> Column:
+        syms = symbols(s)
+        names = F.array_compact(F.array(*(F.when(F.array_contains(syms, v) & F.contains(s, F.lit(k)), k) for k, v in R.CLAIM_ALIASES.items())))
+        places = F.filter(F.transform(F.concat(names, syms), lambda k: F.instr(s, k)), lambda p: p > 0)
+        first = F.coalesce(F.array_min(places), F.lit(1)) - 1
+        start = F.greatest(F.lit(0), F.least(first - width // 2, F.length(s) - width))
+        cue = F.exists(F.array(*(matches(F.lower(s), p) for _, p in R.STANCE)), lambda x: x)
+        return F.struct(i.alias("i"), syms.alias("symbols"), cue.alias("stance_cue"), F.substring(s, start + 1, F.lit(width)).alias("excerpt"), F.sha2(s, 256).alias("sha256"), F.length(s).alias("chars"))
+
+    return F.transform(sentences(text), of)
+
+
+def locators(text: Column, most: int = 25, width: int = 40) -> Column:
+    """Struct of the places of sentences with a symbol or a cue, those with a symbol first, and how many there are."""
+    hit = F.filter(_located(text, width), lambda x: (F.size(x["symbols"]) > 0) | x["stance_cue"])
+    ranked = F.concat(F.filter(hit, lambda x: F.size(x["symbols"]) > 0), F.filter(hit, lambda x: F.size(x["symbols"]) == 0))
+    return F.struct(F.slice(ranked, 1, most).alias("places"), F.size(hit).cast("long").alias("total"))
+
+
+def review_material(text: Column, most: int = 30, most_missed: int = 5, width: int = 40) -> Column:
+    """Struct of the sentences with a symbol that claim something, of those that claim nothing, and how many the latter are."""
+    named = F.filter(_located(text, width), lambda x: F.size(x["symbols"]) > 0)
+    missed = F.filter(named, lambda x: ~x["stance_cue"])
+    return F.struct(F.slice(F.filter(named, lambda x: x["stance_cue"]), 1, most).alias("claimed"), F.slice(missed, 1, most_missed).alias("missed"), F.size(missed).cast("long").alias("missed_total"))
+
+
 def high_precision(text: Column, limit: int = 30) -> Column:
     """Claims of version 4 that pass a gate, with ``status`` and ``hp_gate``: trades that the writer has made or plans
     under a condition, explicit positions, and sold puts. Sentences with several symbols and stances abstain."""
@@ -191,3 +221,18 @@ def headline(found: Column) -> Column:
     """The action that comes first by kind, then by place: symbol and kind."""
     ranked = F.transform(found, lambda a, i: F.struct(F.array_position(F.array(*map(F.lit, R.ACT_ORDER)), a["action_type"]).alias("r"), i.alias("i"), F.concat_ws(" ", a["symbol"], a["action_type"]).alias("h")))
     return F.array_min(ranked)["h"]
+
+
+def exported(records: DataFrame, flags: DataFrame, now: Column, days: int) -> DataFrame:
+    """One row per distinct claim of records that were published and first seen within ``days``, with the record's data; a
+    record whose flags exclude it gives none. ``records``: id, author, url, published_at, captured_at, title, excerpt;
+    ``flags``: id, first_seen, provenance, exclude, one row an id. Times that can't be read keep a record out."""
+    since = now - F.make_dt_interval(F.lit(days))
+    when = lambda c: F.try_to_timestamp(F.regexp_replace(F.substring(c, 1, 19), "T", " "))
+    seen = F.coalesce(T.null_if_empty(F.col("first_seen")), F.col("captured_at"))
+    rows = records.join(flags, "id", "left").withColumn("first_seen", seen).filter((when(F.col("first_seen")) >= since) & (when(F.col("published_at")) >= since) & ~F.coalesce("exclude", F.lit(False)))
+    found = high_precision(F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("excerpt", F.lit(""))))
+    claim = rows.withColumn("c", F.explode(found)).withColumn("instrument", F.when(F.col("c.hp_gate") == "sell_put_willing_to_own", "sell_put").otherwise("stock"))
+    return claim.select(
+        F.col("id").alias("record_id"), "author", "url", "published_at", "first_seen", F.coalesce("provenance", F.lit("unaudited")).alias("provenance"), "c.symbol", "c.stance", "c.status", "c.hp_gate", "instrument", "c.price",
+        F.col("c.evidence_sha256").alias("sentence_sha256")).dropDuplicates(["record_id", "symbol", "stance", "sentence_sha256"])

@@ -51,3 +51,21 @@ def verification(feed_table: DataFrame, baseline: DataFrame, key: str, columns:
     shrunk = sizes.select(*one("shrunk_by", F.greatest(F.lit(0), F.col("b") - F.col("a"))))
     found = feed.violations(baseline, feed_table, key, columns).agg(F.count_if(F.col("kind") == "lost").alias("lost"), F.count_if(F.col("kind") == "changed").alias("changed"))
     return missing.unionByName(repeated).unionByName(shrunk).unionByName(found.select(*one("lost", F.col("lost")))).unionByName(found.select(*one("rewritten", F.col("changed"))))
+
+
+def unsent(local: DataFrame, base: DataFrame, key: str) -> DataFrame:
+    """What a side file holds: local rows whose key the base lacks. A null key is nobody's and goes along."""
+    return local.join(ids(base, key), key, "left_anti")
+
+
+def reapplied(base: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """A fresh base with the rows of a side file that it lacks, so that applying twice changes nothing; of equal keys within the
+    side file one row, the first by all its columns, is taken."""
+    columns = [c for c in side.columns if c != key]
+    one = side.groupBy(key).agg(F.min(F.struct(*columns)).alias("_r")).select(key, *(F.col("_r")[c].alias(c) for c in columns))
+    return base.unionByName(unsent(one, base, key), allowMissingColumns=True)
+
+
+def append_lines(df: DataFrame, path: str) -> None:
+    """Add rows to a folder of JSON lines; what is there stays as it is."""
+    df.write.mode("append").option("ignoreNullFields", False).json(path)

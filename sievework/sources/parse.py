@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime
 import html
 import io
 import posixpath
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Elements whose text nobody reads.
 HIDDEN = frozenset(("script", "style", "nav", "header", "footer", "form", "noscript"))
@@ -164,11 +168,124 @@ def board(pages: DataFrame, key: str, column: str, author: str) -> DataFrame:
 
 def tree(replies: DataFrame, thread: str, position: str, depth: str, node: str) -> DataFrame:
     """``replies`` with ``parent``: the last node before that lies one level higher, or, where levels are skipped, at any
-    higher level; the thread itself for the others. A parent is the nearest earlier row of lower depth, so it is the
-    newest of the last rows at each lower depth."""
-    from pyspark.sql import Window as W
-
-    w = W.partitionBy(thread).orderBy(position).rowsBetween(W.unboundedPreceding, -1)
-    before = F.collect_list(F.struct(position, depth, node)).over(w)
-    lower = F.filter(before, lambda x: x[depth] < F.col(depth))
-    return replies.withColumn("parent", F.coalesce(F.element_at(F.when(F.size(lower) > 0, lower), -1)[node].cast("string"), F.col(thread).cast("string")))
+    higher level; the thread itself for the others. Threads are sorted and walked row by row; what is held is one path,
+    as long as a thread is deep, so a thread of any length does."""
+    fields = replies.schema
+    out = StructType([*fields.fields, StructField("parent", StringType())])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, path = None, []
+        for batch in batches:
+            parents = []
+            for t, d, n in zip(*(batch.column(c).to_pylist() for c in (thread, depth, node)), strict=True):
+                if (t,) != now:
+                    now, path = (t,), []
+                while path and path[-1][0] >= d:
+                    path.pop()
+                above = path[-1][1] if path else t
+                parents.append(None if above is None else str(above))
+                path.append((d, n))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parents, pa.string())], [*batch.schema.names, "parent"])
+
+    return replies.repartition(thread).sortWithinPartitions(thread, position).mapInArrow(walk, out)
+
+
+#: Where an article's title, body and time stand, the first that is there; (tag, attribute, value), null for any,
+#: and the class or element that it stands in.
+TITLE_AT = (
+    (None, "id", "titleName"), (None, "class", "titleName"), ("h1", "class", "article-title"),
+    ("h1", None, None, ".blog_title"), ("h1", None, None, "article"), ("h1", None, None))
+BODY_AT = (
+    (None, "id", "articalContent"), (None, "id", "articleContent"), (None, "class", "articalContent"), (None, "class", "articleContent"),
+    (None, "class", "article-content"), (None, "class", "blog_content"), ("article", None, None))
+TIME_AT = ((None, "id", "time"), (None, "class", "time"), (None, "class", "blog_time"), (None, "class", "article-time"), ("time", None, None))
+#: Elements without an end, and classes whose text is no part of an article.
+VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
+ASIDE = frozenset(("share", "ad", "adsbygoogle"))
+
+
+class _Article(HTMLParser):
+    """Text and images of the first element at each of the wanted places, and the beginning of the whole text."""
+
+    def __init__(self, places) -> None:
+        super().__init__(convert_charrefs=True)
+        self.places = places
+        self.open: list[tuple[str, bool, list, set]] = []
+        self.text: dict = {}
+        self.images: dict = {}
+        self.all: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        a = {k: v or "" for k, v in attrs}
+        names = a.get("class", "").split()
+        hidden = tag in ("script", "style", "noscript") or bool(ASIDE & set(names))
+        if tag == "img":
+            source = a.get("data-src") or a.get("data-original") or a.get("src")
+            if source and not source.startswith("data:") and not any(x[1] for x in self.open):
+                for place in self._inside():
+                    self.images[place].append(source)
+        elif tag == "br":
+            self.handle_data("\n")
+        if tag in VOID:
+            return
+        around = set().union(*(x[3] for x in self.open))
+        has = {"id": [a.get("id")], "class": names}
+        at = [p for p in self.places if p not in self.text and (p[0] or tag) == tag and (p[1] is None or p[2] in has[p[1]]) and around.issuperset(p[3:])]
+        for place in at:
+            self.text[place], self.images[place] = [], []
+        self.open.append((tag, hidden, at, {tag, *("." + n for n in names)}))
+
+    def _inside(self):
+        return [p for x in self.open for p in x[2]]
+
+    def handle_endtag(self, tag):
+        if any(x[0] == tag for x in self.open):
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if not any(x[1] for x in self.open):
+            self.all.append(data)
+            for place in self._inside():
+                self.text[place].append(data)
+
+
+def _dated(text: str) -> str | None:
+    for pattern, order in ((r"(20\d{2})[-年/](\d{1,2})[-月/](\d{1,2})", (0, 1, 2)), (r"(\d{1,2})/(\d{1,2})/(20\d{2})", (2, 0, 1))):
+        found = regex.search(pattern, text)
+        if found:
+            try:
+                return datetime.date(*(int(found.groups()[i]) for i in order)).isoformat()
+            except ValueError:
+                continue
+    return None
+
+
+def read_article(source: str | None, url: str | None) -> dict | None:
+    """Title, text, images and day of an article page, or null without a title or a body. The day is that of the time
+    element, of the page's first 2,500 characters or of the URL, else the first of the month that the URL names."""
+    p = _Article((*TITLE_AT, *BODY_AT, *TIME_AT))
+    p.feed(source or "")
+    p.close()
+    url = url or ""
+    title, body, time = (next((x for x in at if x in p.text), None) for at in (TITLE_AT, BODY_AT, TIME_AT))
+    if title is None or body is None:
+        return None
+    lines = [x.strip() for x in "\n".join(p.text[body]).split("\n")]
+    whole = regex.sub(r"\s+", " ", " ".join(x.strip() for x in p.all if x.strip()))
+    month = regex.search(r"/(20\d{2})(0[1-9]|1[0-2])/", url)
+    day = _dated(" ".join(["".join(p.text.get(time, [])), whole[:2500], url])) or (f"{month[1]}-{month[2]}-01" if month else "")
+    return {"title": _plain(html.escape(" ".join(p.text[title]))), "text": "\n".join(x for x in lines if x), "day": day, "images": list(dict.fromkeys(urljoin(url, x) for x in p.images[body]))}
+
+
+def articles(pages: DataFrame, key: str, column: str, url: str) -> DataFrame:
+    """(key, url, title, text, day, images) of article pages; a page without a title or a body has a null title, so that a
+    missed structure is seen and isn't taken for an empty article."""
+
+    @F.pandas_udf("title string, text string, day string, images array<string>")
+    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for sources, urls in batches:
+            rows = [read_article(s, u) or {} for s, u in zip(sources, urls, strict=True)]
+            yield pd.DataFrame([[r.get(k) for k in ("title", "text", "day", "images")] for r in rows], columns=["title", "text", "day", "images"])
+
+    return pages.select(key, url, read(column, url).alias("a")).select(key, url, "a.*")

@@ -46,3 +46,33 @@ def test_passages_of_any_length(spark):
     marks = [("two three four",), ("e four five",), ("ny ma",), ("",), (None,)]
     got = [(r["k"], r["text"]) for r in extract.without_passages(spark.createDataFrame(docs, "k int, text string"), spark.createDataFrame(marks, "text string"), "k", "text").collect()]
     assert sorted(got, key=repr) == sorted([(2, "clean text here"), (4, None)], key=repr)
+
+
+ARTICLE = """<html><head><title>x</title></head><body><h1>Site</h1><div class="blog_title big"><h1>The &amp; title</h1></div><span class="time">2026-3-04 10:00</span>
+<div class="articleContent"><p>One<br>two</p><script>bad()</script><div class="share">no <img src="no.png"></div><img data-src="a.png" src="data:x"><img src="/b.png"><img src="/b.png"></div><p>outside</p></body></html>"""
+
+
+def test_articles(spark):
+    url = "https://h.example/myblog/5/202601/9.html"
+    rows = [(1, ARTICLE, url), (2, "<h1>only a title</h1>", url), (3, None, None), (4, "<h1>T</h1><article>b</article>", url), (5, "<h1>T</h1><article>b</article> 13/45/2026", "u"), (6, "", url)]
+    got = {r["k"]: (r["title"], r["text"], r["day"], r["images"]) for r in parse.articles(spark.createDataFrame(rows, "k int, html string, url string"), "k", "html", "url").collect()}
+    nothing = (None, None, None, None)
+    assert got == {
+        1: ("The & title", "One\ntwo", "2026-03-04", ["https://h.example/myblog/5/202601/a.png", "https://h.example/b.png"]), 2: nothing, 3: nothing, 4: ("T", "b", "2026-01-01", []), 5: ("T", "b", "", []), 6: nothing}
+
+
+def test_tree_of_a_long_thread(spark):
+    n = 20_000
+    rows = spark.range(n).selectExpr("'t' as thread", "id as pos", "cast(id % 7 as int) as depth", "id as node")
+    got = parse.tree(rows, "thread", "pos", "depth", "node")
+    assert got.filter("parent != case when depth = 0 then 't' else cast(node - 1 as string) end").count() == 0
+    assert got.count() == n
+
+
+def test_lines_are_appended(spark, tmp_path):
+    from sievework.operators import sets
+
+    path = str(tmp_path / "log")
+    for i in (1, 2):
+        sets.append_lines(spark.createDataFrame([(i, None)], "n int, note string"), path)
+    assert sorted(r["n"] for r in spark.read.json(path).collect()) == [1, 2]

@@ -345,9 +345,11 @@ def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DIS
     model = written(words.select("word", "n").join(p.select("word", (F.col("sum") / len(spare)).alias("p")), "word").join(lift, "word", "left"), "words-model")
     full = seating.unionByName(single.withColumn("t", F.lit(1.0))).withColumn("ratio", (F.col("n") - discount * F.col("t")) / (1 - discount))
     if whole:
-        full = written(full.join(rooms.select("context", "c"), "context").withColumn("excess", (F.col("n") - discount * F.col("t")) / (strength + F.col("c"))), "pairs-model")
-        dropped(spark, listed, tables)
-    dropped(spark, found, words, rooms)
+        full = full.join(rooms.select("context", "c"), "context").withColumn("excess", (F.col("n") - discount * F.col("t")) / (strength + F.col("c")))
+    else:
+        full = full.select("context", "word", "n", "ratio")
+    full = written(full, "pairs-model")
+    dropped(spark, listed, tables, found, words, rooms)
     return full, model, {"tokens": tokens, "distinct": distinct, "unseen": sum(spare) / len(spare)}
 
 
@@ -500,6 +502,7 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
         extra = rest.groupBy("k1", "k2").agg(
             F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("n_known"), F.sum(F.col("k") * (F.log10(F.col("n") + 0.1) - base_log)).alias("base_score"),
             F.sum(F.col("k") * F.log10(F.coalesce("alone", "up"))).alias("score"))
+    dropped(spark, words)
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, listed, table = None, [], None

@@ -169,15 +169,17 @@ def board(pages: DataFrame, key: str, column: str, author: str) -> DataFrame:
 def tree(replies: DataFrame, thread: str, position: str, depth: str, node: str) -> DataFrame:
     """``replies`` with ``parent``: the last node before that lies one level higher, or, where levels are skipped, at any
     higher level; the thread itself for the others. Threads are sorted and walked row by row; what is held is one path,
-    as long as a thread is deep, so a thread of any length does."""
-    fields = replies.schema
-    out = StructType([*fields.fields, StructField("parent", StringType())])
+    as long as a thread is deep, so a thread of any length does. A null depth counts as 0; a ``parent`` that is there is
+    replaced."""
+    replies = replies.drop("parent")
+    out = StructType([*replies.schema.fields, StructField("parent", StringType())])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, path = None, []
         for batch in batches:
             parents = []
             for t, d, n in zip(*(batch.column(c).to_pylist() for c in (thread, depth, node)), strict=True):
+                d = 0 if d is None else d
                 if (t,) != now:
                     now, path = (t,), []
                 while path and path[-1][0] >= d:

@@ -61,6 +61,14 @@ def test_articles(spark):
         1: ("The & title", "One\ntwo", "2026-03-04", ["https://h.example/myblog/5/202601/a.png", "https://h.example/b.png"]), 2: nothing, 3: nothing, 4: ("T", "b", "2026-01-01", []), 5: ("T", "b", "", []), 6: nothing}
 
 
+def test_tree_of_odd_rows(spark):
+    rows = [("t", 0, None, "a", "old"), ("t", 1, 1, None, None), ("t", 2, 2, "c", ""), (None, 0, 1, "d", "x")]
+    made = spark.createDataFrame(rows, "thread string, pos int, depth int, node string, parent string")
+    got = {(r["thread"], r["pos"]): r["parent"] for r in parse.tree(made, "thread", "pos", "depth", "node").collect()}
+    assert got == {("t", 0): "t", ("t", 1): "a", ("t", 2): None, (None, 0): None}
+    assert parse.tree(made.limit(0), "thread", "pos", "depth", "node").count() == 0
+
+
 def test_tree_of_a_long_thread(spark):
     n = 20_000
     rows = spark.range(n).selectExpr("'t' as thread", "id as pos", "cast(id % 7 as int) as depth", "id as node")

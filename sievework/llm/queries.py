@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, decontam, hpylm, jaccard, lines, pii, quality, secrets, suffix, warc
+from sievework.llm import bpe, decontam, hpylm, jaccard, lines, manifest, pii, quality, secrets, suffix, variants, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -168,3 +168,81 @@ c as (select e.r, e.doc_id, n.item_id, n.w, n_item, count(*) as n_shared from e
 select doc_id, item_id, cast(n_shared as bigint) as n_shared, cast(n_item as bigint) as n_item, round(n_shared / n_item, 6) as containment
 from c where n_shared >= 0.8 * n_item
 """.replace("\\\\", "\\")
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents with their form, root and counts."""
+    return variants.variants(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query
+def op13_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and a digest of the siblings of each document; the root folded from its leaf, lower-cased where
+    3 divides the crc32 of doc_id (a null doc_id has none); and whether that is the root."""
+    docs = documents(spark, sf_dir)
+    named = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    own = manifest.leaf(*named, F.col("text"))
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    read = docs.select("doc_id", "lang", own.alias("leaf"), F.when(chosen, manifest.leaf(*named, lower)).otherwise(own).alias("now"))
+    found = manifest.prove(read, "doc_id", "lang", "leaf", ["now"]).withColumn("folded_root", manifest.fold(F.col("now"), F.col("path")))
+    return found.select("doc_id", "leaf", "subroot", "root", manifest.siblings(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+#: Unsigned crc32 of a string as DuckDB reads it: the table is computed from the polynomial.
+_CRC_TABLE = "crc(t) as (select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)))"
+
+
+def _crc(text: str) -> str:
+    return f"xor(4294967295, list_reduce(list_transform(range(octet_length(encode({text}))), lambda i: cast(('0x' || substr(hex(encode({text})), 2 * i + 1, 2)) as bigint)), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::bigint))"
+
+
+def _field(c: str) -> str:
+    return f"coalesce(octet_length(encode(cast({c} as varchar))) || ':' || {c}, '-')"
+
+
+SQL["op13_dataset_manifest"] = f"""
+with recursive {_CRC_TABLE},
+d as (select row_number() over () as d, *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low,
+  doc_id is not null and {_crc("cast(doc_id as varchar)")} % 3 = 0 as chosen from documents, crc),
+l as (select d, doc_id, coalesce('=' || lang, '') as g, sha256({" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text")))}) as leaf,
+  sha256({" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "case when chosen then low else text end")))}) as now from d),
+r as (select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by g) as n from l),
+nodes as (select g, 0 as v, i, n, leaf as h from r
+  union all select g, v + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' order by i)) from nodes where n > 1 group by g, v, i // 8, n),
+tops as (select g, h, row_number() over (order by g) - 1 as i, count(*) over () as n from nodes where n = 1),
+heads as (select 0 as v, i, n, h from tops
+  union all select v + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' order by i)) from heads where n > 1 group by v, i // 8, n),
+every as (select g, v, i, n, h from nodes union all select null, v, i, n, h from heads),
+sib as (select x.g, x.v, x.i, coalesce(string_agg(y.h, '' order by y.i) filter (y.i < x.i), '') as l, coalesce(string_agg(y.h, '' order by y.i) filter (y.i > x.i), '') as q
+  from every x join every y on x.g is not distinct from y.g and x.v = y.v and x.i // 8 = y.i // 8 where x.n > 1 group by x.g, x.v, x.i),
+walk as (select d, g, v, i, now as h, '' as p from (select *, 0 as v from r)
+  union all select walk.d, walk.g, walk.v + 1, walk.i // 8, sha256(l || h || q), p || l || q from walk join sib on sib.g = walk.g and sib.v = walk.v and sib.i = walk.i),
+sub as (select * from walk qualify row_number() over (partition by d order by v desc) = 1),
+climb as (select d, 0 as v, tops.i, sub.h, p from sub join tops using (g)
+  union all select climb.d, climb.v + 1, climb.i // 8, sha256(l || h || q), p || l || q from climb join sib on sib.g is null and sib.v = climb.v and sib.i = climb.i),
+f as (select * from climb qualify row_number() over (partition by d order by v desc) = 1),
+root as (select h as root from heads where n = 1)
+select r.doc_id, leaf, tops.h as subroot, root, sha256(p) as proof_sha256, f.h as folded_root, f.h = root as verified
+from r join tops using (g) join f using (d), root
+"""
+
+SQL["op12_spelling_variants"] = rf"""
+with recursive {_CRC_TABLE},
+w as (select coalesce(cast(doc_id as varchar), '') || ':' as k, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as w from documents),
+r as (select w, count(*) as n, {_crc("k || w")} as h from (select k, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w from w where length(w) >= 7), crc group by k, w, t),
+v as (select case when h % 31 = 0 then left(w, cast(h % length(w) as bigint)) || substr(w, cast(h % length(w) as bigint) + 2) else w end as word, sum(n) as n from r group by 1),
+d as (select word, cast(n as bigint) as n from v where length(word) >= 7 and n >= 2),
+x as (select word, n, unnest(range(length(word))) as i from d),
+g as (select word, n, left(word, i) || '?' || substr(word, i + 2) as hole, left(word, i) || substr(word, i + 2) as cut from x),
+p as (select a.word, b.word as other, b.n from g a join g b on a.hole = b.hole and a.word <> b.word
+  union select a.word, b.word, b.n from g a join d b on a.cut = b.word union select b.word, a.word, a.n from g a join d b on a.cut = b.word),
+m as (select word, count(*) as n_near, max(n) as top from p group by word),
+o as (select p.word, min(other) as other from p join m on m.word = p.word and p.n = m.top group by p.word),
+f as (select d.word, d.n, coalesce(n_near, 0) as n_near, case when top >= 10 * d.n then other end as form, case when top >= 10 * d.n then top end as form_n
+  from d left join m on m.word = d.word left join o on o.word = d.word),
+s as (select word, word as root, 0 as k from f union all select s.word, f.form, k + 1 from s join f on f.word = s.root where f.form is not null),
+e as (select word, max_by(root, k) as root from s group by word)
+select f.word, form, root, n, n_near, form_n from f join e on e.word = f.word
+"""

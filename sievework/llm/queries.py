@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, decontam, hpylm, jaccard, lines, manifest, pii, quality, secrets, suffix, variants, warc
+from sievework.llm import bpe, decontam, hpylm, jaccard, lines, manifest, pii, quality, secrets, suffix, template, variants, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -170,6 +170,12 @@ from c where n_shared >= 0.8 * n_item
 """.replace("\\\\", "\\")
 
 
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page and its length."""
+    return template.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the documents with their form, root and counts."""

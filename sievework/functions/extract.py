@@ -83,32 +83,42 @@ def checkable(claim: Column) -> Column:
     return ~claim["question"] & claim["stance"].isNotNull()
 
 
-def without_passages(docs: DataFrame, passages: DataFrame, key: str, text: str, words: int = 3, most_tiny: int = 1000) -> DataFrame:
+#: Passages that go to all tasks; more meet the texts in a shuffle.
+MOST_SENT = 200_000
+
+
+def without_passages(docs: DataFrame, passages: DataFrame, key: str, text: str, words: int = 3, most_sent: int = MOST_SENT, block: int = 1000) -> DataFrame:
     """Rows whose text holds none of the passages, rows without a key too. The inner words of a passage are whole words
-    of any text that holds it, so a passage is looked up by its first ``words`` inner words, or by all if it has fewer,
-    and only then compared whole. Passages of one or two words have no inner word: up to ``most_tiny`` of them are
-    compared with each text; more are an error."""
+    of any text that holds it, so a passage is looked up by the hash of its first ``words`` inner words, or of all if it
+    has fewer, and only then compared whole, while the text is at hand. Passages of one or two words have no inner word
+    and are compared with each text, ``block`` of them at a time."""
     split = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
     p = passages.select(F.col("text").alias("passage")).filter("passage <> ''").distinct().withColumn("w", split(F.col("passage")))
     inner = F.least(F.size("w") - 2, F.lit(words))
-    known = p.filter(F.size("w") > 2).select("passage", inner.alias("n"), F.array_join(F.slice("w", F.lit(2), inner), " ").alias("k"))
-    tiny = [r["passage"] for r in p.filter(F.size("w") <= 2).select("passage").limit(most_tiny + 1).collect()]
-    if len(tiny) > most_tiny:
-        raise ValueError(f"more than {most_tiny} passages of one or two words")
+    known = p.filter(F.size("w") > 2).select("passage", inner.alias("n"), F.xxhash64(inner, F.array_join(F.slice("w", F.lit(2), inner), " ")).alias("_s"))
+    sizes = {r["n"]: r["count"] for r in known.groupBy("n").count().collect()}  # at most ``words`` rows
     own = F.xxhash64(F.col(key), F.col(text)), F.xxhash64(F.col(text), F.col(key), F.lit(1))
     d = docs.select(*(h.alias(f"_k{i}") for i, h in enumerate(own)), F.col(text).alias("_text"))
-    runs = d.withColumn("w", F.when(F.monotonically_increasing_id() >= 0, split(F.col("_text"))))
-    at = lambda n: F.transform(F.slice("w", 1, F.greatest(F.size("w") - (n - 1), F.lit(0))), lambda x, i: F.struct(F.lit(n).alias("n"), F.concat_ws(" ", x, *(F.get("w", i + j) for j in range(1, n))).alias("k")))
-    widths = [r["n"] for r in known.select("n").distinct().collect()]  # at most ``words`` numbers
+
+    def window(n: int) -> Column:
+        return F.transform(F.slice("w", 1, F.greatest(F.size("w") - (n - 1), F.lit(0))), lambda x, i: F.xxhash64(F.lit(n), F.concat_ws(" ", x, *(F.get("w", i + j) for j in range(1, n)))))
+
     hits = d.limit(0).select("_k0", "_k1")
-    if widths:
-        looked = runs.select("_k0", "_k1", F.explode(F.array_distinct(F.concat(*map(at, widths)))).alias("s")).select("_k0", "_k1", "s.*")
-        found = looked.join(known, ["n", "k"]).select("_k0", "_k1", "passage").distinct()
-        hits = found.join(d, ["_k0", "_k1"]).filter(F.contains("_text", "passage")).select("_k0", "_k1")
-    if tiny:
-        held = F.lit(False)
-        for x in tiny:
-            held = held | F.contains("_text", F.lit(x))
-        hits = hits.union(d.filter(held).select("_k0", "_k1"))
-    gone = hits.distinct()
+    if sizes:
+        looked = d.withColumn("w", F.when(F.monotonically_increasing_id() >= 0, split(F.col("_text")))).withColumn("_s", F.explode(F.array_distinct(F.concat(*map(window, sizes)))))
+        if sum(sizes.values()) <= most_sent:
+            found = looked.join(F.broadcast(known), "_s")
+        else:
+            found = looked.select("_k0", "_k1", "_s").join(known, "_s").select("_k0", "_k1", "passage").distinct().join(d, ["_k0", "_k1"])
+        hits = found.filter(F.contains("_text", "passage")).select("_k0", "_k1")
+    held = []
+    for r in p.filter(F.size("w") <= 2).select("passage").toLocalIterator():
+        held.append(r["passage"])
+        if len(held) == block:
+            hits, held = hits.union(_holding(d, held)), []
+    gone = (hits.union(_holding(d, held)) if held else hits).distinct()
     return docs.join(gone, (own[0] == F.col("_k0")) & (own[1] == F.col("_k1")), "left_anti")
+
+
+def _holding(d: DataFrame, passages: list[str]) -> DataFrame:
+    return d.filter(F.exists(F.array(*map(F.lit, passages)), lambda x: F.contains("_text", x))).select("_k0", "_k1")

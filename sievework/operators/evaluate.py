@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sievework.functions import stats as S
@@ -127,3 +128,28 @@ def adjudicated(items: DataFrame, patches: DataFrame, key: str, order: str, colu
     j = items.join(last, key, "left")
     patched = F.coalesce("_patched", F.lit(False))
     return j.withColumns({column: F.when(patched & (F.col("split") == "dev"), F.col("_new")).otherwise(F.col(column)), "refused": patched & (F.col("split") != "dev")}).drop("_new", "_patched")
+
+
+#: What stances are compared as, and the labels of errors.
+COARSE = {"buy": "long", "add": "long", "sell": "reduce", "trim": "reduce", "hold": "hold", "bullish": "bullish", "bearish": "bearish", "avoid": "avoid"}
+OPTION = "sell_put"
+ERRORS = ("wrong_stance", "wrong_stance_option_semantics", "claim_where_none", "wrong_symbol", "stance_mismatch", "missed_symbol_not_detected", "missed_stance")
+
+
+def error_classes(gold: DataFrame, found: DataFrame, detected: DataFrame) -> DataFrame:
+    """(item, error) for each wrong or missed pair of an item's gold labels (item, symbol, stance, instrument) and claims
+    (item, symbol, stance), stances taken coarsely. A claim is wrong in its stance if the symbol is labelled (and once
+    more by option semantics if any label of the item sells a put), else without ground where the item has no label,
+    else wrong in its symbol. A label that no claim meets is a mismatch if its symbol is claimed, else missed: with its
+    symbol, if that isn't among those ``detected`` (item, symbol), or in its stance only."""
+    stance = F.coalesce(*(F.when(F.col("stance") == k, v) for k, v in COARSE.items()), F.col("stance"))
+    g = gold.select("item", "symbol", stance.alias("stance"), F.coalesce(F.col("instrument") == OPTION, F.lit(False)).alias("put")).groupBy("item", "symbol", "stance").agg(F.max("put").alias("put"), F.lit(True).alias("_g"))
+    f = found.select("item", "symbol", stance.alias("stance"), F.lit(True).alias("_f")).distinct()
+    keys = ["item", "symbol", "stance"]
+    both = g.join(f, keys, "full").withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in ("_g", "_f", "put")})
+    item, pair = W.partitionBy("item"), W.partitionBy("item", "symbol")
+    seen = detected.select("item", "symbol", F.lit(True).alias("_d")).distinct()
+    known = both.withColumns({"_gold": F.max("_g").over(item), "_put": F.max("put").over(item), "_gs": F.max("_g").over(pair), "_fs": F.max("_f").over(pair)}).join(seen, ["item", "symbol"], "left")
+    claim = F.when(F.col("_gs") & F.col("_put"), F.array(F.lit(ERRORS[0]), F.lit(ERRORS[1]))).when(F.col("_gs"), F.array(F.lit(ERRORS[0]))).when(~F.col("_gold"), F.array(F.lit(ERRORS[2]))).otherwise(F.array(F.lit(ERRORS[3])))
+    label = F.when(F.col("_fs"), ERRORS[4]).when(F.col("_d").isNull(), ERRORS[5]).otherwise(ERRORS[6])
+    return known.filter(F.col("_g") != F.col("_f")).select("item", F.explode(F.when(F.col("_f"), claim).otherwise(F.array(label))).alias("error"))

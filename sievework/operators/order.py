@@ -30,3 +30,15 @@ def numbered(df: DataFrame, keys: list[Column], name: str = "seq") -> DataFrame:
 def written_in_order(df: DataFrame, keys: list[Column], path: str, kind: str = "parquet") -> None:
     """``df`` as files whose names follow the order of ``keys``, each sorted: read file by file they give the total order."""
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").format(kind).save(path)
+
+
+def running(df: DataFrame, keys: list[Column], value: Column, name: str = "before") -> DataFrame:
+    """``df`` with the sum of ``value`` (null counts as 0) over all rows that come before in the order of ``keys``."""
+    out = [F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()]
+    pinned = cut(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns({"_at": F.monotonically_increasing_id(), "_value": F.coalesce(value, F.lit(0))}))
+    part = F.shiftright("_at", 33).alias("_part")
+    sums = pinned.groupBy(part).agg(F.sum("_value").alias("_sum"))
+    before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = sums.select("_part", before("_sum", W.orderBy("_part")).alias("_offset"))  # one row a partition
+    rows = pinned.withColumn("_part", part).withColumn("_own", before("_value", W.partitionBy("_part").orderBy("_at")))
+    return rows.join(F.broadcast(offsets), "_part").select(*out, (F.col("_offset") + F.col("_own")).alias(name))

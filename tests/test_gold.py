@@ -1,0 +1,156 @@
+"""Title identity, fills of whole posts, error classes and total order against plain Python."""
+
+import difflib
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from sievework.functions import extract, identity
+from sievework.operators import evaluate, fill, order
+from sievework.operators.sample import seeded
+
+
+def test_ratio_equals_the_standard_one(spark):
+    r = random.Random(1)
+    pairs = [("", ""), ("a", ""), ("", "a"), (None, "a"), ("a", None)]
+    for _ in range(2000):
+        a = "".join(r.choice("abcde é") for _ in range(r.choice((3, 12, 40))))
+        b = list(a)
+        for _ in range(r.randint(0, 8)):
+            i = r.randrange(len(b) + 1)
+            b[i : i + r.randint(0, 3)] = r.choice(("", "x", "ab", "cde"))
+        pairs.append((a, "".join(b)) if r.random() < 0.7 else ("".join(b), "".join(r.choice("abcde") for _ in range(20))))
+    # long second texts, in which frequent characters start no block
+    pairs += [("".join(r.choice("abcdefghij") for _ in range(90)), "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ" * 9 + "0123456789") for _ in range(r.choice((199, 200, 260))))) for _ in range(60)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    got = {x.i: x.r for x in df.select("i", identity.ratio(F.col("a"), F.col("b")).alias("r")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        want = None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio()
+        assert got[i] == want, (a, b)
+
+
+def test_verdicts(spark):
+    rows = [("Big river news", "Some Channel", [], "BIG river-news!", "x", True), ("abcdefghij", "The Stone Daily", [], "abcdzzzzzz", "Stone/Other", True), ("abcdefghij", "elsewhere", [], "abcdzzzzzz", "Stone", False),
+            ("nothing", "stone", ["aapl"], "AAPL and MSFT today", "Stone|b", False), ("MSFT", "stone", ["aapl"], "AAPL and MSFT today", "Stone|b", True), (None, "stone", None, "AAPL MSFT", "stone", False), ("...", "stone", ["AAPL", "MSFT"], "AAPL MSFT", "stone", False), ("a", "", None, None, None, False)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, seen string, channel string, named array<string>, title string, author string, want boolean")
+    for x in df.select("*", identity.same_title(*(F.col(c) for c in ("seen", "channel", "named", "title", "author"))).alias("s")).collect():
+        assert x.s.same == x.want, x
+
+
+def h(seed, key):
+    return hashlib.sha256(f"{seed}|{key}".encode()).hexdigest()
+
+
+def walk(queues, target, cap, taken):
+    chosen, n, per, progress = [], 0, Counter(), True
+    while n < target and progress:
+        progress = False
+        for a in sorted(queues, key=lambda a: (h("s", a), a)):
+            q = [p for p in queues[a] if p[0] not in taken]
+            if not q or n >= target or per[a] + q[0][2] > cap:
+                continue
+            taken.add(q[0][0])
+            chosen.append((*q[0], n))
+            per[a] += q[0][2]
+            n += q[0][2]
+            progress = True
+    return chosen
+
+
+def posts(seed, n):
+    r = random.Random(seed)
+    return [(i, "abcdefg"[min(int(r.expovariate(0.5)), 6)], r.randint(1, 9), r.random() < 0.1) for i in range(n)]
+
+
+def queue():
+    return [seeded("q", F.col("key")).asc(), F.col("key").asc()]
+
+
+def queues(rows):
+    out = defaultdict(list)
+    for p in sorted(rows, key=lambda p: (h("q", p[0]), p[0])):
+        out[p[1]].append(p)
+    return out
+
+
+@pytest.mark.parametrize("seed,n,target,cap", [(1, 200, 150, 40), (2, 200, 10_000, 60), (3, 40, 30, 7), (4, 40, 0, 9), (5, 60, 50, 0), (6, 0, 5, 5), (7, 90, 1, 30)])
+def test_fill_equals_the_walk(spark, seed, n, target, cap):
+    rows = posts(seed, n)
+    df = spark.createDataFrame(rows, "key int, author string, items int, fixed boolean")
+    got = fill.fill(df, "author", "items", queue(), "s", target, cap)
+    assert sorted((x.key, x.before) for x in got.collect()) == sorted((p[0], p[4]) for p in walk(queues(rows), target, cap, set()))
+
+
+@pytest.mark.parametrize("seed,n,test,dev,share", [(1, 300, 300, 200, 0.25), (2, 120, 150, 400, 0.2), (3, 60, 5, 40, 0.25), (4, 200, 200, 100, 0.05)])
+def test_splits_equal_the_build(spark, seed, n, test, dev, share):
+    rows = posts(seed, n)
+    certain, free = [p for p in rows if p[3]], queues([p for p in rows if not p[3]])
+    wanted, taken = test - sum(p[2] for p in certain), set()
+    first = walk(free, wanted, int(share * wanted), taken)
+    second = [p[0] for p in walk(free, dev, int(share * dev), taken)]
+    n_dev = sum(p[2] for p in rows if p[0] in second)
+    for a in sorted(free, key=lambda a: (h("s", a), a)):
+        for p in free[a]:
+            if n_dev < dev and p[0] not in taken:
+                taken.add(p[0])
+                second.append(p[0])
+                n_dev += p[2]
+    df = spark.createDataFrame(rows, "key int, author string, items int, fixed boolean")
+    got = fill.splits(df, "key", "author", "items", F.col("fixed"), queue(), "s", test, dev, share).collect()
+    assert {x.key: x.split for x in got} == {**{p[0]: "test" for p in (*certain, *first)}, **dict.fromkeys(second, "dev")}
+    assert len(got) == len({x.key for x in got})
+
+
+def test_error_classes_equal_sets(spark):
+    r, stances = random.Random(4), [*evaluate.COARSE, "odd"]
+    gold = [(i, r.choice("ABC"), r.choice(stances[:-1]), r.choice((None, "stock", "sell_put"))) for i in range(120) for _ in range(r.randint(0, 3))]
+    found = [(i, r.choice("ABCD"), r.choice(stances)) for i in range(120) for _ in range(r.randint(0, 3))]
+    seen = [(i, s) for i in range(120) for s in "ABC" if r.random() < 0.6]
+    want = Counter()
+    for i in range(120):
+        coarse = evaluate.COARSE
+        g, f = {(s, coarse[t]) for k, s, t, _ in gold if k == i}, {(s, coarse.get(t, t)) for k, s, t in found if k == i}
+        for s, _ in f - g:
+            if s in {x for x, _ in g}:
+                want[i, "wrong_stance"] += 1
+                want[i, "wrong_stance_option_semantics"] += any(k == i and o == "sell_put" for k, _, _, o in gold)
+            else:
+                want[i, "wrong_symbol" if g else "claim_where_none"] += 1
+        for s, _ in g - f:
+            want[i, "stance_mismatch" if s in {x for x, _ in f} else "missed_stance" if (i, s) in seen else "missed_symbol_not_detected"] += 1
+    got = evaluate.error_classes(spark.createDataFrame(gold, "item int, symbol string, stance string, instrument string"), spark.createDataFrame(found, "item int, symbol string, stance string"), spark.createDataFrame(seen, "item int, symbol string"))
+    assert Counter(tuple(x) for x in got.collect()) == +want and len({k for _, k in +want}) == 7
+
+
+def test_numbers_and_running_sums_over_all_partitions(spark):
+    r = random.Random(2)
+    rows = [(r.choice(("", "a", "b", None)), i, r.choice((None, 1, 5))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "day string, id int, n int").repartition(7)
+    keys = [F.coalesce("day", F.lit("")).asc(), F.col("id").asc()]
+    want = sorted(rows, key=lambda x: (x[0] or "", x[1]))
+    assert [(x.day, x.id) for x in order.numbered(df, keys).orderBy("seq").collect()] == [x[:2] for x in want]
+    assert sorted(x.seq for x in order.numbered(df, [F.col("day").asc()]).collect()) == list(range(3000))
+    before, total = {}, 0
+    for _, i, n in want:
+        before[i], total = total, total + (n or 0)
+    assert {x.id: x.before for x in order.running(df, keys, F.col("n")).collect()} == before
+    assert order.numbered(df.limit(0), keys).count() == order.running(df.limit(0), keys, F.col("n")).count() == 0
+
+
+def test_files_follow_the_order(spark, tmp_path):
+    df = spark.range(5000).select(F.xxhash64("id").alias("x")).repartition(5)
+    order.written_in_order(df, [F.col("x").asc()], f"{tmp_path}/t", "csv")
+    lines = [int(x) for f in sorted((tmp_path / "t").glob("part-*.csv")) for x in f.read_text().split()]
+    assert lines == sorted(lines) and len(lines) == 5000
+
+
+@pytest.mark.parametrize("most_sent,block", [(200_000, 1000), (0, 1)])
+def test_passages_in_blocks_and_by_shuffle(spark, most_sent, block):
+    docs = [(1, "one two three four five six"), (None, "seven two three four x"), (2, "clean text here"), (2, "one two three four five six"), (3, "a tiny mark"), (4, None), (5, "tab\there now and then"), (6, "xab y")]
+    marks = [("two three four",), ("e four five",), ("ny ma",), ("ab",), ("here now and",), ("",), (None,)]
+    got = extract.without_passages(spark.createDataFrame(docs, "k int, text string"), spark.createDataFrame(marks, "text string"), "k", "text", most_sent=most_sent, block=block)
+    held = [m for (m,) in marks if m]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted((d for d in docs if d[1] is None or not any(m in d[1] for m in held)), key=repr)

@@ -95,33 +95,43 @@ def claims(text: Column, version: Version = V4, context: Column | None = None, l
     if version.short:
         units = F.when((F.size(units) == 0) & (whole != ""), F.array(whole)).otherwise(units)
     none = F.array().cast("array<string>")
-    said = F.transform(units, lambda s: F.struct(s.alias("s"), symbols(s, version.tickers).alias("own")))
-    post = F.array_distinct(F.flatten(F.transform(said, lambda u: u["own"])))
-    carried = none
-    if version.carry:
-        carried = F.when((F.size(post) == 1) & (F.length(F.coalesce(text, F.lit(""))) <= carry_chars), post)
+
+    def carried(said: Column) -> Column:
+        """The symbols that sentences without any take over."""
+        if not version.carry:
+            return none
+        post = F.array_distinct(F.flatten(F.transform(said, lambda u: u["own"])))
+        out = F.when((F.size(post) == 1) & (F.length(F.coalesce(text, F.lit(""))) <= carry_chars), post)
         if context is not None and version.short:
             around = symbols(F.coalesce(context, F.lit("")), version.tickers)
-            carried = carried.when((F.size(post) == 0) & (F.size(around) == 1), around)
-        carried = carried.otherwise(none)
-
-    def of(u: Column) -> Column:
-        s, low = u["s"], F.lower(u["s"])
-        cue = stances(s, version)
-        own = F.size(u["own"]) > 0
-        silent = F.lit(False)
-        for p in version.abstain:
-            silent = silent | matches(s, p, cased=True)
-        speaks = ~silent | matches(s, version.own_voice, cased=True)
-        horizon = F.coalesce(*(F.when(matches(low, p), label) for label, p in R.HORIZON))
-        made = F.transform(F.when(own, u["own"]).otherwise(carried), lambda x: F.struct(
-            x.alias("symbol"), F.get(cue, F.lit(0)).alias("stance"), F.slice(cue, 1, 3).alias("stance_cues"), horizon.alias("horizon"), matches(low, version.conditional).alias("conditional"),
-            _is_question(s).alias("question"), T.null_if_empty(F.regexp_extract(s, "(?iuU)" + R.PRICE, 1)).cast("double").alias("price"), F.when(own, "text").otherwise("context").alias("ticker_source"),
-            F.sha2(s, 256).alias("evidence_sha256"), F.length(s).alias("evidence_chars"), s.alias("_s")))
-        return F.when((F.size(cue) > 0) & speaks, made).otherwise(F.filter(made, lambda _: F.lit(False)))
-
-    found = F.slice(F.array_distinct(F.flatten(F.transform(said, of))), 1, limit)
-    return found
+            out = out.when((F.size(post) == 0) & (F.size(around) == 1), around)
+        return out.otherwise(none)
+
+    said = T.bound(units, lambda us: F.transform(us, lambda s: F.struct(s.alias("s"), symbols(s, version.tickers).alias("own"))))
+    return T.bound(said, lambda x: T.bound(carried(x), lambda c: F.slice(F.array_distinct(F.flatten(F.transform(x, lambda u: _claimed(u, c, version)))), 1, limit)))
+
+
+def _claimed(u: Column, carried: Column, version: Version) -> Column:
+    """The claims of one sentence."""
+    own = F.size(u["own"]) > 0
+    named = F.when(own, u["own"]).otherwise(carried)
+    # stance rules are looked at only where there is a symbol to take them
+    cue = F.when(F.size(named) > 0, stances(u["s"], version)).otherwise(F.array().cast("array<string>"))
+    return T.bound(cue, lambda c: _with_cue(u["s"], own, named, c, version))
+
+
+def _with_cue(s: Column, own: Column, named: Column, cue: Column, version: Version) -> Column:
+    low = F.lower(s)
+    silent = F.lit(False)
+    for p in version.abstain:
+        silent = silent | matches(s, p, cased=True)
+    speaks = ~silent | matches(s, version.own_voice, cased=True)
+    horizon = F.coalesce(*(F.when(matches(low, p), label) for label, p in R.HORIZON))
+    made = F.transform(named, lambda x: F.struct(
+        x.alias("symbol"), F.get(cue, F.lit(0)).alias("stance"), F.slice(cue, 1, 3).alias("stance_cues"), horizon.alias("horizon"), matches(low, version.conditional).alias("conditional"),
+        _is_question(s).alias("question"), T.null_if_empty(F.regexp_extract(s, "(?iuU)" + R.PRICE, 1)).cast("double").alias("price"), F.when(own, "text").otherwise("context").alias("ticker_source"),
+        F.sha2(s, 256).alias("evidence_sha256"), F.length(s).alias("evidence_chars"), s.alias("_s")))
+    return F.when((F.size(cue) > 0) & speaks, made).otherwise(F.filter(made, lambda _: F.lit(False)))
 
 
 def without_text(found: Column) -> Column:

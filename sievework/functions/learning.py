@@ -47,8 +47,10 @@ def _number(text: Column, pattern: str, group: int = 1) -> Column:
 def operations(text: Column, most: int = 20) -> Column:
     """Operations of the units that name a symbol and an action or a level. The context of a unit is the unit and the
     three before it."""
-    u = units(text)
+    return T.bound(units(text), lambda u: _operations(u, most))
 
+
+def _operations(u: Column, most: int) -> Column:
     def of(unit: Column, i: Column) -> Column:
         context = F.array_join(F.slice(u, F.greatest(i - 2, F.lit(1)), F.least(i + 1, F.lit(4))), " ")
         who = attribution(F.get(u, F.lit(0)), unit, context)
@@ -77,23 +79,47 @@ def lessons(text: Column, most: int = 12) -> Column:
 def signals(text: Column, most: int = 12) -> Column:
     """Method signals: the first place of each condition, over a unit and its neighbours, with a short excerpt and its
     hash; the document's state goes with each."""
-    u = units(text)
+    return T.bound(units(text), lambda u: _signals(u, most))
+
+
+def _signals(u: Column, most: int) -> Column:
     contexts = F.transform(u, lambda _, i: F.array_join(F.slice(u, F.greatest(i, F.lit(1)), F.when(i == 0, 2).otherwise(3)), " "))
-    whole = F.lower(F.array_join(u, " "))
+    return T.bound(F.struct(contexts.alias("c"), F.lower(F.array_join(u, " ")).alias("w")), lambda x: _first_places(x["c"], x["w"], most))
+
+
+def _first_places(contexts: Column, whole: Column, most: int) -> Column:
     state = F.coalesce(*(F.when(matches(whole, p), label) for label, p in R.STATES), F.lit(None))
     found = []
     for place, (name, pattern, ready) in enumerate(R.SIGNALS):
-        hits = F.filter(F.transform(contexts, lambda c, i: F.struct(i.alias("i"), c.alias("c"))), _holds(pattern))
-        first = F.get(hits, F.lit(0))
-        excerpt = F.substring(T.squeeze(first["c"]), 1, 180)
-        found.append(F.when(F.size(hits) > 0, F.struct(
-            first["i"].alias("unit"), F.lit(place).alias("place"), F.lit(name).alias("condition_id"), F.lit(ready).alias("machine_ready"), excerpt.alias("evidence_excerpt"),
-            F.sha2(excerpt, 256).alias("evidence_hash"), state.alias("state_hint"))))
+        hits = F.filter(F.transform(contexts, lambda c, i: F.struct(i.alias("i"), c.alias("c"))), _holds(name, pattern))
+        found.append(T.bound(F.get(hits, F.lit(0)), _signal(place, name, ready, state)))
     return F.slice(F.sort_array(F.array_compact(F.array(*found))), 1, most)
 
 
-def _holds(pattern: str):
-    return lambda x: matches(F.lower(x["c"]), pattern)
+def _signal(place: int, name: str, ready: bool, state: Column):
+    def made(first: Column) -> Column:
+        excerpt = F.substring(T.squeeze(first["c"]), 1, 180)
+        return F.when(first.isNotNull(), F.struct(
+            first["i"].alias("unit"), F.lit(place).alias("place"), F.lit(name).alias("condition_id"), F.lit(ready).alias("machine_ready"), excerpt.alias("evidence_excerpt"), F.sha2(excerpt, 256).alias("evidence_hash"), state.alias("state_hint")))
+
+    return made
+
+
+#: Words of which a text that fulfils a condition holds one: they spare the search for what can't be there.
+NEEDED = {
+    "tcds_cross_zero": ("tcds",), "ppo_above_signal": ("ppo",), "ppo_hist_positive": ("histogram", "柱状图", "柱线"), "price_above_ma50": ("ma",), "price_below_ma50": ("ma",),
+    "ma50_hold_two_sessions": ("ma",), "supertrend_bullish": ("supertrend",), "macd_hist_positive": ("macd",),
+}
+
+
+def _holds(name: str, pattern: str):
+    def held(x: Column) -> Column:
+        low, any_of = F.lower(x["c"]), F.lit(False)
+        for word in NEEDED[name]:
+            any_of = any_of | F.contains(low, F.lit(word))
+        return any_of & matches(low, pattern)
+
+    return held
 
 
 def themes(text: Column) -> Column:

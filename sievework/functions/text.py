@@ -49,8 +49,8 @@ def folded_url(url: Column) -> Column:
 
 
 def has_token(text: Column, token: str) -> Column:
-    """Whether an ASCII word stands alone in a text, in either case."""
-    return text.rlike(rf"(?i)(?<![A-Za-z0-9]){token}(?![A-Za-z0-9])")
+    """Whether an ASCII word stands alone in a text, in either case. The pattern runs only where the word occurs."""
+    return F.contains(F.lower(text), F.lit(token.lower())) & text.rlike(rf"(?i)(?<![A-Za-z0-9]){token}(?![A-Za-z0-9])")
 
 
 def sentences(text: Column, ends: str = "。！？；!?;", least: int = 6) -> Column:
@@ -150,3 +150,9 @@ def backoff_seconds(failures: Column, base: int = 5, most: int = 300) -> Column:
 
 def ceil_div(a: Column, b: Column) -> Column:
     return F.ceil(a / b).cast("long")
+
+
+def bound(value: Column, made) -> Column:
+    """``made(value)`` with the value worked out once a row: an expression that a lambda uses would be worked out again
+    for each element."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))

@@ -91,6 +91,13 @@ def violations(old: DataFrame, new: DataFrame, key: str, columns: list[str]) ->
     return lost.unionByName(changed)
 
 
+def undeclared(old: DataFrame, new: DataFrame, key: str, columns: list[str], revised: str) -> DataFrame:
+    """``violations`` but for values that the new row declares: ``revised`` is an array column of ``new`` with the names of
+    the fields that an audited revision changed. Declaring saves no key from being lost."""
+    said = new.select(F.col(key).cast("string").alias("key"), F.lit("changed").alias("kind"), F.explode(revised).alias("field")).distinct()
+    return violations(old, new, key, columns).join(said, ["key", "kind", "field"], "left_anti").select("key", "kind", "field")
+
+
 def digest(*columns: Column) -> Column:
     """A digest of a table's rows that doesn't depend on their order: the sum of 60 bits of each row's SHA-256, hashed.
     It takes a number's room however many rows there are."""

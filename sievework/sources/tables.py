@@ -47,9 +47,25 @@ def harvest(spark: SparkSession, paths: str | list[str], pattern: str) -> DataFr
     return spark.read.text(paths).select(F.explode(F.regexp_extract_all("value", F.lit(pattern), F.lit(0))).alias("match")).distinct()
 
 
+#: One item of a list that is written as text: in single or double quotes with escapes, else up to a comma.
+ITEM = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^,\[\]'"\s][^,\[\]]*+"""
+
+
 def coerced_list(column):
-    """A list that may be stored as a list or as its text; anything else is null."""
-    return F.from_json(F.regexp_replace(column, "'", '"'), "array<string>")
+    """A list that may be stored as JSON or as a program prints it: items in either kind of quotes, which may hold the other
+    kind, commas and brackets; bare items are texts and None is null. Anything else is null."""
+    column = F.trim(F.col(column) if isinstance(column, str) else column)
+    inside = F.trim(column.substr(F.lit(2), F.length(column) - 2))
+    items = F.regexp_extract_all(inside, F.lit(f"(?s)({ITEM})"), F.lit(1))
+    marks = F.regexp_replace(F.regexp_replace(inside, f"(?s){ITEM}", "x"), r"\s", "")
+    listed = F.startswith(column, F.lit("[")) & F.endswith(column, F.lit("]")) & marks.rlike("^[x,]*$") & ~marks.rlike("xx|,,|^,")
+
+    def plain(x):
+        inner = F.regexp_replace(x.substr(F.lit(2), F.length(x) - 2), r"(?s)\\(.)", "$1")
+        bare = F.rtrim(x)
+        return F.when(x.rlike("^['\"]"), inner).when(bare.isin("None", "null"), F.lit(None)).otherwise(bare)
+
+    return F.when(listed, F.transform(items, plain))
 
 
 def versions(snapshots: dict[int, DataFrame]) -> DataFrame:

@@ -144,7 +144,9 @@ def _located(text: Column, width: int) -> Column:
     first name or ticker of its symbols."""
 
     def of(s: Column, i: Column) -> Column:
-        syms = symbols(s)
+        return T.bound(symbols(s), lambda syms: placed(s, i, syms))
+
+    def placed(s: Column, i: Column, syms: Column) -> Column:
         names = F.array_compact(F.array(*(F.when(F.array_contains(syms, v) & F.contains(s, F.lit(k)), k) for k, v in R.CLAIM_ALIASES.items())))
         places = F.filter(F.transform(F.concat(names, syms), lambda k: F.instr(s, k)), lambda p: p > 0)
         first = F.coalesce(F.array_min(places), F.lit(1)) - 1
@@ -157,9 +159,11 @@ def _located(text: Column, width: int) -> Column:
 
 def locators(text: Column, most: int = 25, width: int = 40) -> Column:
     """Struct of the places of sentences with a symbol or a cue, those with a symbol first, and how many there are."""
-    hit = F.filter(_located(text, width), lambda x: (F.size(x["symbols"]) > 0) | x["stance_cue"])
-    ranked = F.concat(F.filter(hit, lambda x: F.size(x["symbols"]) > 0), F.filter(hit, lambda x: F.size(x["symbols"]) == 0))
-    return F.struct(F.slice(ranked, 1, most).alias("places"), F.size(hit).cast("long").alias("total"))
+    def told(hit: Column) -> Column:
+        ranked = F.concat(F.filter(hit, lambda x: F.size(x["symbols"]) > 0), F.filter(hit, lambda x: F.size(x["symbols"]) == 0))
+        return F.struct(F.slice(ranked, 1, most).alias("places"), F.size(hit).cast("long").alias("total"))
+
+    return T.bound(F.filter(_located(text, width), lambda x: (F.size(x["symbols"]) > 0) | x["stance_cue"]), told)
 
 
 def review_material(text: Column, most: int = 30, most_missed: int = 5, width: int = 40) -> Column:

@@ -76,18 +76,3 @@ def breakdown(spark, sf):
     p = _pairs(spark, sf).withColumn("split", F.when(F.col("doc_id") % 2 == 0, "dev").otherwise("test"))
     g = p.groupingSets([["split"], ["split", "lang"]], "split", "lang").agg(F.sum("toxic").cast("long").alias("toxic"), F.count("*").alias("n"))
     return g.withColumn("share", S.ratio(F.col("toxic"), F.col("n")))
-
-
-#: Sentences of our own making, with the claims that they hold.
-CUES = [(r"(?i)\b(?:won't|not|never) sell", "hold"), (r"(?i)\bbought|\bbuying", "buy"), (r"(?i)\badded|\badding", "add"), (r"(?i)\bsold|\bselling", "sell"), (r"(?i)\btrim", "trim"), (r"(?i)\bhold", "hold"), (r"(?i)\bavoid", "avoid")]
-
-
-@query()
-def claims_fixture(spark, sf):
-    """Claims of a few made-up sentences."""
-    from sievework.functions import text as T
-
-    texts = [(1, "I bought ABC today. If ABC falls I am adding more! What about XYZ?"), (2, "They say he sold XYZ. I won't sell ABC."), (3, "Nothing here at all."), (4, None)]
-    df = spark.createDataFrame(texts, "case_id int, text string")
-    found = X.claims(T.sentences(F.coalesce("text", F.lit("")), "。！？；!?;"), lambda s: X.detect(s, {}, ["ABC", "XYZ"]), CUES, skip=r"(?i)\bthey say\b", unless=r"\bI\b")
-    return df.select("case_id", F.explode_outer(found).alias("c")).select("case_id", "c.symbol", "c.stance", "c.conditional", "c.question", "c.evidence_sha256")

@@ -1,89 +1,13 @@
-"""Queries of exported threads, answers of models and people, and claim exports, over rows that state their outcome, and of
-side files and thread walks over the driver's tables."""
+"""Queries of thread walks and side files."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.functions import answers as A
-from sievework.functions import claims as C
-from sievework.functions import labels as L
 from sievework.operators import sets
-from sievework.plans.registry import query, table, values
+from sievework.plans.registry import query, table
 from sievework.sources import parse, threads
 
-TOPIC = """# The root
-
-- **楼主**：Jo　**时间**：2025-12-30 09:10
-- **参与的目标用户**：Jo, Al
-- **链接**：https://b.example/inv/100.html
-
-## 主帖
-
-root text
-本帖于 2025-12-31 编辑
-
-## 跟帖
-
-- [first](https://b.example/inv/101.html) — **Al** ⭐ 12-30 10:00 (7 bytes)
-  > 回答:
-  > parent
-  > 于
-  > 2025-12-30 09:10
-  > own words
-  - [second](https://b.example/inv/102.html) — Zed 01-02 11:00
-    > not a target
-    - [third](https://b.example/inv/103.html) — **Al** ⭐ 01-03 12:00
-- [fourth](https://b.example/inv/104.html) — **Jo** ⭐ 01-04 13:00 (9 bytes)
-"""
-#: (case, post id, kind, time, text, status, bytes, parent, answers)
-ENTRIES = [
-    (1, "100", "post", "2025-12-30 09:10:00", "The root\nroot text", "body_exported", None, None, "101,104"), (1, "101", "reply", "2025-12-30 10:00:00", "first\nown words", "body_exported", 7, "100", "102"),
-    (1, "103", "reply", "2026-01-03 12:00:00", "third", "title_only", 0, "102", None), (1, "104", "reply", "2026-01-04 13:00:00", "fourth", "body_missing", 9, "100", None),
-]
-
-
-@query(f"with r(case_id, post_id, kind, published_at, text, body_status, body_bytes, parent_id, answers) as (values {values(ENTRIES)}) select * from r")
-def topic_entries(spark, sf):
-    docs = spark.createDataFrame([(1, TOPIC), (2, "# no topic"), (3, None), (4, "")], "case_id int, text string")
-    return threads.topics(docs, "case_id", "text").select(
-        "case_id", "post_id", "kind", "published_at", "text", "body_status", "body_bytes", F.col("parent.post_id").alias("parent_id"), F.array_join(F.transform("replies", lambda x: x["post_id"]), ",").alias("answers"))
-
-
-DIGEST = """# Jo 的发言整理
-
-## Topic A
-楼主 Jo · 2026-01-02 03:04 · [原帖](https://b.example/inv/7.html)
-### 2026-01-02 03:04 · Topic A
-the body
-
-![image](https://b.example/i.png)
-### 2026-01-02 05:06 · Re one
-> 回复 Al「Some title」：quoted
-answer
-### 2026-01-02 05:06 · Re two
-（标题即全文）
-## Topic B
-### 2026-01-03 01:01 · no root yet
-lost
-楼主 Al · 2026-01-03 00:00 · [原帖](https://b.example/inv/8.html)
-### 2026-01-03 02:02 · Hm
-（正文未抓到，见原帖）
-"""
-_H = "2026-01-02 05:06:00"
-#: (case, id begins with, length of id, kind, time, text, status, bytes, author of the parent, title of the parent)
-UTTERANCES = [
-    (1, "7", 1, "post", "2026-01-02 03:04:00", "Topic A\nthe body", "body_exported", 8, None, None), (1, "7r202601020506", 23, "reply", _H, "Re one\nanswer", "body_exported", 6, "Al", "Some title"),
-    (1, "7r202601020506", 23, "reply", _H, "Re two", "title_only", 0, "Jo", "Topic A"), (1, "8r202601030202", 18, "reply", "2026-01-03 02:02:00", "Hm", "body_missing", 0, "Al", "Topic B"),
-]
-
-
-@query(f"with r(case_id, id_begin, id_chars, kind, published_at, text, body_status, body_bytes, parent_author, parent_title) as (values {values(UTTERANCES)}) select * from r")
-def digest_entries(spark, sf):
-    docs = spark.createDataFrame([(1, DIGEST), (2, "# Jo 的发言整理"), (3, None)], "case_id int, text string")
-    return threads.digests(docs, "case_id", "text").select(
-        "case_id", F.regexp_extract("post_id", r"^(\d+(?:r\d{12})?)", 1).alias("id_begin"), F.length("post_id").alias("id_chars"), "kind", "published_at", "text", "body_status", "body_bytes", F.col("parent.author").alias("parent_author"), F.col("parent.title").alias("parent_title"))
-
 
 @query("""with recursive t as (select conv_id, turn, case when turn > 0 then (turn - 1) // 2 end as parent, (turn * 5) % 8 as o from conversations),
  w as (select conv_id, turn, 0 as depth, [o * 100 + turn] as path from t where parent is null union all select t.conv_id, t.turn, depth + 1, list_append(path, t.o * 100 + t.turn) from t join w on t.conv_id = w.conv_id and t.parent = w.turn)
@@ -101,109 +25,6 @@ def depth_tree(spark, sf):
     return parse.tree(c, "conv_id", "turn", "depth", "turn").select("conv_id", "turn", F.col("parent").cast("long").alias("parent"))
 
 
-#: (case, JSON, the JSON inside)
-LEAVES = [
-    (1, '{"candidates": [{"content": {"parts": [{"text": "so: {\\"a\\": 1,"}, {"text": " "}, {"text": "\\"b\\": \\"x\\"} done"}]}}]}', '{"a": 1,\n"b": "x"}'), (2, '{"text": "no braces"}', None), (3, None, None), (4, "", None), (5, "not json", None),
-    (6, '[{"text": "{1}"}, {"text": "{1}"}, {"note": "\\"text\\": \\"{2}\\""}]', "{1}"),
-]
-
-
-@query(f"with r(case_id, j, want) as (values {values(LEAVES)}) select case_id, want as inner_json from r")
-def nested_answers(spark, sf):
-    return spark.createDataFrame([x[:2] for x in LEAVES], "case_id int, j string").select("case_id", A.inner_json(F.col("j")).alias("inner_json"))
-
-
-_ANSWER = '{"summary_zh": " S ", "symbols": ["$nvda", "TSLA"], "claims": [{"claim": " up ", "symbol": "NVDA", "stance": "buy", "price": ""}, {"claim": " "}, {"claim": "c2", "symbol": "amd", "timestamp": "1:02"}, {"claim": "c3", "symbol": "no symbol!"}], "macro": [{"indicator": "CPI", "value": "3", "period": "May"}, {"value": "9"}], "methods": [{"name": "MA", "explicit_parameters": {"n": 5}}], "invalidations": [{"symbol": "TSLA", "condition": "below 200"}]}'
-#: (case, answer, claims as symbol:check, text)
-SHAPED = [
-    (1, _ANSWER, "NVDA:listed,AMD:not_in_symbols,:", '[Gemini 视频理解 · 未验证] S\n- [NVDA buy] up\n- [1:02 AMD] c2\n- [] c3\n宏观：CPI 3（预期 —）May\n方法：MA 参数 {"n":5}\n失效条件：TSLA below 200'),
-    (2, "{}", "", "[Gemini 视频理解 · 未验证]"), (3, '{"claims": null, "macro": []}', "", "[Gemini 视频理解 · 未验证]"),
-]
-
-
-@query(f"with r(case_id, j, claims, text) as (values {values(SHAPED)}) select case_id, claims, text from r")
-def model_answers(spark, sf):
-    r = spark.createDataFrame([x[:2] for x in SHAPED], "case_id int, j string").withColumn("a", F.from_json("j", A.ANSWER))
-    tags = F.transform(A.model_claims(F.col("a")), lambda c: F.concat(F.coalesce(c["symbol"], F.lit("")), F.lit(":"), F.coalesce(c["symbol_check"], F.lit(""))))
-    return r.select("case_id", F.array_join(tags, ",").alias("claims"), A.rendered(F.col("a")).alias("text"))
-
-
-_LONG = "NVDA grows 20 percent; margins of the maker rise and more is said here"
-#: (case, message, video, summary, reason)
-COMMANDS = [
-    (1, f"/yt https://youtu.be/abcdefghijk?t=5 {_LONG}", "abcdefghijk", _LONG, None), (2, f"/YT {_LONG}\nsee https://www.youtube.com/watch?a=1&v=ABCDEFGHIJK&t=9 end", "ABCDEFGHIJK", f"{_LONG}\nsee   end", None),
-    (3, "hello", None, None, "no_command"), (4, "/yt no link", None, None, "no_link"), (5, "/yt https://youtu.be/abcdefghijk short", None, None, "too_short"), (6, None, None, None, "no_command"),
-]
-
-
-@query(f"with r(case_id, t, video_id, summary, reason) as (values {values(COMMANDS)}) select case_id, video_id, summary, reason from r")
-def summary_commands(spark, sf):
-    return spark.createDataFrame([x[:2] for x in COMMANDS], "case_id int, t string").select("case_id", A.command(F.col("t")).alias("c")).select("case_id", "c.*")
-
-
-#: (case, summary, text)
-SUBMITTED = [(1, "NVDA grows 20 percent\nmargins rise 3 points", "[Owner 提交摘要 · 未核实] NVDA grows 20 percent\nmargins rise 3 points\n- [NVDA] NVDA grows 20 percent\n- [NVDA] margins rise 3 points"), (2, "", "[Owner 提交摘要 · 未核实] ")]
-
-
-@query(f"with r(case_id, t, text) as (values {values(SUBMITTED)}) select case_id, text from r")
-def submission_texts(spark, sf):
-    r = spark.createDataFrame([x[:2] for x in SUBMITTED], "case_id int, t string")
-    return r.select("case_id", A.submission_text(F.col("t"), L.summary_claims(F.col("t"), ["AI"])).alias("text"))
-
-
-#: (case, text, status, bare, quality given; status, quality, provider, allowed, chars)
-FETCHES = [
-    (1, "abc", "available", True, None, "available", "Q1", "injected_test", True, 3), (2, "", None, True, None, "metadata_only", "Q5", "metadata_only", False, 0), (3, "abcd", None, False, "Q2", "metadata_only", "Q2", "metadata_only", False, 4),
-    (4, None, "blocked", False, None, "blocked", "Q5", "metadata_only", False, 0),
-]
-
-
-@query(f"with r(case_id, t, s, bare, q, status, quality, provider, allowed, chars) as (values {values(FETCHES)}) select case_id, status, quality, provider, allowed, chars from r")
-def fetch_results(spark, sf):
-    r = spark.createDataFrame([x[:5] for x in FETCHES], "case_id int, t string, s string, bare boolean, q string")
-    return r.select("case_id", A.fetch_result(F.col("t"), F.col("s"), F.col("bare"), quality=F.col("q")).alias("f")).select("case_id", "f.status", "f.quality", "f.provider", F.col("f.rule_candidate_allowed").alias("allowed"), "f.chars")
-
-
-#: (case, key, title, time; id, date, text)
-LISTED = [(1, "k1", "Hello", "01/02/2026 03:04:05", "reply-k1", "2026-01-02 03:04:05", "Hello"), (2, None, None, "yesterday", "reply-", "yesterday", ""), (3, "k3", "", None, "reply-k3", "", "")]
-
-
-@query(f"with r(case_id, k, title, t, id, date, text) as (values {values(LISTED)}) select case_id, id, date, text from r")
-def listed_replies(spark, sf):
-    r = spark.createDataFrame([x[:4] for x in LISTED], "case_id int, k string, title string, t string")
-    return r.select("case_id", A.listed_reply(F.lit("Jo"), F.col("k"), F.lit("u"), F.col("title"), F.col("t"), F.lit(None)).alias("p")).select("case_id", "p.id", "p.date", "p.text")
-
-
-#: (case, text; places as number:symbols:cue, total, claimed, missed)
-PLACES = [
-    (1, "今天我买入NVDA，长期看好。今天天气不错，提到AAPL而已。我准备加仓了啊。", "0:NVDA:true,1:AAPL:false,2::true", 3, "0", "1"), (2, "Nothing of note here at all.", "", 0, "", ""), (3, None, "", 0, "", ""), (4, "", "", 0, "", ""),
-]
-
-
-@query(f"with r(case_id, t, places, total, claimed, missed) as (values {values(PLACES)}) select case_id, places, total, claimed, missed from r")
-def sentence_locators(spark, sf):
-    r = spark.createDataFrame([x[:2] for x in PLACES], "case_id int, t string").select("case_id", C.locators(F.col("t")).alias("l"), C.review_material(F.col("t")).alias("m"))
-    shown = F.transform("l.places", lambda x: F.concat_ws(":", x["i"], F.array_join(x["symbols"], "+"), x["stance_cue"]))
-    number = lambda c: F.array_join(F.transform(c, lambda x: x["i"].cast("string")), ",")
-    return r.select("case_id", F.array_join(shown, ",").alias("places"), F.col("l.total").alias("total"), number("m.claimed").alias("claimed"), number("m.missed").alias("missed"))
-
-
-_SAID = "今天我买入NVDA，长期看好。"
-#: (id, published, captured, title, excerpt; first seen, provenance, exclude)
-RECORDS = [
-    ("a", "2026-01-05 01:02:03", "2026-01-05T02:00:00Z", _SAID, _SAID, None, None, None), ("b", "2025-01-05", "2026-01-05T02:00:00Z", _SAID, "", None, None, None), ("c", "2026-01-06", "2026-01-06T00:00:00Z", _SAID, None, "2026-01-06T00:00:00Z", "live", True),
-    ("d", "2026-01-06", "2026-01-06T00:00:00Z", None, "sell puts on QQQ this week", "2026-01-06T00:00:00Z", "live", False), ("e", None, "2026-01-06T00:00:00Z", _SAID, "", None, None, None), ("f", "2026-01-06", "2026-01-06T00:00:00Z", _SAID, "", "2025-01-01T00:00:00Z", "audited", False),
-]
-
-
-@query("with r(record_id, symbol, stance, provenance) as (values ('a', 'NVDA', 'buy', 'unaudited'), ('d', 'QQQ', 'bullish', 'live')) select * from r")
-def claim_export(spark, sf):
-    rows = spark.createDataFrame(RECORDS, "id string, published_at string, captured_at string, title string, excerpt string, first_seen string, provenance string, exclude boolean").withColumns({"author": F.lit("Jo"), "url": F.lit("u")})
-    records = rows.drop("first_seen", "provenance", "exclude")
-    flags = rows.filter("provenance is not null").select("id", "first_seen", "provenance", "exclude")
-    return C.exported(records, flags, F.lit("2026-01-10 00:00:00").cast("timestamp"), 14).select("record_id", "symbol", "stance", "provenance")
-
-
 @query("""with e as (select event_id, user_id from events), base as (select * from e where event_id % 3 <> 0), mine as (select event_id, user_id + 1000000 as user_id from e where event_id % 2 = 0)
 select * from base union all select * from mine where event_id not in (select event_id from base)""")
 def side_file(spark, sf):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievework.functions import identity
-from sievework.functions import text as T
 from sievework.operators import evaluate, fill, order
 from sievework.operators.sample import seeded
 from sievework.plans.registry import query, table

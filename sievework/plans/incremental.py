@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.functions import text as T
 from sievework.operators import state
 from sievework.plans.registry import query, table
 

@@ -6,19 +6,11 @@ from pyspark.sql import functions as F
 
 from sievework.functions import rules as R
 from sievework.operators import feed, records, report
-from sievework.plans.registry import query, table
+from sievework.plans.registry import pick, query, table
 from sievework.sources import drop, tables
 
 
-def pick(by: str, *options: str | None) -> str:
-    """A CASE over the remainder of a column, in the SQL that Spark and DuckDB share; ``{}`` in an option is SQL."""
-    def text(o: str | None) -> str:
-        return "null" if o is None else "concat(" + ", ".join(p if i % 2 else f"'{p}'" for i, p in enumerate(o.replace("{", "}").split("}"))) + ", '')"
-
-    return f"case {by} % {len(options)} " + " ".join(f"when {i} then {text(o)}" for i, o in enumerate(options)) + " end"
-
-
-def _themes(text: str) -> str:
+def themes_sql(text: str) -> str:
     held = lambda words: " or ".join(f"contains(lower({text}), {w!r})" for w in words)
     found = ", ".join(f"case when {held(words)} then {name!r} end" for name, words in R.THEMES.items())
     return f"list_filter([{found}], lambda x: x is not null)[1:8]"
@@ -42,7 +34,7 @@ def _posts(spark, sf):
 
 
 @query(_POST + f""" select left(sha1(author || '|http://h/' || doc_id || '|' || day || '|' || title), 20) as id, author, day as published_at, title, 'http://h/' || doc_id as url, left(body, 360) as excerpt, length(body) as content_chars, doc_id % 4 as images_count,
- array_to_string(case when len({_themes("title || chr(10) || body")}) > 0 then {_themes("title || chr(10) || body")} else ['{R.OTHER_THEME}'] end, ',') as themes, array_to_string({_SAID_SYMBOL}, ',') as symbols,
+ array_to_string(case when len({themes_sql("title || chr(10) || body")}) > 0 then {themes_sql("title || chr(10) || body")} else ['{R.OTHER_THEME}'] end, ',') as themes, array_to_string({_SAID_SYMBOL}, ',') as symbols,
  case doc_id % 5 when 4 then 1 when 0 then 1 else 0 end as n_operations, case when doc_id % 5 = 2 then 'do_not_chase' else '' end as rules, case when doc_id % 5 = 2 then 'admit_wrong' else '' end as lessons,
  case doc_id % 5 when 0 then 'NVDA:buy' when 1 then 'AMAT:trim' else '' end as claims, case when doc_id % 2 = 0 then n_chars % 90 + 1 end as reply_count, case when doc_id % 2 = 0 then least(n_chars % 90 + 1, 80) end as replies_kept,
  case when doc_id % 2 = 0 then n_chars % 90 + 1 - (n_chars % 90 + 1) // 4 end as replies_with_body, case when doc_id % 6 = 0 then source || ':' || left(repeat('long ', 40), 120) end as answered, 0 as n_actions from d""")

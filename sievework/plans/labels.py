@@ -1,4 +1,4 @@
-"""Queries of dates, strings, filters, gates and labels. Rules with many cases run over literal rows that state them."""
+"""Queries of dates, strings, filters, gates and labels over the driver's tables."""
 
 from __future__ import annotations
 
@@ -8,31 +8,7 @@ from sievework.functions import dates as D
 from sievework.functions import extract as X
 from sievework.functions import labels as L
 from sievework.functions import text as T
-from sievework.plans.registry import query, table, values
-
-NOW = "2026-11-10 00:00:00"
-#: (case, text, epoch seconds, first seen, discovered)
-STAMPS = [
-    (1, "2026-11-08 08:09:10", 1794000000, "2026-11-08T01:00:00Z", "2026-11-09"), (2, "2026-11-01T05:06:07Z", 0, "2026-11-09 10:00:00", "2026-11-01"), (3, "2026-10-12 08:09", None, "", "2026-10-13"),
-    (4, "20261012", 86399, None, ""), (5, "no date", 86400, "not a time", "2026-01-01"), (6, None, 1, "2026-11-08 00:00:00", None), (7, "2026-11-10", 951782400, "2026-11-07T23:59:59Z", "2026-11-10"), (8, "2026-13-40", 1, "2026-11-09", "x"),
-]
-
-
-def _stamps(spark):
-    return spark.createDataFrame(STAMPS, "case_id int, t string, epoch long, first_seen string, discovered string")
-
-
-@query(f"""with r(case_id, t, epoch, first_seen, discovered) as (values {values(STAMPS)})
-select case_id, case when contains(t, ' ') then try_strptime(substr(t, 1, 19), ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d %H:%M', '%Y-%m-%d']) else try_strptime(substr(t, 1, 10), '%Y-%m-%d') end as stamp,
-  case when regexp_matches(t, '^[0-9]{{8}}') then substr(t, 1, 4) || '-' || substr(t, 5, 2) || '-' || substr(t, 7, 2) else '' end as compact, coalesce(strftime(make_timestamp(cast(epoch as bigint) * 1000000), '%Y-%m-%d'), '') as epoch_date,
-  coalesce(date_diff('day', try_strptime(substr(t, 1, 10), '%Y-%m-%d'), timestamp '{NOW}') between 0 and 7, false) as recent,
-  case when coalesce(first_seen, '') = '' then true else coalesce(epoch(timestamp '{NOW}') - epoch(try_strptime(replace(replace(first_seen, 'T', ' '), 'Z', ''), ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d'])) < 48 * 3600, false) end as on_hold,
-  coalesce(case when t like '____-__-__%' then substr(t, 1, 10) end < case when discovered like '____-__-__%' then substr(discovered, 1, 10) end, false) as historical from r""")
-def date_forms(spark, sf):
-    t, now = F.col("t"), F.lit(NOW).cast("timestamp")
-    return _stamps(spark).select(
-        "case_id", D.stamp(t).cast("timestamp_ntz").alias("stamp"), F.coalesce(D.compact_date(t), F.lit("")).alias("compact"), D.epoch_date(F.col("epoch")).alias("epoch_date"), D.recent(t, now).alias("recent"),
-        D.on_hold(F.col("first_seen"), now).alias("on_hold"), D.historical(t, F.col("discovered")).alias("historical"))
+from sievework.plans.registry import query, table
 
 
 @query("""select o_orderkey, l_linenumber, epoch(l_shipdate) - epoch(o_orderdate) between -86400 and 168 * 3600 as timely from lineitem join orders on l_orderkey = o_orderkey""")
@@ -59,15 +35,6 @@ def year_roll_over(spark, sf):
     return table(spark, sf, "events").select("event_id", D.rolled_over(md, F.lit(2024), F.lit(6)).alias("day"))
 
 
-CLOCKS = [(1, "a 10/12/2026 postreply08:09:10 b 01/02/2026 23:59:59"), (2, "13/45/2026 10:00:00"), (3, ""), (4, None), (5, "12/31/2025   00:00:01 12/31/2025 00:00:02")]
-
-
-@query(f"""with r(case_id, t) as (values {values(CLOCKS)}), x as (select case_id, unnest(regexp_extract_all(t, '\\d{{2}}/\\d{{2}}/\\d{{4}}\\s*(?:postreply)?\\s*\\d{{2}}:\\d{{2}}:\\d{{2}}')) as s from r)
-select r.case_id, max(try_strptime(substr(s, 1, 10) || ' ' || right(s, 8), '%m/%d/%Y %H:%M:%S')) as latest from r left join x using (case_id) group by r.case_id""")
-def page_clocks(spark, sf):
-    return spark.createDataFrame(CLOCKS, "case_id int, t string").select("case_id", D.page_clock(F.col("t")).cast("timestamp_ntz").alias("latest"))
-
-
 @query("""select event_id from events where starts_with(strftime(ts, '%Y-%m-%d'), '2024-01-05') or event_id % 100 = 7""")
 def day_filter(spark, sf):
     """Records published or captured on a day."""
@@ -102,15 +69,6 @@ def capital_tokens(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(L.capitals(F.col("text"), ["MIT"]), ",").alias("symbols"))
 
 
-_MACRO = ", ".join("case when " + " or ".join(f"contains(lower(t), '{w}')" for w in ws) + f" then '{k}' end" for k, ws in L.MACRO.items())
-TOPIC_TEXTS = [(1, "The Federal Reserve and the dollar"), (2, "BTC, gold and CPI; soft landing?"), (3, "nothing of it"), (4, None), (5, "LIQUIDITY and usd and fomc")]
-
-
-@query(f"with r(case_id, t) as (values {values(TOPIC_TEXTS)}) select case_id, concat_ws(',', {_MACRO}) as topics from r")
-def macro_topics(spark, sf):
-    return spark.createDataFrame(TOPIC_TEXTS, "case_id int, t string").select("case_id", F.array_join(L.topics(F.col("t"), L.MACRO), ",").alias("topics"))
-
-
 @query("""with r as (select doc_id, n_chars, text, lang, length(trim(text)) = 0 as blank, lang = 'en' and n_chars < 200 as short_english from documents)
 select doc_id, concat_ws(',', case when blank then 'no_text' end, case when short_english then 'short_english' end) as flags, blank or short_english as exclude from r""")
 def quality_flags(spark, sf):
@@ -134,89 +92,6 @@ def shadow_eligible(spark, sf):
     return some.join(e.filter("event_id % 3 = 0").select("event_id"), "event_id", "left_anti").select("event_id")
 
 
-#: (case, role, quality, origin, text, rule_allowed, structured, admitted)
-GATE = [
-    (1, "rule_supply", "Q1", "captions", "x", True, False, True), (2, "rule_supply", "Q2", "captions", "x", False, False, False), (3, "rule_supply", "Q3", "captions", "x", True, False, False),
-    (4, "market_context", "q4", "captions", "x", False, False, True), (5, "market_context", "Q5", "captions", "x", True, True, False), (6, "market_context", "", "captions", "x", True, True, False),
-    (7, "other", "Q2", "captions", "x", False, False, True), (8, "other", "Q3", "captions", "x", True, True, False), (9, "rule_supply", "Q3", "owner_supplied_summary", "x", False, True, True),
-    (10, "rule_supply", "Q3", "owner_supplied_summary", "x", False, False, False), (11, "other", "Q1", "gemini_video_understanding", "x", True, True, False), (12, "other", "Q3", "gemini_video_understanding", "x", None, True, True),
-    (13, "rule_supply", "Q1", "captions", "  ", True, True, False), (14, "rule_supply", "Q1", None, None, True, True, False), (15, None, "Q1", None, "x", None, None, True), (16, "rule_supply", "Q1", None, "x", None, None, False),
-]
-
-
-@query(f"with r(case_id, role, quality, origin, t, rule_allowed, structured, admitted) as (values {values(GATE)}) select case_id, admitted from r")
-def content_gate(spark, sf):
-    """Every cell of the gate's truth table."""
-    g = spark.createDataFrame(GATE, "case_id int, role string, quality string, origin string, t string, rule_allowed boolean, structured boolean, want boolean")
-    return g.select("case_id", L.admitted(F.col("role"), F.col("quality"), F.col("origin"), F.col("t"), F.col("rule_allowed"), F.col("structured")).alias("admitted"))
-
-
-#: (case, symbol, stance, status, instrument, holder, ticker_source, fits)
-LABELS = [
-    (1, "nvda", "buy", "executed", None, None, None, True), (1, "$NVDA", "buy", "executed", "leaps", "author", "context", True), (1, "TSLA", "sell", "planned", "stock", "author", "text", True), (1, "TSLA", "maybe", "planned", "stock", "author", "text", False),
-    (2, "BRK.B", "hold", "opinion", "", "author_system", "text", True), (2, "TOOLONG", "hold", "opinion", None, None, None, False), (2, "", "hold", "opinion", None, None, None, False), (2, None, "hold", "opinion", None, None, None, False),
-    (3, "AB", "buy", None, None, None, None, False), (3, "AB", "trim", "conditional", "other", "nobody", "text", False),
-]
-
-
-@query(f"""with r(case_id, symbol, stance, status, instrument, holder, ticker_source, fits) as (values {values(LABELS)}),
- k as (select distinct case_id, replace(upper(symbol), '$', '') || ':' || stance || ':' || status as k from r where fits)
-select case_id, (select coalesce(string_agg(k, ',' order by k), '') from k where k.case_id = r.case_id) as labels, count(*) filter (not fits) as dropped from r group by case_id""")
-def label_validation(spark, sf):
-    r = spark.createDataFrame(LABELS, "case_id int, symbol string, stance string, status string, instrument string, holder string, ticker_source string, fits boolean")
-    g = r.groupBy("case_id").agg(F.collect_list(F.struct("symbol", "stance", "status", "instrument", "holder", "ticker_source")).alias("x")).withColumn("c", L.clean_labels(F.col("x")))
-    return g.select("case_id", F.array_join(F.array_sort(F.transform("c.labels", lambda s: F.concat_ws(":", s["symbol"], s["stance"], s["status"]))), ",").alias("labels"), F.col("c.dropped").alias("dropped"))
-
-
-#: (case, action, url, title, symbol, harmless, paused, members, shaped)
-SHAPES = [
-    (1, "none", "https://bbs.board.example/x", "Weekly members-only talk", "$nvda", True, True, True, "NVDA"), (2, " BUY ", "https://board.example", "open", "BRK.B", False, True, False, "BRK.B"),
-    (3, None, "https://notboard.example/", "（会员第301期）", "not a symbol", True, False, True, None), (4, "sell", None, None, None, False, False, False, None), (5, "n/a", "http://BBS.BOARD.EXAMPLE:80/", "Member Exclusive", "1AB", True, False, True, None),
-]
-
-
-@query(f"with r(case_id, action, url, title, symbol, harmless, paused, members, shaped) as (values {values(SHAPES)}) select case_id, harmless, paused, members, shaped from r")
-def output_shapes(spark, sf):
-    r = spark.createDataFrame(SHAPES, "case_id int, action string, url string, title string, symbol string, harmless boolean, paused boolean, members boolean, shaped string")
-    return r.select("case_id", L.harmless(F.col("action"), ["buy", "sell"]).alias("harmless"), L.paused(F.col("url"), F.lit("2026-11-01").cast("date"), "2026-12-01", "board.example").alias("paused"),
-                    L.members_only(F.col("title")).alias("members"), L.symbol(F.col("symbol")).alias("shaped"))
-
-
-#: (case, domain, text, grade)
-_LONG = "word " * 400
-GRADES = [
-    (1, "a.example", _LONG + " full transcript", "Q2"), (2, "a.example", _LONG + " at 1:02:03 we", "Q2"), (3, "a.example", _LONG, "Q4"), (4, "b.example", "x" * 640 + " show notes", "Q3"), (5, "b.example", "x" * 640 + "          ", "Q4"),
-    (6, "c.example", _LONG + " transcript", "Q4"), (7, "a.example", "transcript", "Q5"), (8, "b.example", None, "Q5"), (9, None, "x" * 500, "Q4"),
-]
-
-
-@query(f"with r(case_id, domain, t, grade) as (values {values(GRADES)}) select case_id, grade from r")
-def transcript_grades(spark, sf):
-    r = spark.createDataFrame(GRADES, "case_id int, domain string, t string, want string")
-    return r.select("case_id", L.grade(F.col("domain"), F.col("t"), ["a.example"], ["b.example"]).alias("grade"))
-
-
-#: (case, title, author, page, identified)
-TITLES = [(1, "Market Outlook today", "Jo / team", "the MARKET has an outlook", True), (2, "Market Outlook", "Jo Doe/x", "by jo doe", True), (3, "Market Outlook", "", "market only", False), (4, "", None, "anything", False), (5, "科技 股票", "", "科技和股票", True)]
-
-
-@query(f"with r(case_id, title, author, page, identified) as (values {values(TITLES)}) select case_id, identified from r")
-def page_identity(spark, sf):
-    r = spark.createDataFrame(TITLES, "case_id int, title string, author string, page string, want boolean")
-    return r.select("case_id", F.coalesce(L.identified(F.col("title"), F.col("author"), F.col("page")), F.lit(False)).alias("identified"))
-
-
-REPLIES = [
-    (1, ["本帖于 2026-01-01 由 x 编辑", "own text ", "", "more"], "own text\nmore"), (2, ["回答:", "some parent", "由 who", "于", "2026-01-02 03:04:05", "mine", " too "], "mine\ntoo"),
-    (3, ["回答：", "parent", "no end"], ""), (4, [], ""), (5, ["回答:", "于", "2026-01-02 03:04", "x"], "x"),
-]
-
-
-@query(f"with r(case_id, lines, own) as (values {values(REPLIES)}) select case_id, own from r")
-def reply_own_words(spark, sf):
-    return spark.createDataFrame(REPLIES, "case_id int, lines array<string>, want string").select("case_id", L.own_words(F.col("lines")).alias("own"))
-
-
 @query(r"""with r as (select doc_id, regexp_replace(split_part(text, chr(10), 1), '^\s+|\s+$', '', 'g') as t, regexp_replace(substr(text, 1, 360), '^\s+|\s+$', '', 'g') as e from documents)
 select doc_id, unnest(list_filter([case when t <> '' then 'title' end, case when e <> '' and e <> t then 'excerpt' end], lambda x: x is not null)) as kind,
   unnest(list_filter([case when t <> '' then substr(sha256('title|' || doc_id), 1, 16) end, case when e <> '' and e <> t then substr(sha256('excerpt|' || doc_id), 1, 16) end], lambda x: x is not null)) as item_id from r""")
@@ -226,54 +101,12 @@ def record_items(spark, sf):
     return d.select("doc_id", F.explode(L.items(title, F.substring("text", 1, 360), F.col("doc_id"))).alias("i")).select("doc_id", "i.kind", "i.item_id")
 
 
-#: (case, title, excerpt, parent author, parent title, text, context)
-ITEMS = [(1, "A", "A", "jo", "P", "A", "jo: P"), (2, "A", " more ", None, "P", "A\nmore", "None: P"), (3, " A ", None, "jo", "", "A", None), (4, None, "e", "jo", None, "\ne", None)]
-
-
-@query(f"with r(case_id, a, b, c, d, text, context) as (values {values(ITEMS)}) select case_id, text, context from r")
-def model_items(spark, sf):
-    r = spark.createDataFrame(ITEMS, "case_id int, a string, b string, c string, d string, w string, x string")
-    return r.select("case_id", L.model_item(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("m")).select("case_id", "m.text", "m.context")
-
-
 @query("""select doc_id, case when doc_id % 9 = 0 then 'video' when n_chars > 400 then 'title_plus_excerpt' else 'title_only' end as text_form, case when doc_id % 4 > 1 then 'claim' when doc_id % 5 = 0 then 'needs_article_check' else 'none' end as status from documents""")
 def text_forms(spark, sf):
     k = F.col("doc_id")
     return table(spark, sf, "documents").select("doc_id", L.text_form(F.when(k % 9 == 0, "video"), F.when(F.col("n_chars") > 400, F.col("text"))).alias("text_form"), L.answer_status(F.greatest(F.lit(0), k % 4 - 1), F.when(k % 5 == 0, "needs_article_check")).alias("status"))
 
 
-#: (case, status, parsed, page author, author, chars, images, class)
-PAGES = [
-    (1, 404, False, None, "jo", None, None, "http_error"), (2, 200, False, None, "jo", None, None, "selector_miss"), (3, 200, True, "Al", "jo", 10, 0, "author_mismatch"), (4, 200, True, "JO", "jo", 10, 1, "body_now_present"),
-    (5, 200, True, "jo", "jo", 0, 2, "image_only"), (6, 200, True, "jo", "jo", None, None, "genuinely_empty"), (7, 200, True, None, None, 1, 0, "body_now_present"),
-]
-
-
-@query(f"with r(case_id, status, parsed, page_author, author, chars, images, reason) as (values {values(PAGES)}) select case_id, reason from r")
-def title_only_reason(spark, sf):
-    r = spark.createDataFrame(PAGES, "case_id int, status int, parsed boolean, page_author string, author string, chars int, images int, want string")
-    return r.select("case_id", L.page_class(*(F.col(c) for c in ("status", "parsed", "page_author", "author", "chars", "images"))).alias("reason"))
-
-
-#: (case, name, text, kind)
-EXPORTS = [(1, "a.md", "**楼主**\n## 主帖\n## 跟帖", "topic"), (2, "b.MD", "text", "markdown"), (3, "c.htm", "<p>", "html"), (4, "d.jsonl", "{}", "jsonl"), (5, "e.bin", None, "unknown"), (6, "f.txt", "**楼主**", "markdown")]
-
-
-@query(f"with r(case_id, name, t, kind) as (values {values(EXPORTS)}) select case_id, kind from r")
-def export_kinds(spark, sf):
-    return spark.createDataFrame(EXPORTS, "case_id int, name string, t string, want string").select("case_id", L.sniffed(F.col("name"), F.col("t")).alias("kind"))
-
-
-SUMMARY = [(1, "- NVDA：看好到 150\n- 目标价提高到 160；AI 需求强劲 20%\n无关的一行文字\n1. TSLA 风险较大的", [["NVDA：看好到 150", "NVDA", None], ["目标价提高到 160", None, "NVDA"], ["AI 需求强劲 20%", None, "NVDA"], ["TSLA 风险较大的", "TSLA", None]]), (2, "nothing to see", [])]
-
-
-@query("with r(case_id, n, claim, symbol, context_symbol) as (values " + values([(c, i, *x) for c, _, rows in SUMMARY for i, x in enumerate(rows)]) + ") select case_id, n, claim, symbol, context_symbol from r")
-def summary_claims(spark, sf):
-    r = spark.createDataFrame([(c, t) for c, t, _ in SUMMARY], "case_id int, t string")
-    found = L.summary_claims(F.col("t"), ["AI"])
-    return r.select("case_id", F.posexplode(found).alias("n", "c")).select("case_id", "n", "c.claim", "c.symbol", "c.context_symbol")
-
-
 @query(r"""with d as (select doc_id, unnest(regexp_extract_all(text, '[^\n]+')) as s from documents) select doc_id, count(*) as lines, count(*) filter (regexp_matches(s, '(?i)(^|[^A-Za-z0-9])the([^A-Za-z0-9]|$)')) as with_term from d group by doc_id""")
 def line_locators(spark, sf):
     """Lines that could be cited, and those with a listed term."""
@@ -281,27 +114,6 @@ def line_locators(spark, sf):
     return d.groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(T.has_token(F.col("s"), "the")).alias("with_term"))
 
 
-ENTRIES = [(1, "2026-01-02T03:04:05Z", None, None, None, "2026-01-02"), (2, None, "20260103", None, None, "2026-01-03"), (3, "", "bad", 86400, None, "1970-01-02"), (4, None, None, None, 172800, "1970-01-03"), (5, None, None, None, None, "")]
-
-
-@query(f"with r(case_id, a, b, c, d, published) as (values {values(ENTRIES)}) select case_id, published from r")
-def entry_dates(spark, sf):
-    """The publication date of a listing's entry, from whichever field has one."""
-    r = spark.createDataFrame(ENTRIES, "case_id int, a string, b string, c long, d long, want string")
-    return r.select("case_id", D.first_date(F.substring("a", 1, 10), D.compact_date(F.col("b")), D.epoch_date(F.col("c")), D.epoch_date(F.col("d"))).alias("published"))
-
-
-_ATOM = "<feed><entry><yt:videoId>abc</yt:videoId><published>2026-01-02</published><title>T &amp; U</title></entry><entry><published>x</published></entry><entry><yt:videoId>def</yt:videoId></entry></feed>"
-
-
-@query(f"with r(video_id, published) as (values {values([('abc', '2026-01-02'), ('def', '')])}) select video_id, published from r")
-def feed_entries(spark, sf):
-    """Entries of an Atom text by id; entries without one are left out."""
-    from sievework.sources.parse import atom_entries
-
-    return spark.createDataFrame([(_ATOM,), (None,), ("not xml",)], "t string").select(F.explode(atom_entries(F.col("t"))).alias("e")).select("e.video_id", "e.published")
-
-
 @query("""select doc_id, concat_ws(',', case when regexp_matches(text, '(?i)(^|[^A-Za-z0-9])que([^A-Za-z0-9]|$)') then 'que' end, case when regexp_matches(text, '(?i)(^|[^A-Za-z0-9])the([^A-Za-z0-9]|$)') then 'the' end) as merged from documents""")
 def merged_symbols(spark, sf):
     """Symbols of two finders, merged and sorted."""

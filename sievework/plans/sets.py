@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sievework.functions import labels as L
 from sievework.operators import link, sets
 from sievework.plans.registry import query, table
+from sievework.sources import parse
 
 
 @query("select doc_id from documents where doc_id % 2 <> 0 and doc_id % 3 <> 0 and doc_id % 5 <> 0")
@@ -94,10 +95,10 @@ def category_links(spark, sf):
     return link.category(table(spark, sf, "pages"), "page_id", "html", _HREF, config)
 
 
-@query("select page_id, regexp_matches(html, '/(?:the|and)(?:/|\\b)') as recognised from pages")
+@query("""select page_id, case when regexp_matches(html, '<a href="/(?:the|and)"') then 'links' when regexp_matches(html, '<a href="/[A-Z]') then 'empty' else 'unrecognised' end as state from pages""")
 def page_structure(spark, sf):
-    """Whether a page has any trace of what it should list; without, it is unknown and not empty."""
-    return table(spark, sf, "pages").select("page_id", F.col("html").rlike(r"/(?:the|and)(?:/|\b)").alias("recognised"))
+    """Whether a page lists what it should, shows at least a trace of it, or can't be recognised."""
+    return table(spark, sf, "pages").select("page_id", parse.page_state(F.col("html"), '<a href="/(?:the|and)"', '<a href="/[A-Z]').alias("state"))
 
 
 @query("""select event_type as board, max(event_id) as newest from events group by event_type""")

@@ -102,6 +102,13 @@ def zip_members(files: DataFrame, content: str = "content", suffixes: tuple[str,
     return files.select("path", content).mapInPandas(unpack, "path string, name string, text string")
 
 
+def page_state(page: Column, link: str, trace: str) -> Column:
+    """What a listing page that came with status 200 is worth: ``links`` if it has any, ``empty`` if it has none but shows a
+    trace of what it should list, else ``unrecognised``: a changed layout or an error page isn't zero new articles."""
+    source = F.coalesce(page, F.lit(""))
+    return F.when(source.rlike(link), "links").when(source.rlike(trace), "empty").otherwise("unrecognised")
+
+
 def list_entries(source: str, link: str = r'<a[^>]+href="([^"]+)"[^>]*>([^<]*)</a>') -> list[tuple[str, str]]:
     """(href, text) of the links of a listing page, in order, each href without its fragment once."""
     seen: dict[str, str] = {}

@@ -198,20 +198,32 @@ def high_precision(text: Column, limit: int = 30) -> Column:
     return F.slice(F.filter(F.transform(found, gated), lambda c: c["hp_gate"].isNotNull()), 1, limit)
 
 
+def _shares(s: Column, tracked: list[str]) -> Column:
+    """(key, value) of each tracked symbol that a text gives a share in percent."""
+
+    def share(sym: str) -> Column:
+        forms = (rf"([0-9]{{1,3}}(?:\.[0-9]+)?)\s*%\s*(?:的)?(?:仓位)?\s*(?:在|于|放|是)?\s*{sym}", rf"{sym}\s*(?:仓位|总仓位|占)?\s*(?:的)?\s*([0-9]{{1,3}}(?:\.[0-9]+)?)\s*%")
+        return F.coalesce(*(T.null_if_empty(F.regexp_extract(s, "(?iuU)" + p, 1)) for p in forms)).cast("double")
+
+    return F.filter(F.array(*(F.struct(F.lit(t).alias("key"), share(t).alias("value")) for t in tracked)), lambda e: e["value"].isNotNull())
+
+
+def allocation(text: Column, tracked: list[str]) -> Column:
+    """Map of tracked symbols to their share in percent, empty where none is given, null for a null text."""
+    return F.when(text.isNotNull(), F.map_from_entries(_shares(text, tracked)))
+
+
 def actions(text: Column, tracked: list[str], limit: int = 20) -> Column:
     """Array of actions on the ``tracked`` symbols of a position holder: symbol, action_type, confidence, size_pct,
     price, allocation_pct, evidence_quote, evidence_sha256."""
     units = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"(?<=[。！？!?；;\n])"), T.squeeze), lambda s: F.length(s) >= 4)
     number = lambda s, *ps: F.coalesce(*(T.null_if_empty(F.regexp_extract(s, "(?iuU)" + p, 1)) for p in ps)).cast("double")
 
-    def share(s: Column, sym: str) -> Column:
-        return number(s, rf"([0-9]{{1,3}}(?:\.[0-9]+)?)\s*%\s*(?:的)?(?:仓位)?\s*(?:在|于|放|是)?\s*{sym}", rf"{sym}\s*(?:仓位|总仓位|占)?\s*(?:的)?\s*([0-9]{{1,3}}(?:\.[0-9]+)?)\s*%")
-
     def of(s: Column) -> Column:
         low = F.lower(s)
         hits = F.array_compact(F.array(*(F.when(s.rlike(rf"(?i)(?<![A-Za-z]){t}(?![A-Za-z])"), t) for t in tracked)))
         done, plan, hold, moved, sell, buy = (matches(low, p, cased=True) for p in (R.ACT_EXECUTED, R.ACT_PLANNED, R.ACT_HOLD, R.ACT_REBALANCE, R.ACT_SELL, R.ACT_BUY))
-        entries = F.filter(F.array(*(F.struct(F.lit(t).alias("key"), share(s, t).alias("value")) for t in tracked)), lambda e: e["value"].isNotNull())
+        entries = _shares(s, tracked)
         side = lambda tail: F.when(sell, "SELL" + tail).otherwise("BUY" + tail)
         pair = lambda kind, sure: F.struct(kind.alias("t"), sure.alias("c"))
         is_ = F.lit

@@ -214,3 +214,14 @@ def summary_claims(text: Column, tickers_stop: list[str], most: int = 20, chars:
         return F.struct(F.coalesce(own, a["above"]).alias("above"), F.when(told, F.concat(a["out"], F.array(row))).otherwise(a["out"]).alias("out"))
 
     return F.slice(F.aggregate(lines, state, step, lambda a: a["out"]), 1, most)
+
+
+def has_ticker(symbols: Column, claims: Column) -> Column:
+    """Whether a record names anything to score: a symbol or a claim."""
+    return (F.coalesce(F.size(symbols), F.lit(0)) > 0) | (F.coalesce(F.size(claims), F.lit(0)) > 0)
+
+
+def refusals(author: Column, wanted: Column, url: Column, shape: str, title: Column) -> Column:
+    """Why a single post may not be taken in, all reasons in order: an address of another shape, another author, no title."""
+    return flags(
+        url_shape=~F.coalesce(url, F.lit("")).rlike(shape), author_mismatch=~F.coalesce(F.lower(F.trim(author)) == F.lower(F.trim(wanted)), F.lit(False)), no_title=T.ustrip(F.coalesce(title, F.lit(""))) == "")

@@ -54,8 +54,10 @@ ALIASES = {
     "英伟达": "NVDA", "美光": "MU", "servicenow": "NOW", "paypal": "PYPL",
 }
 TICKERS = (
-    "INTC IREN TSLA NBIS CRWV META QCOM MRVL NVDA MU NOW PYPL COIN AAPL AMZN GOOG GOOGL QQQ TQQQ SMH SPY VOO QLD VGT LITE AMD MSFT TSM AVGO SOFI BE AMAT AAOI CIEN SGOV ORCL HOOD QQQM SPCX NFLX PLTR GLD"
-).split()
+    "INTC", "IREN", "TSLA", "NBIS", "CRWV", "META", "QCOM", "MRVL", "NVDA", "MU", "NOW", "PYPL", "COIN", "AAPL", "AMZN", "GOOG", "GOOGL", "QQQ",
+    "TQQQ", "SMH", "SPY", "VOO", "QLD", "VGT", "LITE", "AMD", "MSFT", "TSM", "AVGO", "SOFI", "BE", "AMAT", "AAOI", "CIEN", "SGOV", "ORCL", "HOOD",
+    "QQQM", "SPCX", "NFLX", "PLTR", "GLD",
+)
 CAPITALS_ONLY = ("NOW", "MU", "META", "COIN")
 #: Further names and tickers of claims, written exactly so.
 CLAIM_ALIASES = {
@@ -100,7 +102,8 @@ LESSONS = (
     ("thesis_vs_timing", r"方向正确.*不代表|判断没错.*过程"), ("admit_wrong", r"认错|看错了|割肉"),
 )
 THIRD_NAMES = ("段永平", "巴菲特", "德鲁肯米勒", "斯坦利", "芒格", "Burry", "伯里")
-FIRST_PERSON = r"(^|[，。；：\s])(我|我的|我在|我已经|我现在|我会|我不|我只|我买|我卖|我加|我减|我持有|我清仓|我重仓|我准备)"
+#: The class holds a backslash and an "s", as the rule has them, and no white space.
+FIRST_PERSON = r"(^|[，。；：\\s])(我|我的|我在|我已经|我现在|我会|我不|我只|我买|我卖|我加|我减|我持有|我清仓|我重仓|我准备)"
 PLAN = r"预设点位|现在的做法|第一档|第二档|目标区|卖出线|才考虑|接到货再说"
 #: Method signals: condition, pattern over a unit and its neighbours, whether a machine may act on it.
 SIGNALS = (

@@ -99,3 +99,11 @@ def reconciled(stated: DataFrame, calls: DataFrame, day: str, outcome: str) -> D
     expected = F.col("billed") + F.col("refunded")
     whole = (z("_detail_rows") == expected) & (z("_admitted") == F.col("admitted")) & (z("_errors") == F.col("errors"))
     return j.select(day, z("_detail_rows").cast("long").alias("detail_rows"), F.greatest(F.lit(0), expected - z("_detail_rows")).cast("long").alias("missing"), F.when(whole, "COMPLETE").otherwise("INCOMPLETE").alias("status"))
+
+
+def within_runs(calls: DataFrame, day: str, run: str, order: list, cap: int, run_cap: int) -> DataFrame:
+    """``allowed``: the first ``run_cap`` calls of a run, as long as the day has had fewer than ``cap`` of them. ``order`` is the
+    order of a day's calls and tells them apart; a run's calls follow one another."""
+    first = F.row_number().over(W.partitionBy(day, run).orderBy(*order)) <= run_cap
+    tried = calls.withColumn("_first", first)
+    return tried.withColumn("allowed", F.col("_first") & (F.sum(F.col("_first").cast("int")).over(W.partitionBy(day).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)) <= cap)).drop("_first")

@@ -8,6 +8,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from sievework.functions import claims as C
 from sievework.functions import extract as X
+from sievework.functions import labels as B
 from sievework.functions import learning as L
 from sievework.functions import rules as R
 from sievework.functions import text as T
@@ -99,3 +100,33 @@ def videos(df: DataFrame, captured_at: str, notice: str, owner_notice: str, mode
         only(either, C.without_text(C.claims(joined, limit=CLAIMS))).alias("claims"), F.when(by_owner, UNVERIFIED).when(by_model, UNVALIDATED).alias("claims_status"), only(either, st["claims"]).alias("video_claims"), only(by_model, st["model"]).alias("video_claims_model"), only(by_model, st["macro"]).alias("video_macro"),
         only(by_model, F.substring(F.coalesce(st["observed_title"], blank), 1, 200)).alias("video_observed_title"), only(by_owner, st["submission_ids"]).alias("owner_submission_ids"), only(by_owner, st["summary_sha256"]).alias("owner_summary_sha256"), only(by_owner, F.lit(OWNER)).alias("evidence_mode"),
         only(either, F.lit(PENDING)).alias("validation_status"), only(either, F.lit(False)).alias("forward_evidence_eligible"), F.when(by_owner, owner_notice).when(by_model, model_notice).otherwise(notice).alias("source_notice"))
+
+
+#: Grades that may be learned from, and attributions that are the author's own.
+LEARNABLE, OWN = ("Q1", "Q2"), ("author_action", "author_plan")
+
+
+def probes(df: DataFrame, noise: list[str], markers: list[str], now: str) -> DataFrame:
+    """Archive rows of probed videos: ``df`` has author, role, video_id, title, text, quality, provider and content_origin.
+    A provider's navigation page counts as the lowest grade; only the two best grades with a text are learned from, and
+    of their operations only the author's own. Wording is not kept, and nothing is evidence."""
+    blank = F.lit("")
+    raw = F.coalesce("text", blank)
+    plate = F.coalesce(X.boilerplate(raw, markers, 3, 2000), F.lit(False))
+    rows = df.withColumns({"_plate": plate, "_clean": F.array_join(L.without_promotion(B.cleaned(raw, noise))["kept"], "\n")})
+    rows = rows.withColumn("_quality", F.when(F.col("_plate"), "Q5").otherwise(F.coalesce(T.null_if_empty(F.col("quality")), F.lit("Q5"))))
+    eligible = F.col("_quality").isin(*LEARNABLE) & (F.col("_clean") != "")
+    # what isn't eligible is an empty text to all rules
+    rows = rows.withColumns({"_eligible": eligible, "_learn": F.when(eligible, F.col("_clean"))})
+    learn, seen = F.col("_learn"), F.col("_clean")
+    quiet = (F.col("role") == "market_context") & ~F.contains(F.lower(seen), F.lit("servicenow")) & ~F.contains(seen, F.lit("$NOW"))
+    own = F.filter(L.operations(learn), lambda o: o["attribution"].isin(*OWN))
+    names = F.filter(_symbols(F.coalesce(learn, blank)), lambda s: ~(F.coalesce(quiet, F.lit(False)) & (s == "NOW")))
+    claims = C.without_text(C.claims(learn, limit=CLAIMS))
+    none = F.array().cast("array<string>")
+    return rows.select(
+        F.concat(F.lit("yt_hist_"), F.substring(F.sha2(F.coalesce("video_id", blank), 256), 1, 16)).alias("archive_id"), "author", "video_id", "title", "role", F.concat(F.lit("https://www.youtube.com/watch?v="), F.coalesce("video_id", blank)).alias("url"),
+        F.col("_quality").alias("quality"), "provider", "content_origin", F.col("_eligible").alias("historical_learning_eligible"), F.length(seen).cast("long").alias("text_chars_seen"), F.when(seen != "", F.sha2(seen, 256)).alias("text_hash"), F.lit("").alias("excerpt"),
+        names.alias("symbols"), F.when(F.col("_eligible"), L.themes(F.concat_ws("\n", F.coalesce("title", blank), learn))).otherwise(none).alias("themes"), F.when(F.col("_eligible"), B.topics(learn, B.MACRO)).otherwise(none).alias("macro_topics"), own.alias("operations"),
+        L.portfolio_rules(learn).alias("portfolio_rules"), L.lessons(learn).alias("lessons"), none.alias("representative_points"), claims.alias("claims"), F.size(F.filter(claims, X.checkable)).alias("checkable_claims"), F.col("_plate").alias("provider_boilerplate"),
+        *(F.lit(False).alias(c) for c in ("forward_evidence_eligible", "promotion_eligible", "event_score_eligible")), F.lit(now).alias("last_probe_at"))

@@ -42,3 +42,30 @@ def by_symbol(df: DataFrame, symbols: str, key: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
     df.orderBy(*order).write.mode("overwrite").option("header", True).csv(path)
+
+
+def written(posts: DataFrame, folder: str, mark: str = "posts") -> None:
+    """The reports of a collection, in the order of (date, id) over all files of each: an index as CSV, the posts as JSON
+    lines and as Markdown. ``posts`` has id, date, author, title, url, text and images (an array)."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = posts.withColumns({"_date": blank("date"), "_id": blank("id")})
+    keys = [F.col("_date").asc(), F.col("_id").asc()]
+    pictures = F.coalesce(F.col("images"), F.array().cast(posts.schema["images"].dataType))
+    index = rows.select("_date", "_id", blank("author").alias("author"), blank("title").alias("title"), F.length(blank("text")).alias("chars"), F.size(pictures).alias("images"), blank("url").alias("url"))
+    ranged = index.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged.select(F.col("_date").alias("date"), "author", "title", "chars", "images", "url").write.mode("overwrite").option("header", True).csv(f"{folder}/index")
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_date", "_id").write.mode("overwrite").json(f"{folder}/{mark}")
+    shown = F.when(F.size(pictures) > 0, F.concat(F.lit("图片链接: "), F.array_join(pictures, " "), F.lit("\n\n"))).otherwise("")
+    text = F.concat(F.lit("## "), F.col("_date"), F.lit(" | "), blank("title"), F.lit("\n\n原文: "), blank("url"), F.lit("\n\n"), blank("text"), F.lit("\n\n"), shown, F.lit("---\n"))
+    rows.select("_date", "_id", text.alias("value")).repartitionByRange(*keys).sortWithinPartitions(*keys).select("value").write.mode("overwrite").text(f"{folder}/markdown")
+
+
+def as_json(**sections: DataFrame) -> DataFrame:
+    """One row, ``report``: the sections as JSON. A section called ``total...`` is one row and an object, others are lists in the order of their
+    first column; sections are summaries, so keep them small."""
+    out = None
+    for name, df in sections.items():
+        one = df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias("_rows"))
+        one = one.select(F.struct(F.col("_rows")[0].alias(name)) if name.startswith("total") else F.struct(F.col("_rows").alias(name))).toDF(f"_{name}")
+        out = one if out is None else out.join(one, F.lit(True))
+    return out.select(F.to_json(F.struct(*(F.col(f"_{n}.{n}").alias(n) for n in sections))).alias("report"))

@@ -98,3 +98,16 @@ def marked_subset(df: DataFrame, key: str, n: int, seed: str, name: str) -> Data
 def blind(df: DataFrame, key: str, labels: list[str], seed: str) -> DataFrame:
     """What a rater sees: rows under a name that tells nothing, without the labels and the key."""
     return df.select(F.substring(seeded(seed, F.col(key)), 1, 10).alias("blind_id"), *(c for c in df.columns if c not in (*labels, key)))
+
+
+def drawn(df: DataFrame, author: str, key: str, seed: str, quotas: dict[str, int] | int) -> DataFrame:
+    """A sample of each author: the first of the distinct keys in seeded order, as many as the author's quota (none if it has
+    none), in place of draws by a random generator."""
+    quota = F.lit(quotas) if isinstance(quotas, int) else F.coalesce(*(F.when(F.col(author) == a, n) for a, n in quotas.items()), F.lit(0))
+    one = df.dropDuplicates([author, key]).withColumns({"_quota": quota, "_n": F.row_number().over(W.partitionBy(author).orderBy(seeded(seed, F.col(key)), key))})
+    return one.filter("_n <= _quota").drop("_n", "_quota")
+
+
+def pooled(df: DataFrame, **reasons: Column) -> DataFrame:
+    """``df`` with ``reason``: the first of the conditions, in the order given, that keeps a row out of the pool, else null."""
+    return df.withColumn("reason", F.coalesce(*(F.when(F.coalesce(c, F.lit(False)), name) for name, c in reasons.items()), F.lit(None)))

@@ -6,7 +6,6 @@ row's text, so what a window or a list holds is never more than that row held. N
 
 from __future__ import annotations
 
-import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import labels as L
 from sievework.functions import text as T
+from sievework.scratch import cut
 from sievework.sources.parse import tree
 
 #: The lines of exported topics and digests.
@@ -135,13 +135,11 @@ def walked(posts: DataFrame, topic: str, node: str, parent: str, order: str) ->
     rows = posts.select(topic, node, parent, order).dropDuplicates([topic, node])
     step = lambda: F.struct(F.col(order).alias("o"), F.col(node).alias("n"))
     level = rows.filter(F.col(parent).isNull()).select(topic, node, F.lit(0).alias("depth"), F.array(step()).alias("path"))
-    out, context = level, posts.sparkSession.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or (tempfile.mkdtemp(prefix="sievework-") if context.master.startswith("local") else None)
-    if folder and context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+    out = level
     while True:
         above = level.select(topic, F.col(node).alias(parent), F.col("depth"), F.col("path"))
-        level = rows.filter(F.col(parent).isNotNull()).join(above, [topic, parent]).select(topic, node, (F.col("depth") + 1).alias("depth"), F.concat("path", F.array(step())).alias("path")).checkpoint()
+        level = rows.filter(F.col(parent).isNotNull()).join(above, [topic, parent]).select(topic, node, (F.col("depth") + 1).alias("depth"), F.concat("path", F.array(step())).alias("path"))
+        level = cut(level)
         if level.isEmpty():
             break
         out = out.unionByName(level)

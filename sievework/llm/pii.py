@@ -9,7 +9,8 @@ different values of one format never meet. Only texts with a digit or an at sign
 What is permuted: all digits of a card number but the check digit; the digits of an IBAN's account part; the last ten
 digits of a phone number or all of a shorter one; area, group and serial number of a social security number, each
 within what is ever given out; the octets of an IPv4
-address; dates within the 400 years from 1800, in any of four layouts; letters and digits of an e-mail's local part,
+address; dates within the 400 years from 1800, in any of four layouts (those that only a month in front makes a date,
+such as 02/17/1990, among themselves); letters and digits of an e-mail's local part,
 each within its own alphabet, capital letters like small ones.
 
 Edge cases: a null text stays null with counts 0; other columns pass through; rows are independent; texts are
@@ -38,6 +39,7 @@ PATTERN = "|".join((
 ROUNDS = 8
 #: 400 Gregorian years are 146,097 days, which is 189 x 773: a domain that two symbols fill exactly.
 FIRST_DAY, DAY_HIGH, DAY_LOW = "1800-01-01", 189, 773
+WALK = 64
 
 
 def feistel(symbols: Column, radices: Column, tweak: Column, key: str, rounds: int = ROUNDS) -> Column:
@@ -105,6 +107,16 @@ def _day(m: Column) -> Column:
     return F.when(n.between(0, DAY_HIGH * DAY_LOW - 1), n)
 
 
+def _month_first(day: Column, moved) -> Column:
+    """The pseudonym of a date that can be read with its month first only. It must be one too, or it would meet that of
+    another date, so the permutation goes on until the day of the month can't be a month: this permutes such dates among
+    themselves. Three in five days will do, so over ``WALK`` steps are an error that no key is known to cause."""
+    date = lambda d: F.date_add(F.lit(FIRST_DAY).cast("date"), d)
+    fits = lambda d: F.dayofmonth(date(d)) > 12
+    end = _let(day, lambda d: F.aggregate(F.sequence(F.lit(2), F.lit(WALK)), moved(d), lambda x, _: F.when(fits(x), x).otherwise(moved(x))))
+    return _let(end, lambda d: F.when(fits(d), date(d)).otherwise(F.raise_error(F.lit("no pseudonym for a date")).cast("date")))
+
+
 def kind_of(m: Column) -> Column:
     """The kind of a match that passes its kind's check, else null."""
     digits, plain = _digits(m), F.regexp_replace(m, "[ -]", "")
@@ -132,10 +144,10 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     ssn = _let(feistel(places, F.array(F.lit(898), F.lit(99), F.lit(9999)), F.lit("ssn"), key), lambda s: F.concat_ws(
         "-", *(F.lpad((x + k).cast("string"), n, "0") for x, k, n in ((s[0], F.when(s[0] > 664, 2).otherwise(1), 3), (s[1], F.lit(1), 2), (s[2], F.lit(1), 4)))))
     ip = F.array_join(feistel(F.split(m, r"\.").cast("array<int>"), F.array_repeat(F.lit(256), 4), F.lit("ip"), key).cast("array<string>"), ".")
-    moved = _let(_day(m), lambda d: feistel(F.array(F.floor(d / DAY_LOW).cast("int"), d % DAY_LOW), F.array(F.lit(DAY_HIGH), F.lit(DAY_LOW)), F.lit("date"), key))
-    date = _let(moved, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), s[0] * DAY_LOW + s[1]))
+    moved = lambda d: _let(feistel(F.array(F.floor(d / DAY_LOW).cast("int"), d % DAY_LOW), F.array(F.lit(DAY_HIGH), F.lit(DAY_LOW)), F.lit("date"), key), lambda s: s[0] * DAY_LOW + s[1])
+    date = _let(_day(m), lambda d: F.date_add(F.lit(FIRST_DAY).cast("date"), moved(d)))
     american = m.rlike(r"^\d{2}/") & F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNull()
-    laid = F.when(american, F.date_format(date, "MM/dd/yyyy"))
+    laid = F.when(american, F.date_format(_month_first(_day(m), moved), "MM/dd/yyyy"))
     for p, f in DATES:
         laid = laid.when(m.rlike(p), F.date_format(date, f))
     local, at = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)

@@ -3,7 +3,8 @@
 A record is rows of (record, chunk number) with at most ``chunk`` bytes each. Writing streams the rows of a partition
 into one archive of gzip members, one per record; the digest of a payload is carried from chunk to chunk and compared
 with the header's at the last one. Reading streams archives in spans of whole members and gives the chunk table back,
-each row with the digest of the payload so far, so neither side holds more of a payload than a chunk. Archives go to
+each row with the digest of the payload so far. The page that is written lies in its row, because the table has it there; beside
+it neither side holds more of a payload than a chunk. Archives go to
 the shared folder, first under a task attempt's name and then renamed, so a task that is run again does no harm.
 
 Records with equal payloads of ``min_bytes`` or more: those with the largest page_id are responses, the rest are
@@ -44,17 +45,19 @@ def record_table(pages: DataFrame, payload: str = "html", min_bytes: int = 0, ch
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit("")), "utf-8").alias("payload"),
     ).withColumns({"digest": F.sha1("payload"), "n": F.octet_length("payload").cast("long")})
-    first = rows.filter(F.col("n") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("best"))
-    joined = rows.join(first, "digest", "left")
-    revisit = (F.col("n") >= min_bytes) & F.col("best").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("best"))
+    # digests and ids find the responses; payloads then meet them by page, however many pages share a payload
+    ids = rows.select("page_id", "digest", "n")
+    first = ids.filter(F.col("n") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("best"))
+    found = ids.distinct().join(first, "digest").filter(F.col("best").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("best")))
+    refers = found.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "best")
+    joined = rows.join(refers, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")), "left")
     typed = joined.select(
-        "page_id", "url", "digest", "n", F.when(revisit, F.col("best")).alias("refers_to"), F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"),
+        "page_id", "url", "digest", "n", F.col("best").alias("refers_to"), F.when(F.col("best").isNotNull(), F.lit(b"")).otherwise(F.col("payload")).alias("payload"),
     )
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.octet_length("payload") / chunk).cast("int") - 1)),
-        lambda i: F.struct(i.cast("long").alias("chunk_no"), F.substring(F.col("payload"), i * chunk + 1, F.lit(chunk)).alias("data")),
-    )
-    return typed.select("page_id", "url", "digest", "n", "refers_to", F.explode(pieces).alias("c")).select("page_id", "url", "digest", "n", "refers_to", "c.*")
+    # chunks are cut from the payload one at a time, so no row holds them all
+    numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.octet_length("payload") / chunk).cast("int") - 1))
+    each = typed.select("page_id", "url", "digest", "n", "refers_to", "payload", F.explode(numbers).alias("_i"))
+    return each.select("page_id", "url", "digest", "n", "refers_to", F.col("_i").cast("long").alias("chunk_no"), F.substring("payload", F.col("_i") * chunk + 1, F.lit(chunk)).alias("data"))
 
 
 def _header(page_id: int | None, url: str | None, digest: str, n: int, refers_to: int | None, date: str) -> bytes:

@@ -79,8 +79,18 @@ def claims(units: Column, symbols, cues: list[tuple[str, str]], skip: str | None
     return F.slice(F.array_distinct(F.flatten(F.transform(units, of))), 1, most)
 
 
+#: Stances that can be scored later.
+CHECKABLE = ("buy", "add", "sell", "trim", "avoid", "bullish", "bearish", "hold")
+
+
 def checkable(claim: Column) -> Column:
-    return ~claim["question"] & claim["stance"].isNotNull()
+    """A claim that can be scored later: no question, and a stance that has a direction. An unknown question is none."""
+    return ~F.coalesce(claim["question"], F.lit(False)) & F.coalesce(claim["stance"].isin(*CHECKABLE), F.lit(False))
+
+
+def title_only(excerpt: Column, chars: Column) -> Column:
+    """Whether a record has nothing but its title: a blank excerpt, and no characters of content."""
+    return (T.ustrip(F.coalesce(excerpt, F.lit(""))) == "") & (F.coalesce(chars, F.lit(0)) == 0)
 
 
 #: Passages that go to all tasks; more meet the texts in a shuffle.

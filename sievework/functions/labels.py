@@ -87,16 +87,26 @@ def own_words(lines: Column) -> Column:
     return F.array_join(F.filter(F.transform(rest, lambda x: F.trim(x)), lambda x: x != ""), "\n")
 
 
+#: Words that tell a transcript and a structured summary, a time in a text, and lengths that a grade takes.
+TRANSCRIPT = ("transcript", "script", "full transcript", "字幕", "逐字稿")
+STRUCTURED = ("detailed brief", "detailed walkthrough", "show notes", "原片", "跳到", "infographic")
+TIMED = r"(?m)(?:^|\s)(?:\d{1,2}:)?\d{1,2}:\d{2}(?:\s|$)"
+FULL_CHARS, BRIEF_CHARS, SOME_CHARS = 1800, 650, 500
+
+
+def timed(text: Column) -> Column:
+    """Whether a text holds a time such as 1:02 or 1:02:03 by itself."""
+    return F.coalesce(text.rlike(TIMED), F.lit(False))
+
+
 def grade(domain: Column, text: Column, full: list[str], brief: list[str]) -> Column:
-    """Q2 for a full transcript of a listed provider, Q3 for a structured summary of another, Q4 for 500 characters or
-    more, else Q5."""
+    """Q2 for a full transcript of a listed provider, Q3 for a structured summary of another, Q4 for ``SOME_CHARS`` or more,
+    else Q5."""
     low, n = F.lower(F.coalesce(text, F.lit(""))), F.length(F.coalesce(text, F.lit("")))
-    timed = F.coalesce(text.rlike(r"(?m)(?:^|\s)(?:\d{1,2}:)?\d{1,2}:\d{2}(?:\s|$)"), F.lit(False))
-    transcript = holds_any(low, ["transcript", "script", "full transcript", "字幕", "逐字稿"])
-    structured = holds_any(low, ["detailed brief", "detailed walkthrough", "show notes", "原片", "跳到", "infographic"])
+    transcript, structured = (holds_any(low, list(words)) for words in (TRANSCRIPT, STRUCTURED))
     return (
-        F.when(domain.isin(full) & (n >= 1800) & (transcript | timed), "Q2").when(domain.isin(brief) & (n >= 650) & (structured | timed), "Q3")
-        .when(n >= 500, "Q4").otherwise("Q5")
+        F.when(domain.isin(full) & (n >= FULL_CHARS) & (transcript | timed(text)), "Q2").when(domain.isin(brief) & (n >= BRIEF_CHARS) & (structured | timed(text)), "Q3")
+        .when(n >= SOME_CHARS, "Q4").otherwise("Q5")
     )
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.functions import labels as L
 from sievework.functions import text as T
 from sievework.operators.feed import first_of
+from sievework.sources.parse import clean_text
 
 
 def utterance_key(author: Column, at: Column, title: Column) -> Column:
@@ -87,3 +89,16 @@ def pages_to_cutoff(listing: DataFrame, page: str, published: str, cutoff: str)
     newest = listing.groupBy(page).agg(F.max(published).alias("_n"))
     stop = newest.filter(F.col("_n") < cutoff).agg(F.min(page).alias("_stop"))
     return listing.join(F.broadcast(stop), F.lit(True)).filter(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
+
+
+def routed(candidates: DataFrame, key: str, full: list[str], brief: list[str]) -> DataFrame:
+    """The best transcript of each key out of what several providers gave: ``candidates`` has domain, text and priority.
+    Texts are cleaned and graded by their provider; the best grade wins, then priority. A key of which no text is worth
+    a grade above the lowest has its metadata only. ``rule_allowed`` marks full transcripts."""
+    text = clean_text(F.coalesce("text", F.lit("")))
+    graded = candidates.select(key, "domain", "priority", text.alias("text")).withColumn("quality", L.grade(F.col("domain"), F.col("text"), full, brief))
+    best = first_of(graded, [key], [F.col("quality").asc(), F.col("priority").asc_nulls_last(), F.col("domain").asc_nulls_last(), F.sha2("text", 256).asc()])
+    none = F.col("quality") == "Q5"
+    return best.select(
+        key, F.when(none, "metadata_only").otherwise("available").alias("status"), "quality", F.when(none, "metadata_only").otherwise(F.coalesce("domain", F.lit(""))).alias("provider"), F.when(none, "").otherwise(F.col("text")).alias("text"),
+        L.timed(F.col("text")).alias("timestamp_evidence"), (F.col("quality") == "Q2").alias("rule_allowed"), F.when(none, 0).otherwise(F.length("text")).cast("long").alias("chars"))

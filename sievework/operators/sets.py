@@ -69,3 +69,11 @@ def reapplied(base: DataFrame, side: DataFrame, key: str) -> DataFrame:
 def append_lines(df: DataFrame, path: str) -> None:
     """Add rows to a folder of JSON lines; what is there stays as it is."""
     df.write.mode("append").option("ignoreNullFields", False).json(path)
+
+
+def seen_union(current: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Two lists of what was seen as one: each key once, with the data that the current list has for it, else the other's
+    (the least of its rows)."""
+    columns = [c for c in current.columns if c != key]
+    both = current.select(key, F.lit(0).alias("_o"), F.struct(*columns).alias("_r")).unionByName(other.select(key, F.lit(1).alias("_o"), F.struct(*columns).alias("_r")))
+    return both.groupBy(key).agg(F.min(F.struct("_o", "_r")).alias("_x")).select(key, *(F.col(f"_x._r.{c}").alias(c) for c in columns))

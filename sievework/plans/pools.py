@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievework.functions import claims as C
+from sievework.functions import extract as X
 from sievework.functions import labels as L
-from sievework.operators import backlog, records, report, sample
+from sievework.operators import backlog, intake, records, report, sample, sets
 from sievework.plans.intake import themes_sql
 from sievework.plans.laid import FROM, XD, rows, said
 from sievework.plans.registry import pick, query, table
+from sievework.sources.parse import clean_text
 
 MARKERS = ("home", "pricing", "log in", "sign up")
 _PROBE = {
@@ -79,3 +81,38 @@ def json_report(spark, sf):
     """A run's report as one JSON text: totals, and counts by language."""
     d = table(spark, sf, "documents")
     return report.as_json(total=d.agg(F.count("*").alias("records"), F.count_distinct("source").alias("authors")), by_lang=d.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("n"), F.max("n_chars").alias("longest")))
+
+
+_ROUTED = {"domain": pick("doc_id", "a.example", "b.example", "c.example", None), "text": f"concat(' ', repeat('x', cast(n_chars % 2500 as int)), {pick('doc_id', ' full transcript', ' at 1:02:03 we', ' show  notes', ' plain', '')}, chr(13))", "priority": "doc_id % 3"}
+
+
+@query(f"""with r as (select source, {_ROUTED['domain']} as domain, {_ROUTED['priority']} as priority, repeat('x', cast(n_chars % 2500 as int)) || case doc_id % 5 when 0 then ' full transcript' when 1 then ' at 1:02:03 we' when 2 then ' show notes' when 3 then ' plain' else '' end as t, doc_id % 5 as m {FROM}),
+ c as (select source, domain, priority, m, trim(t) as t from r), g as (select *, case when domain = 'a.example' and length(t) >= 1800 and m in (0, 1) then 'Q2' when domain = 'b.example' and length(t) >= 650 and m in (1, 2) then 'Q3' when length(t) >= 500 then 'Q4' else 'Q5' end as q from c),
+ b as (select *, row_number() over (partition by source order by q, priority, domain nulls last, sha256(t)) as n from g)
+select source, case when q = 'Q5' then 'metadata_only' else 'available' end as status, q as quality, case when q = 'Q5' then 'metadata_only' else coalesce(domain, '') end as provider, case when q = 'Q5' then '' else t end as text, m = 1 as timestamp_evidence, q = 'Q2' as rule_allowed, case when q = 'Q5' then 0 else length(t) end as chars from b where n = 1""")
+def routed_transcripts(spark, sf):
+    """The best text of each source out of what several providers gave."""
+    d = table(spark, sf, "documents").filter("n_chars is not null").select("source", *(F.expr(v).alias(k) for k, v in _ROUTED.items()))
+    return intake.routed(d, "source", ["a.example"], ["b.example"])
+
+
+@query(f"""select doc_id, doc_id % 4 = 1 and n_chars % 5 <> 3 or doc_id % 4 in (0, 2) and n_chars % 5 = 0 as title_only, doc_id % 3 <> 1 and n_chars % 6 < 4 as checkable {FROM}""")
+def record_states(spark, sf):
+    """Records with a title only, and claims that can be scored."""
+    df = rows(spark, sf, excerpt=pick("doc_id", "  ", None, "", "{source}"), chars="case when doc_id % 4 = 1 then case n_chars % 5 when 3 then 7 when 4 then null else 0 end else n_chars % 5 end", question="case doc_id % 3 when 0 then false when 1 then true end", stance=pick("n_chars", "buy", "trim", "avoid", "bearish", "mixed", None))
+    return df.select("doc_id", X.title_only(F.col("excerpt"), F.col("chars")).alias("title_only"), X.checkable(F.struct("question", "stance")).alias("checkable"))
+
+
+@query(f"""select doc_id, case when doc_id % 4 <> 3 then source || ' & <' || lang || '>' || chr(10) || chr(10) || 'é' || n_chars end as t {FROM}""")
+def cleaned_texts(spark, sf):
+    """Fetched texts with character references, carriage returns and runs of white space."""
+    t = "case when doc_id % 4 <> 3 then concat('  ', source, chr(9), ' ', chr(38), 'amp; ', chr(38), 'lt;', lang, chr(38), 'gt;', repeat(chr(13), cast(3 + doc_id % 3 as int)), chr(38), '#233;', n_chars, chr(10)) end"
+    return rows(spark, sf, t=t).select("doc_id", clean_text("t").alias("t"))
+
+
+@query("""with c as (select user_id, min(event_id) as first from events where event_type = 'click' group by 1), o as (select user_id, min(event_id) as first from events where event_type in ('view', 'click') group by 1) select user_id, first from c union all select user_id, first from o where user_id not in (select user_id from c)""")
+def seen_lists(spark, sf):
+    """Two lists of what was seen, as one; the current list's data stay."""
+    e = table(spark, sf, "events")
+    first = lambda cond: e.filter(cond).groupBy("user_id").agg(F.min("event_id").alias("first"))
+    return sets.seen_union(first("event_type = 'click'"), first("event_type in ('view', 'click')"), "user_id")

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sievework.functions import text as T
+
 #: Elements whose text nobody reads.
 HIDDEN = frozenset(("script", "style", "nav", "header", "footer", "form", "noscript"))
 
@@ -102,6 +104,21 @@ def zip_members(files: DataFrame, content: str = "content", suffixes: tuple[str,
     return files.select("path", content).mapInPandas(unpack, "path string, name string, text string")
 
 
+def clean_text(column: str | Column) -> Column:
+    """Fetched text: character references read, carriage returns as line feeds, blanks squeezed, two line feeds at most in
+    a row, no white space around. Null stays null."""
+    column = F.col(column) if isinstance(column, str) else column
+
+    @F.pandas_udf("string")
+    def unescaped(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([None if x is None else html.unescape(x) for x in batch], dtype=object)
+
+    # only texts with a reference leave the engine
+    plain = F.when(F.contains(column, F.lit("&")), unescaped(column)).otherwise(column)
+    return T.ustrip(F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, "\r", "\n"), r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+
+
 def page_state(page: Column, link: str, trace: str) -> Column:
     """What a listing page that came with status 200 is worth: ``links`` if it has any, ``empty`` if it has none but shows a
     trace of what it should list, else ``unrecognised``: a changed layout or an error page isn't zero new articles."""

@@ -8,7 +8,7 @@ from sievework.functions import extract as X
 from sievework.functions import stats as S
 from sievework.functions import text as T
 from sievework.operators import feed, recon, sample, state
-from sievework.plans.evaluation import CUES
+from sievework.plans.laid import CUES
 from sievework.sources import parse
 
 

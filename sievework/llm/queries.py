@@ -79,19 +79,22 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ASSIGN = r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_ID = secrets.ID.replace("'", "''")
 SQL["op6_secret_scan"] = rf"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
 k(o, kind, p) as (values (0, 'assign', '{_ASSIGN}'), (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'),
-  (3, 'linked_secret', '[A-Za-z0-9/+=]+'), (4, 'linked_endpoint', 'https?://[^\x20\x09-\x0D"''<>]+')),
+  (3, 'linked_secret', '[A-Za-z0-9/+=]+'), (4, 'linked_endpoint', 'https?://[^\x20\x09-\x0D"''<>]+'), (5, 'linked_id', '{_ID}')),
 a as (select r, o, kind, p, regexp_extract_all(t, p) as m, string_split(regexp_replace(t, p, chr(1), 'g'), chr(1)) as g from d, k),
 u as (select r, o, kind, p, unnest(range(1, len(m) + 1)) as i, unnest(m) as m, unnest(g[1:len(m)]) as g from a),
 s as (select r, o, kind, m, p, cast(sum(length(g) + length(m)) over (partition by r, o order by i) as bigint) as e from u),
 h as (select r, o, kind, m, e - length(m) as b, e from s where case o when 0 then length(regexp_extract(m, p, 2)) >= 6
-  when 1 then length(m) >= 20 when 2 then length(m) >= 24 when 3 then length(m) = 40 and not contains(m, '=') else length(m) > 8 end),
+  when 1 then length(m) >= 20 when 2 then length(m) >= 24 when 3 then length(m) = 40 and not contains(m, '=') when 4 then length(m) > 8 else length(m) >= 8 end),
 n as (select h.*, exists (from h x where x.r = h.r and x.o = 1 and (x.b <= h.b and h.b - x.e <= 400 or x.b >= h.b and x.b - h.e <= 400)) as by_access,
   exists (from h x where x.r = h.r and x.o in (0, 2, 3) and (x.b <= h.b and h.b - x.e <= 400 or x.b >= h.b and x.b - h.e <= 400)) as by_secret,
+  exists (from h x where x.r = h.r and x.o = 5 and (x.b <= h.b and h.b - x.e <= 400 or x.b >= h.b and x.b - h.e <= 400)) as by_name,
+  exists (from h x where x.r = h.r and x.o in (0, 2) and (x.b <= h.b and h.b - x.e <= 400 or x.b >= h.b and x.b - h.e <= 400)) as by_firm,
   exists (from h x where x.r = h.r and (x.o in (0, 2) and x.b <= h.b and x.e >= h.e or x.o = 2 and x.b = h.b)) as known from h),
-f as (select * from n where o < 3 or o = 3 and by_access and not known or o = 4 and by_access and by_secret)
+f as (select * from n where o < 3 or o = 3 and by_access and not known or o = 4 and (by_access and by_secret or by_name and by_firm) or o = 5 and by_firm)
 select d.doc_id, count(*) filter (o = 0) as n_assign, count(*) filter (o = 1) as n_access, count(*) filter (o = 2) as n_hex,
   sha256(coalesce(string_agg(kind || ':' || b || ':' || e, ',' order by b, o) filter (o < 3), '')) as base_sha256,
   coalesce(string_agg(kind || ':' || b || ':' || e, ',' order by b, o) filter (o >= 0), '') as spans

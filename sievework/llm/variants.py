@@ -7,6 +7,9 @@ large vocabulary, so the damaged half is cut in two in the same way, and a key h
 quarter: no pair of near words is lost by it, and what meets in a bucket differs in one quarter only. Candidates are
 then told apart and verified by their edit distance.
 
+All tables here grow with the vocabulary, so every join is a merge join: the driver never gathers a side to broadcast
+it, however small it looks in compressed form.
+
 Everything is built from Spark's functions. Edge cases: null and empty texts have no words; a null doc_id counts as an
 empty one; a word is any run of letters, however long; near words of equal count go by code points; an empty table
 gives no rows; columns that aren't asked for are left out, whatever their names.
@@ -69,7 +72,7 @@ def near(vocabulary: DataFrame) -> DataFrame:
     a = index.select("key", F.col("word").alias("a"), F.col("n").alias("a_n"))
     b = index.withColumn("equal", F.lit(True)).unionByName(longer.withColumn("equal", F.lit(False))).select("key", F.col("word").alias("b"), F.col("n").alias("b_n"), "equal")
     once = ~F.col("equal") | (F.col("a") < F.col("b"))
-    met = a.join(b, "key").filter(once & (F.levenshtein("a", "b", 1) == 1))
+    met = a.join(b.hint("merge"), "key").filter(once & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "b", "a_n", "b_n").distinct()
 
 
@@ -83,12 +86,12 @@ def variants(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     most = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct(-F.col("other_n"), F.col("other"))).alias("most"))
     other, other_n = F.col("most.other"), -F.col("most.col1")
     enough = other_n >= RATIO * F.col("n")
-    told = vocabulary.join(most, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(enough, other).alias("form"), F.when(enough, other_n).alias("form_n"))
+    told = vocabulary.join(most.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(enough, other).alias("form"), F.when(enough, other_n).alias("form_n"))
     found = written(told, "variant-forms")
     # counts grow RATIO times with each step, so the longest chain is known, and each join doubles the steps taken
     steps = max(1, int(math.log(max(found.agg(F.max("n")).first()[0] or 1, 1), RATIO)) + 1)
     roots = found.filter("form is not null").select("word", F.col("form").alias("root"))
     for _ in range(math.ceil(math.log2(steps)) if steps > 1 else 0):
         ahead = roots.select(F.col("word").alias("root"), F.col("root").alias("ahead"))
-        roots = roots.join(ahead, "root", "left").select("word", F.coalesce("ahead", "root").alias("root"))
-    return found.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+        roots = roots.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("ahead", "root").alias("root"))
+    return found.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

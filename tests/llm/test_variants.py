@@ -76,3 +76,14 @@ def test_edge_cases(spark):
 
 def test_query_equals_sql(spark):
     same(spark, queries.QUERIES["op12_spelling_variants"], queries.SQL["op12_spelling_variants"], "/root/testdata/sf0.001")
+
+
+def test_no_table_is_broadcast(spark, monkeypatch):
+    """Sides that look small when compressed were gathered by the driver, which ran out of memory."""
+    made, written = [], variants.written
+    monkeypatch.setattr(variants, "written", lambda df, name: made.append(df) or written(df, name))
+    docs = spark.createDataFrame([(1, "letters " * 30 + "lettars lettars letters")], "doc_id long, text string")
+    made.append(variants.variants(docs))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in made]
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 3
+    assert not any("Broadcast" in p for p in plans)

@@ -70,9 +70,10 @@ def downgraded(df: DataFrame, wrong: Column, reason: str, at: str) -> DataFrame:
     return df.withColumns({"revision": F.when(wrong, revision).otherwise(had), "intake_class": F.when(wrong, "backfill").otherwise(F.col("intake_class"))})
 
 
-def best_acquisition(candidates: DataFrame, key: str, quality: str, priority: str) -> DataFrame:
-    """The candidate of each key with the best grade (``Q1`` before ``Q5``), then by provider priority."""
-    return first_of(candidates, [key], [F.col(quality).asc_nulls_last(), F.col(priority).asc_nulls_last()])
+def best_acquisition(candidates: DataFrame, key: str, quality: str, priority: str, order: str) -> DataFrame:
+    """The candidate of each key with the best grade (``Q1`` before ``Q5``), then by provider priority, then by ``order``,
+    a column without ties within a key."""
+    return first_of(candidates, [key], [F.col(quality).asc_nulls_last(), F.col(priority).asc_nulls_last(), F.col(order).asc_nulls_last()])
 
 
 def discoveries(paths: dict[str, DataFrame], key: str) -> DataFrame:

@@ -38,7 +38,7 @@ def demotions(spark, sf):
 @query("""select user_id, event_id from (select *, row_number() over (partition by user_id order by 'Q' || (event_id % 5 + 1), value desc, event_id) as r from events) where r = 1""")
 def best_acquisitions(spark, sf):
     e = table(spark, sf, "events").withColumns({"q": F.concat(F.lit("Q"), F.col("event_id") % 5 + 1), "p": -F.col("value")})
-    return intake.best_acquisition(e, "user_id", "q", "p").select("user_id", "event_id")
+    return intake.best_acquisition(e, "user_id", "q", "p", "event_id").select("user_id", "event_id")
 
 
 @query("""select doc_id, concat_ws(',', case when doc_id % 2 = 0 then 'archive' end, case when doc_id % 3 = 0 then 'category' end, case when doc_id % 5 = 0 then 'overview' end) as paths from documents where doc_id % 2 = 0 or doc_id % 3 = 0 or doc_id % 5 = 0""")

@@ -45,3 +45,13 @@ def test_messages_and_digest(spark):
     assert got == ["ab\nab\nab", "ab\nab", "x" * 10, "x" * 10, "x" * 5]
     df = spark.createDataFrame([("g", i) for i in range(5)], "g string, i int")
     assert report.digest(df, "g", F.concat(F.lit("row "), "i"), ["i"], 3).first()["text"] == "row 0\nrow 1\nrow 2\n+2 more"
+
+
+def test_ties_of_acquisitions_go_by_event(spark, tmp_path):
+    """Copies of an event under higher ids, which come first in the file."""
+    from sievework.plans.claims import best_acquisitions
+
+    ids = [i + 1000 * k for k in (2, 1, 0) for i in (7, 5, 12, 10)]
+    rows = [(i, i % 1000 % 2, 1.5) for i in ids]
+    spark.createDataFrame(rows, "event_id long, user_id long, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted(map(tuple, best_acquisitions(spark, str(tmp_path)).collect())) == [(0, 10), (1, 5)]

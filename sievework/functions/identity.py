@@ -14,6 +14,8 @@ from sievework.functions import text as T
 #: Ratios that do alone and with a channel, shared symbols that do with a channel, what a symbol looks like.
 ALONE, WITH_CHANNEL, SYMBOLS = 0.6, 0.35, 2
 SYMBOL = r"(?<![A-Za-z])[A-Z]{2,5}(?![A-Za-z])"
+#: The same, but not next to a digit or an underscore either.
+WHOLE_SYMBOL = r"(?<![A-Za-z0-9_])[A-Z]{2,5}(?![A-Za-z0-9_])"
 #: From this length of the second text on, characters that make up over a hundredth of it start no block.
 LONG = 200
 
@@ -66,19 +68,19 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(both == 0, 1.0).otherwise(2 * count(a, b) / both)
 
 
-def symbols(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SYMBOL), F.lit(0)))
+def symbols(text: Column, symbol: str = SYMBOL) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(symbol), F.lit(0)))
 
 
-def same_title(seen: Column, channel: Column, named: Column, title: Column, author: Column) -> Column:
+def same_title(seen: Column, channel: Column, named: Column, title: Column, author: Column, symbol: str = SYMBOL) -> Column:
     """Struct of the ratio of the folded titles, whether a name of the author (names are split at / and |) is part of the
-    channel or the other way round, the number of shared symbols (those ``named`` count as seen), and the verdict, false
-    where a folded title is empty."""
+    channel or the other way round, the number of shared symbols (what ``symbol`` finds; those ``named`` count as seen), and
+    the verdict, false where a folded title is empty."""
     own, want, on = (T.folded(F.coalesce(c, F.lit(""))) for c in (seen, title, channel))
     names = F.filter(F.transform(F.split(F.coalesce(author, F.lit("")), "[/|]"), T.folded), lambda n: n != "")
     hit = (on != "") & F.exists(names, lambda n: F.contains(on, n) | F.contains(n, on))
-    wanted = symbols(title)
-    shared = F.size(F.array_intersect(wanted, F.array_union(symbols(seen), F.transform(F.coalesce(named, F.array().cast("array<string>")), F.upper))))
+    wanted = symbols(title, symbol)
+    shared = F.size(F.array_intersect(wanted, F.array_union(symbols(seen, symbol), F.transform(F.coalesce(named, F.array().cast("array<string>")), F.upper))))
     r = ratio(own, want)
     same = (own != "") & (want != "") & ((r >= ALONE) | hit & ((r >= WITH_CHANNEL) | (F.size(wanted) >= SYMBOLS) & (shared >= SYMBOLS)))
     return F.struct(r.alias("ratio"), hit.alias("channel_hit"), shared.cast("long").alias("shared"), same.alias("same"))

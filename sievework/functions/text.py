@@ -98,7 +98,7 @@ def safe_name(text: Column) -> Column:
 
 def folded(text: Column) -> Column:
     """Letters and digits only, in lower case, for loose comparison."""
-    return F.regexp_replace(F.lower(text), r"(?U)[\W_]+", "")
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "")
 
 
 def video_id(url: Column) -> Column:

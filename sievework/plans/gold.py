@@ -37,7 +37,7 @@ def title_identity(spark, sf):
     seen = F.concat(F.when(k % 5 == 0, place(F.lit(29), F.lit(28))).otherwise(place((k % 14 + 1).cast("int"), F.lit(28))), F.when(k % 8 == 0, " CDE AB").otherwise(""))
     channel = F.when(k % 3 == 0, "").otherwise(F.col("source"))
     author = F.concat(F.lit("src"), F.substring(k.cast("string"), -1, 1), F.lit("/feed"))
-    same = identity.same_title(seen, channel, F.lit(None).cast("array<string>"), title, author)
+    same = identity.same_title(seen, channel, F.lit(None).cast("array<string>"), title, author, identity.WHOLE_SYMBOL)
     return table(spark, sf, "documents").select(k, same.alias("s")).select("doc_id", F.round("s.ratio", 6).alias("ratio"), "s.channel_hit", "s.shared", "s.same")
 
 

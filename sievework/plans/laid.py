@@ -320,18 +320,24 @@ def topic_entries(spark, sf):
     return threads.topics(docs, "doc_id", "t").select("doc_id", "post_id", "kind", "published_at", "text", "body_status", F.col("parent.post_id").alias("parent_id"))
 
 
-_DIGEST = """concat('# Jo 的发言整理', chr(10), chr(10), '## Topic ', source, chr(10), '楼主 Jo · 2026-01-02 03:04 · [原帖](https://b.example/inv/', doc_id, '.html)', chr(10), '### 2026-01-02 03:04 · Topic ', source, chr(10), 'body ', n_chars, chr(10),
- '### 2026-01-02 05:06 · Re one', chr(10), '> 回复 Al「Some title」：quoted', chr(10), 'answer ', n_chars, chr(10), '### 2026-01-03 05:06 · Re two', chr(10), '（标题即全文）', chr(10))"""
+_SRC, _NUM = "coalesce(source, 'none')", "coalesce(cast(n_chars as string), 'none')"
+_DIGEST = f"""concat('# Jo 的发言整理', chr(10), chr(10), '## Topic ', {_SRC}, chr(10), '楼主 Jo · 2026-01-02 03:04 · [原帖](https://b.example/inv/', doc_id, '.html)', chr(10), '### 2026-01-02 03:04 · Topic ', {_SRC}, chr(10), 'body ', {_NUM}, chr(10), chr(10),
+ '![image](https://b.example/i.png)', chr(10), '### 2026-01-02 05:06 · Re one', chr(10), '> 回复 Al「Some title」：quoted', chr(10), 'answer ', {_NUM}, chr(10), '### 2026-01-03 05:06 · Re two', chr(10), '（标题即全文）', chr(10), '### 2026-01-02 05:06 · Re three', chr(10),
+ '## Topic B', chr(10), '### 2026-01-03 01:01 · no root yet', chr(10), 'lost', chr(10), '楼主 Al · 2026-01-03 00:00 · [原帖](https://b.example/inv/9', doc_id, '.html)', chr(10), '### 2026-01-03 02:02 · Hm', chr(10), '（正文未抓到，见原帖）', chr(10))"""
 
 
-@query("""select doc_id, unnest([cast(doc_id as varchar), doc_id || 'r202601020506', doc_id || 'r202601030506']) as id_begin, unnest(['post', 'reply', 'reply']) as kind, unnest(['Topic ' || source || chr(10) || 'body ' || n_chars, 'Re one' || chr(10) || 'answer ' || n_chars, 'Re two']) as text,
- unnest(['body_exported', 'body_exported', 'title_only']) as body_status, unnest([null, 'Al', 'Jo']) as parent_author, unnest([null, 'Some title', 'Topic ' || source]) as parent_title from documents where n_chars is not null and doc_id % 3 <> 2""")
+@query(f"""with d as (select doc_id, cast(doc_id as varchar) as k, {_SRC} as s, {_NUM} as n from documents)
+select doc_id, unnest([k, k || 'r202601020506', k || 'r202601030506', k || 'r202601020506', '9' || k || 'r202601030202']) as id_begin, unnest([length(k), length(k) + 22, length(k) + 17, length(k) + 22, length(k) + 18]) as id_chars, unnest(['post', 'reply', 'reply', 'reply', 'reply']) as kind,
+ unnest(['2026-01-02 03:04:00', '2026-01-02 05:06:00', '2026-01-03 05:06:00', '2026-01-02 05:06:00', '2026-01-03 02:02:00']) as published_at, unnest(['Topic ' || s || chr(10) || 'body ' || n, 'Re one' || chr(10) || 'answer ' || n, 'Re two', 'Re three', 'Hm']) as text,
+ unnest(['body_exported', 'body_exported', 'title_only', 'title_only', 'body_missing']) as body_status, unnest([strlen('body ' || n), strlen('answer ' || n), 0, 0, 0]) as body_bytes, unnest([null, 'Al', 'Jo', 'Jo', 'Al']) as parent_author, unnest([null, 'Some title', 'Topic ' || s, 'Topic ' || s, 'Topic B']) as parent_title from d""")
 def digest_entries(spark, sf):
-    """What an author said, out of exported digests."""
+    """What an author said, out of the digests of all documents: two topics, two replies of one minute, texts that are whole,
+    in the title only or missing."""
     from sievework.sources import threads
 
-    docs = rows(spark, sf, t=f"case when doc_id % 3 <> 2 then {_DIGEST} else '# Jo 的发言整理' end")
-    return threads.digests(docs, "doc_id", "t").select("doc_id", F.regexp_extract("post_id", r"^(\d+(?:r\d{12})?)", 1).alias("id_begin"), "kind", "text", "body_status", F.col("parent.author").alias("parent_author"), F.col("parent.title").alias("parent_title"))
+    docs = table(spark, sf, "documents").select("doc_id", F.expr(_DIGEST).alias("t"))
+    return threads.digests(docs, "doc_id", "t").select(
+        "doc_id", F.regexp_extract("post_id", r"^(\d+(?:r\d{12})?)", 1).alias("id_begin"), F.length("post_id").cast("long").alias("id_chars"), "kind", "published_at", "text", "body_status", "body_bytes", F.col("parent.author").alias("parent_author"), F.col("parent.title").alias("parent_title"))
 
 
 _L, _R, _QQ, _BS = "{chr(123)}", "{chr(125)}", "{chr(34)}", "{chr(92)}"

@@ -84,3 +84,16 @@ def test_lines_are_appended(spark, tmp_path):
     for i in (1, 2):
         sets.append_lines(spark.createDataFrame([(i, None)], "n int, note string"), path)
     assert sorted(r["n"] for r in spark.read.json(path).collect()) == [1, 2]
+
+
+def test_digests_of_all_documents(spark, tmp_path):
+    """Every document has a digest, whatever its id, also without a source or a number, and five entries with all fields."""
+    from sievework.plans.laid import digest_entries
+
+    rows = [(0, "a", 5), (1, None, None), (2, "b", 700), (5, "c", None)]
+    spark.createDataFrame(rows, "doc_id long, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = digest_entries(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == sorted([0, 1, 2, 5] * 5)
+    of = {r.id_begin: r for r in got if r.doc_id == 5 and r.text != "Re three"}
+    assert {k: (r.id_chars, r.published_at, r.body_status, r.body_bytes) for k, r in of.items()} == {
+        "5": (1, "2026-01-02 03:04:00", "body_exported", 9), "5r202601020506": (23, "2026-01-02 05:06:00", "body_exported", 11), "5r202601030506": (18, "2026-01-03 05:06:00", "title_only", 0), "95r202601030202": (19, "2026-01-03 02:02:00", "body_missing", 0)}

@@ -60,7 +60,7 @@ def symbols(s: Column, tickers: tuple[str, ...] = R.CLAIM_TICKERS) -> Column:
     listed = X.detect(s, R.ALIASES, R.TICKERS, R.CAPITALS_ONLY)
     listed = F.filter(listed, lambda x: (x != "BE") | s.rlike("(?<![A-Za-z])BE(?![A-Za-z])"))
     more = [F.when(F.contains(s, F.lit(k)), v) for k, v in R.CLAIM_ALIASES.items()]
-    more += [F.when(s.rlike(rf"(?<![A-Za-z0-9]){t}(?![A-Za-z0-9])"), t) for t in tickers]
+    more += [F.when(F.contains(s, F.lit(t)) & s.rlike(rf"(?<![A-Za-z0-9]){t}(?![A-Za-z0-9])"), t) for t in tickers]
     return F.array_distinct(F.concat(listed, F.array_compact(F.array(*more))))
 
 

@@ -11,34 +11,42 @@ from sievework.functions import text as T
 def detect(text: Column, aliases: dict[str, str], tokens: list[str], cased: tuple[str, ...] = (), most: int = 12) -> Column:
     """Symbols named in a text: aliases first, the longest first (an ASCII alias stands alone, others are substrings),
     then listed tokens by length, then name; ``cased`` tokens count in capitals only. Distinct, ``most`` at most."""
+    return T.bound(F.struct(text.alias("text"), F.lower(text).alias("low")), lambda x: _detect(x["text"], x["low"], aliases, tokens, cased, most))
+
+
+def _detect(text: Column, low: Column, aliases: dict[str, str], tokens: list[str], cased: tuple[str, ...], most: int) -> Column:
     found = []
     for a in sorted(aliases, key=lambda a: (-len(a), a)):
-        found.append(F.when(T.has_token(text, a) if a.isascii() else F.contains(text, F.lit(a)), aliases[a]))
+        found.append(F.when(T.has_token(text, a, low) if a.isascii() else F.contains(text, F.lit(a)), aliases[a]))
     for t in sorted(tokens, key=lambda t: (-len(t), t)):
-        alone = text.rlike(rf"(?<![A-Za-z0-9]){t}(?![A-Za-z0-9])") if t in cased else T.has_token(text, t)
+        alone = F.contains(text, F.lit(t)) & text.rlike(rf"(?<![A-Za-z0-9]){t}(?![A-Za-z0-9])") if t in cased else T.has_token(text, t, low)
         found.append(F.when(alone, t))
     return F.slice(F.array_distinct(F.array_compact(F.array(*found))), 1, most)
 
 
 def themes(text: Column, groups: dict[str, list[str]], default: str, most: int = 8) -> Column:
     """Names of the groups any of whose words a lower-cased text holds; the default if none."""
-    low = F.lower(text)
-    hit = []
-    for name, words in groups.items():
-        any_word = F.lit(False)
-        for w in words:
-            any_word = any_word | F.contains(low, F.lit(w.lower()))
-        hit.append(F.when(any_word, name))
-    got = F.array_compact(F.array(*hit))
-    return F.slice(F.when(F.size(got) == 0, F.array(F.lit(default))).otherwise(got), 1, most)
+    def hits(low: Column) -> Column:
+        hit = []
+        for name, words in groups.items():
+            any_word = F.lit(False)
+            for w in words:
+                any_word = any_word | F.contains(low, F.lit(w.lower()))
+            hit.append(F.when(any_word, name))
+        return F.array_compact(F.array(*hit))
+
+    return T.bound(T.bound(F.lower(text), hits), lambda got: F.slice(F.when(F.size(got) == 0, F.array(F.lit(default))).otherwise(got), 1, most))
 
 
 def without_noise(units: Column, words: list[str]) -> Column:
     """(kept, units, removed, ratio): units that hold none of the words, in either case."""
     def noisy(u: Column) -> Column:
+        return T.bound(F.lower(u), holding)
+
+    def holding(low: Column) -> Column:
         out = F.lit(False)
         for w in words:
-            out = out | F.contains(F.lower(u), F.lit(w))
+            out = out | F.contains(low, F.lit(w))
         return out
 
     kept = F.filter(units, lambda u: ~noisy(u))

@@ -89,11 +89,12 @@ def _signals(u: Column, most: int) -> Column:
 
 def _first_places(contexts: Column, whole: Column, most: int) -> Column:
     state = F.coalesce(*(F.when(matches(whole, p), label) for label, p in R.STATES), F.lit(None))
-    found = []
-    for place, (name, pattern, ready) in enumerate(R.SIGNALS):
-        hits = F.filter(F.transform(contexts, lambda c, i: F.struct(i.alias("i"), c.alias("c"))), _holds(name, pattern))
-        found.append(T.bound(F.get(hits, F.lit(0)), _signal(place, name, ready, state)))
-    return F.slice(F.sort_array(F.array_compact(F.array(*found))), 1, most)
+
+    def found(placed: Column) -> Column:
+        each = [T.bound(F.get(F.filter(placed, _holds(name, pattern)), F.lit(0)), _signal(place, name, ready, state)) for place, (name, pattern, ready) in enumerate(R.SIGNALS)]
+        return F.slice(F.sort_array(F.array_compact(F.array(*each))), 1, most)
+
+    return T.bound(F.transform(contexts, lambda c, i: F.struct(i.alias("i"), c.alias("c"), F.lower(c).alias("low"))), found)
 
 
 def _signal(place: int, name: str, ready: bool, state: Column):
@@ -105,19 +106,22 @@ def _signal(place: int, name: str, ready: bool, state: Column):
     return made
 
 
-#: Words of which a text that fulfils a condition holds one: they spare the search for what can't be there.
+#: Words of which a text that fulfils a condition holds one from each list: they spare the search for what can't be there.
 NEEDED = {
-    "tcds_cross_zero": ("tcds",), "ppo_above_signal": ("ppo",), "ppo_hist_positive": ("histogram", "柱状图", "柱线"), "price_above_ma50": ("ma",), "price_below_ma50": ("ma",),
-    "ma50_hold_two_sessions": ("ma",), "supertrend_bullish": ("supertrend",), "macd_hist_positive": ("macd",),
+    "tcds_cross_zero": (("tcds",),), "ppo_above_signal": (("ppo",),), "ppo_hist_positive": (("histogram", "柱状图", "柱线"),), "price_above_ma50": (("ma",), ("50",), ("站上", "突破", "高于", "above")),
+    "price_below_ma50": (("ma",), ("50",), ("跌破", "低于", "below")), "ma50_hold_two_sessions": (("ma",), ("50",), ("连续",)), "supertrend_bullish": (("supertrend",),), "macd_hist_positive": (("macd",),),
 }
 
 
 def _holds(name: str, pattern: str):
     def held(x: Column) -> Column:
-        low, any_of = F.lower(x["c"]), F.lit(False)
-        for word in NEEDED[name]:
-            any_of = any_of | F.contains(low, F.lit(word))
-        return any_of & matches(low, pattern)
+        low, all_of = x["low"], F.lit(True)
+        for words in NEEDED[name]:
+            any_of = F.lit(False)
+            for word in words:
+                any_of = any_of | F.contains(low, F.lit(word))
+            all_of = all_of & any_of
+        return all_of & matches(low, pattern)
 
     return held
 

@@ -97,3 +97,14 @@ def test_digests_of_all_documents(spark, tmp_path):
     of = {r.id_begin: r for r in got if r.doc_id == 5 and r.text != "Re three"}
     assert {k: (r.id_chars, r.published_at, r.body_status, r.body_bytes) for k, r in of.items()} == {
         "5": (1, "2026-01-02 03:04:00", "body_exported", 9), "5r202601020506": (23, "2026-01-02 05:06:00", "body_exported", 11), "5r202601030506": (18, "2026-01-03 05:06:00", "title_only", 0), "95r202601030202": (19, "2026-01-03 02:02:00", "body_missing", 0)}
+
+
+def test_pages_stay_in_arrow(spark):
+    """More pages than become strings at once, in order and with nulls; the batch itself isn't turned into pandas."""
+    from pyspark.util import PythonEvalType
+
+    pages = [None if i % 9 == 0 else f"<title>T{i} - s</title><p>one {i}<br>two" for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string").coalesce(1).select("i", parse.page_text("h").alias("p"))
+    assert [(r.i, r.p.title, r.p.text) for r in df.orderBy("i").collect()] == [(i, *parse.read_page(x)) for i, x in enumerate(pages)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f", {PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF}" in plan

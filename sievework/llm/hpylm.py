@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from sievework.llm.near import mixed
-from sievework.llm.shared import PACKED, by_part, dropped, parts_of, written
+from sievework.llm.shared import PACKED, by_part, dropped, packed, parts_of, written
 
 GAP = re.compile(rb"[\x20\x09-\x0D]")
 END = -1  # the end of a text, as a word; also the context of a first word
@@ -163,10 +163,38 @@ def _summed(c: np.ndarray, w: np.ndarray, n: np.ndarray, held: np.ndarray) -> tu
     return c[new], w[new], np.add.reduceat(n, new), np.maximum.reduceat(held, new)
 
 
+COUNTED = "kind int, context long, word long, n long, part int, arrays array<binary>"
+COUNTED_NAMES = ["kind", "context", "word", "n", "part", "arrays"]
+
+
+class _Box:
+    """Numbers on their way to the parts of their keys: packed, a row a part, whenever there are ``most``."""
+
+    def __init__(self, parts: int, most: int = 1 << 20) -> None:
+        self.parts, self.most, self.held, self.count = parts, most, [], 0
+
+    def put(self, key: np.ndarray, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from self.send(part_of(key, self.parts), *arrays)
+
+    def send(self, part: np.ndarray, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((part, *arrays))
+        self.count += len(part)
+        if self.count > self.most:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.count:
+            part, *arrays = (np.concatenate(x) for x in zip(*self.held, strict=True))
+            order = np.argsort(part, kind="stable")
+            yield packed(part[order], [x[order] for x in arrays])
+        self.held, self.count = [], 0
+
+
 def count_pairs(docs: DataFrame, whole: bool = True) -> DataFrame:
-    """Pairs of the training documents: those seen more than once (kind 0); those seen once (kind 3), all of them if
-    ``whole``, else those that a held-out document holds too; and for every word (kind 1) and every context (kind 2, named
-    in ``word``) partial sums of customers and of pairs seen once, over all pairs in either case."""
+    """Pairs of the training documents: those seen once (kind 3) as rows, all of them if ``whole``, else those that a held-out
+    document holds too; packed by the part of the context those seen more than once (kind 0: context, word, n); and packed by
+    their own part, for every word (kind 1) and every context (kind 2), partial sums of customers and of pairs seen once,
+    over all pairs in either case."""
     spark = docs.sparkSession
     parts = parts_of(spark, 2)
 
@@ -199,20 +227,25 @@ def count_pairs(docs: DataFrame, whole: bool = True) -> DataFrame:
             away = np.repeat(np.array([held_out(d) for d in ids]), sizes)
             rows.append((before(words, np.cumsum(sizes) - sizes), words, (~away).astype(np.int64), away.astype(np.int8)))
             total += len(words)
-            if total > 3_000_000:
+            if total > 2_000_000:
                 yield flush()
                 total = 0
         if rows:
             yield flush()
 
     kept: list[tuple[np.ndarray, ...]] = []
-    names = ["kind", "context", "word", "n", "ones"]
+    boxes = [_Box(parts_of(spark, 1)) for _ in range(3)]
 
-    def sums(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    def sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         order = np.argsort(key, kind="stable")
         key, n = key[order], n[order]
         new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(new), kind, np.int32)), pa.array(np.zeros(len(new), np.int64)), pa.array(key[new]), pa.array(np.add.reduceat(n, new)), pa.array(np.add.reduceat((n == 1).astype(np.int64), new))], names)
+        return key[new], np.add.reduceat(n, new), np.add.reduceat((n == 1).astype(np.int64), new)
+
+    def named(kind: int, packs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in packs:
+            none = pa.nulls(b.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, kind, np.int32)), none, none, none, *b.columns], COUNTED_NAMES)
 
     def reduced(part: int, arrays: list[np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
         w, n, held, c, runs = arrays
@@ -223,17 +256,23 @@ def count_pairs(docs: DataFrame, whole: bool = True) -> DataFrame:
         if not last:
             return
         c, w, n, held = kept.pop()
-        for kind, some in ((0, np.flatnonzero(n > 1)), (3, np.flatnonzero((n == 1) & ((held > 0) | whole)))):
-            for at in range(0, len(some), 1 << 18):
-                i = some[at : at + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), kind, np.int32)), pa.array(c[i]), pa.array(w[i]), pa.array(n[i]), pa.array(np.zeros(len(i), np.int64))], names)
+        some = np.flatnonzero((n == 1) & ((held > 0) | whole))
+        for at in range(0, len(some), 1 << 18):
+            i = some[at : at + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(i), 3, np.int32)), pa.array(c[i]), pa.array(w[i]), pa.array(n[i]), pa.nulls(len(i), pa.int32()), pa.nulls(len(i), pa.list_(pa.binary()))], COUNTED_NAMES)
         c, w, n = c[n > 0], w[n > 0], n[n > 0]
         if len(n):
-            yield sums(1, w, n)
-            yield sums(2, c, n)
+            more = n > 1
+            for kind, box, found in zip(range(3), boxes, ((c[more], w[more], n[more]), sums(w, n), sums(c, n)), strict=True):
+                yield from named(kind, box.put(found[0], *found))
+
+    def finish() -> Iterator[pa.RecordBatch]:
+        for kind, box in enumerate(boxes):
+            yield from named(kind, box.flush())
 
     rows = docs.select("doc_id", "text").mapInArrow(counted, PACKED)
-    return by_part(rows, reduced, [np.int64, np.int32, np.int8, np.int64, np.int32], "kind int, context long, word long, n long, ones long")
+    return by_part(rows, reduced, [np.int64, np.int32, np.int8, np.int64, np.int32], COUNTED, finish=finish)
 
 
 @lru_cache(2)
@@ -290,67 +329,189 @@ def train(docs: DataFrame, sweeps: int = 4, burn: int = 1, discount: float = DIS
     table for certain, which counts in its context and in the parent. Without ``whole`` the pairs seen once that no
     held-out document holds are not listed, since ``alone`` says all about them."""
     spark = docs.sparkSession
+    parts = parts_of(spark, 1)
     counted = written(count_pairs(docs, whole), "counts")
-    words = written(counted.filter("kind = 1").groupBy("word").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")), "words")
-    rooms = written(counted.filter("kind = 2").groupBy(F.col("word").alias("context")).agg(F.sum("n").alias("c"), F.sum("ones").alias("ones")), "rooms")
-    # The partial sums take most of the first table; what is read in each sweep goes to one of its own.
-    listed = written(counted.filter("kind in (0, 3)").select("kind", "context", "word", "n"), "pairs")
+
+    def opened(part: int, rows: dict[int, list[list[bytes]]], sent: _Box) -> Iterator[pa.RecordBatch]:
+        """The part's words; its contexts with their pairs, one table each; and what each word gets from them."""
+        if 1 in rows:
+            word, n, ones = _totalled(*_joined(rows[1], 3))
+            yield _moved(WORDS, [part], [[word, n, ones, np.zeros_like(n), np.ones_like(n), np.zeros(len(n))]], len(n), int(n.sum()))
+        if 2 in rows:
+            context, c, ones = _totalled(*_joined(rows[2], 3))
+            of, word, n = _joined(rows.get(0, []), 3)
+            order = np.lexsort((word, of))
+            of, word, n = of[order], word[order], n[order]
+            run = np.searchsorted(of, context, side="right") - np.searchsorted(of, context)
+            t = np.ones_like(n)
+            yield _moved(PAIRS, [part], [[context, c, ones, run, word, n, t, np.zeros_like(n)]])
+            yield from sent.put(*_sent(part, word, t))
+
+    seated = written(_worked(counted.filter("kind < 3").select(F.col("kind").alias("side"), "part", "arrays"), opened, SUMS, parts), "seated")
+    single = written(counted.filter("kind = 3").select("context", "word", "n"), "pairs")
     dropped(spark, counted)
-    pairs, single = (listed.filter(f"kind = {kind}").select("context", "word", "n") for kind in (0, 3))
-    tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    distinct, tokens = seated.agg(F.coalesce(F.sum("customers"), F.lit(0)), F.coalesce(F.sum("seats"), F.lit(0))).first()
     uniform = 1.0 / (distinct + 1)
 
-    def parent(tables: DataFrame, tops: DataFrame, total: int, sweep: int) -> tuple[DataFrame, DataFrame, int, float]:
-        """The unigram restaurant, whose customers are the contexts' tables, seated anew: its written table; word, t, p and
-        the sum of p over the kept sweeps; all its tables; and the probability of a word that training has not seen."""
-        m = words.select("word", "ones").join(tables.groupBy("word").agg(F.sum("t").alias("s")), "word", "left").join(tops, "word").select("word", (F.col("ones") + F.coalesce("s", F.lit(0))).alias("m"), "t", "sum")
-
-        def reseated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                w, n, t = (np.asarray(b.column(k)) for k in ("word", "m", "t"))
-                new = draw_tables(n, total - t, np.full(len(n), uniform), discount, strength, w, seed, sweep, 1)
-                yield pa.RecordBatch.from_arrays([b.column("word"), b.column("m"), pa.array(new), b.column("sum")], ["word", "m", "t", "sum"])
-
-        found = written(m.mapInArrow(reseated, "word long, m long, t long, sum double"), "parent")
-        customers, seats = found.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
-        spare = (strength + discount * seats) * uniform
-        p = found.withColumn("p", (F.col("m") - discount * F.col("t") + spare) / (strength + float(customers)))
-        return found, p.select("word", "t", "p", (F.col("sum") + (F.col("p") if sweep > burn else F.lit(0.0))).alias("sum")), seats, spare / (strength + customers)
-
-    tables = pairs.withColumns({"t": F.lit(1).cast("long"), "seen": F.lit(0).cast("long")})
-    found, p, total, _ = parent(tables, words.select("word", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("sum")), distinct, 0)
+    def parent(words: DataFrame, sums: DataFrame, total: int, sweep: int, last: tuple[float, float]) -> tuple[DataFrame, int, int]:
+        """The unigram restaurant, whose customers are the contexts' tables, seated anew: its words, with what their tables
+        leave them sent to the parts that named them; all its customers and tables. ``last`` is what the sweep before gave
+        to every word alike and by which customers, to add its probabilities where it is kept."""
+
+        def reseated(part: int, rows: dict[int, list[list[bytes]]], sent: _Box) -> Iterator[pa.RecordBatch]:
+            word, n, ones, m, t, p = (np.frombuffer(x, k) for x, k in zip(rows[WORDS][0], _WORD, strict=True))
+            if sweep - 1 > burn:
+                p = p + (m - discount * t + last[0]) / last[1]
+            source, named, s = _joined(rows.get(SUMS, []), 3)
+            at = np.searchsorted(word, named)
+            m = ones + np.bincount(at, s, len(word)).astype(np.int64)
+            t = draw_tables(m, total - t, np.full(len(m), uniform), discount, strength, word, seed, sweep, 1)
+            yield _moved(WORDS, [part], [[word, n, ones, m, t, p]], int(m.sum()), int(t.sum()))
+            yield from sent.send(source, named, (m - discount * t)[at])
+
+        found = written(_worked(words.filter(f"side = {WORDS}").unionByName(sums.filter(f"side = {SUMS}")), reseated, BASES, parts), "parent")
+        return found, *found.agg(F.coalesce(F.sum("customers"), F.lit(0)), F.coalesce(F.sum("seats"), F.lit(0))).first()
+
+    def shares(customers: int, total: int) -> tuple[float, float]:
+        return (strength + discount * total) * uniform, strength + float(customers)
+
+    words, customers, total = parent(seated, seated, distinct, 0, (0.0, 1.0))
+    last, tables = shares(customers, total), seated
     spare: list[float] = []
     for sweep in range(1, sweeps + 1):
-        seats = rooms.select("context", "ones").join(tables.groupBy("context").agg(F.sum("t").alias("t")), "context").select("context", (F.col("ones") + F.col("t")).alias("seats"))
-        joined = tables.join(p.select("word", "p"), "word").join(seats, "context")
 
-        def reseated(batches: Iterator[pa.RecordBatch], sweep: int = sweep) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                c, w, n, t, seen, base, seats = (np.asarray(b.column(k)) for k in ("context", "word", "n", "t", "seen", "p", "seats"))
-                new = draw_tables(n, seats - t, base, discount, strength, pair_code(c, w), seed, sweep, 0)
-                yield pa.RecordBatch.from_arrays([b.column("context"), b.column("word"), b.column("n"), pa.array(new), pa.array(seen + new * (sweep > burn))], ["context", "word", "n", "t", "seen"])
-
-        last, tables = tables, written(joined.select("context", "word", "n", "t", "seen", "p", "seats").mapInArrow(reseated, "context long, word long, n long, t long, seen long"), "tables")
-        if sweep > 1:
-            dropped(spark, last)
-        old = found
-        found, p, total, unseen = parent(tables, p.select("word", "t", "sum"), total, sweep)
+        def reseated(part: int, rows: dict[int, list[list[bytes]]], sent: _Box, sweep: int = sweep, last: tuple[float, float] = last) -> Iterator[pa.RecordBatch]:
+            context, c, ones, run, word, n, t, seen = (np.frombuffer(x, np.int64) for x in rows[PAIRS][0])
+            if not len(word):
+                yield _moved(PAIRS, [part], [[context, c, ones, run, word, n, t, seen]])
+                return
+            named, left = (np.frombuffer(b"".join(x[i] for x in rows[BASES]), k) for i, k in enumerate((np.int64, np.float64)))
+            order = np.argsort(named)
+            base = ((left[order] + last[0]) / last[1])[np.searchsorted(named[order], word)]
+            of = np.repeat(np.arange(len(context)), run)
+            seats = (ones + np.bincount(of, t, len(context)).astype(np.int64))[of]
+            t = draw_tables(n, seats - t, base, discount, strength, pair_code(context[of], word), seed, sweep, 0)
+            yield _moved(PAIRS, [part], [[context, c, ones, run, word, n, t, seen + t * (sweep > burn)]])
+            yield from sent.put(*_sent(part, word, t))
+
+        old, tables = tables, written(_worked(tables.filter(f"side = {PAIRS}").unionByName(words.filter(f"side = {BASES}")), reseated, SUMS, parts), "tables")
+        dropped(spark, old)
+        old, (words, customers, total) = words, parent(words, tables, total, sweep, last)
         dropped(spark, old)
+        last = shares(customers, total)
         if sweep > burn:
-            spare.append(unseen)
-
-    seating = tables.select("context", "word", "n", (F.col("seen") / len(spare)).alias("t"))
-    passed = rooms.join(seating.groupBy("context").agg(F.sum("t").alias("t")), "context", "left")
-    lift = passed.select(F.col("context").alias("word"), ((strength + discount * (F.coalesce("t", F.lit(0.0)) + F.col("ones"))) / (strength + F.col("c"))).alias("lift"), ((1 - discount) / (strength + F.col("c"))).alias("alone"))
-    model = written(words.select("word", "n").join(p.select("word", (F.col("sum") / len(spare)).alias("p")), "word").join(lift, "word", "left"), "words-model")
-    full = seating.unionByName(single.withColumn("t", F.lit(1.0))).withColumn("ratio", (F.col("n") - discount * F.col("t")) / (1 - discount))
+            spare.append(last[0] / last[1])
+    kept = len(spare)
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _states(batches):
+            context, c, ones, run, _, _, _, seen = (np.frombuffer(a, np.int64) for a in x)
+            t = np.bincount(np.repeat(np.arange(len(context)), run), seen / kept, len(context))
+            for i in _steps(len(context)):
+                yield pa.RecordBatch.from_arrays([pa.array(a[i]) for a in (context, (strength + discount * (t + ones)) / (strength + c), (1 - discount) / (strength + c))], ["word", "lift", "alone"])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _states(batches):
+            context, c, _, run, word, n, _, seen = (np.frombuffer(a, np.int64) for a in x)
+            own = n - discount * seen / kept
+            for i in _steps(len(word)):
+                of = np.repeat(np.arange(len(context)), run)[i]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in (context[of], word[i], n[i], own[i] / (strength + c[of]), own[i] / (1 - discount))], ["context", "word", "n", "excess", "ratio"])
+
+    def parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _states(batches):
+            word, n, _, m, t, p = (np.frombuffer(a, k) for a, k in zip(x, _WORD, strict=True))
+            p = (p + (m - discount * t + last[0]) / last[1]) / kept
+            for i in _steps(len(word)):
+                yield pa.RecordBatch.from_arrays([pa.array(a[i]) for a in (word, n, p)], ["word", "n", "p"])
+
+    state = tables.filter(f"side = {PAIRS}").select("arrays")
+    lift = state.mapInArrow(contexts, "word long, lift double, alone double")
+    model = written(words.filter(f"side = {WORDS}").select("arrays").mapInArrow(parents, "word long, n long, p double").join(lift, "word", "left"), "words-model")
+    full, once = state.mapInArrow(listed, "context long, word long, n long, excess double, ratio double"), single.withColumn("ratio", F.lit(1.0))
     if whole:
-        full = full.join(rooms.select("context", "c"), "context").withColumn("excess", (F.col("n") - discount * F.col("t")) / (strength + F.col("c")))
+        once = once.join(model.select(F.col("word").alias("context"), F.col("alone").alias("excess")), "context")
     else:
-        full = full.select("context", "word", "n", "ratio")
-    full = written(full, "pairs-model")
-    dropped(spark, listed, tables, found, words, rooms)
-    return full, model, {"tokens": tokens, "distinct": distinct, "unseen": sum(spare) / len(spare)}
+        full = full.drop("excess")
+    full = written(full.unionByName(once), "pairs-model")
+    dropped(spark, single, tables, words)
+    return full, model, {"tokens": tokens, "distinct": distinct, "unseen": sum(spare) / kept}
+
+
+#: What the rows of a sweep hold: words with n, pairs seen once, customers, tables and the sum of p; what they get from a
+#: part (the part, word, tables); contexts (customers, pairs seen once, pairs) with their pairs (word, n, tables, and their
+#: sum over the kept sweeps); and what a word's own customers leave it in the parent, sent to a part that has it.
+WORDS, SUMS, PAIRS, BASES = 10, 11, 12, 13
+MOVED = "side int, part int, arrays array<binary>, customers long, seats long"
+_WORD = [np.int64] * 5 + [np.float64]
+
+
+def _joined(rows: list[list[bytes]], n: int) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(x[i] for x in rows), np.int64) for i in range(n)]
+
+
+def _totalled(key: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[new], *(np.add.reduceat(x[order], new) for x in counts)
+
+
+def _sent(part: int, word: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words, as keys; and the part that names them, the words, and how many tables they have in it."""
+    if not len(word):
+        return word, word, word, t
+    word, s = _totalled(word, t)
+    return word, np.full(len(word), part, np.int64), word, s
+
+
+def _moved(side: int, part: list[int], arrays: list[list[np.ndarray]], customers: int | None = None, seats: int | None = None) -> pa.RecordBatch:
+    rows = pa.array([[x.tobytes() for x in a] for a in arrays], pa.list_(pa.binary()))
+    return pa.RecordBatch.from_arrays([pa.array([side], pa.int32()), pa.array(part, pa.int32()), rows, pa.array([customers], pa.int64()), pa.array([seats], pa.int64())], ["side", "part", "arrays", "customers", "seats"])
+
+
+def _worked(rows: DataFrame, work, side: int, parts: int) -> DataFrame:
+    """``work`` on each part with its rows by side, and a box whose numbers go out as rows of ``side``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, box = None, {}, _Box(parts)
+
+        def labelled() -> Iterator[pa.RecordBatch]:
+            for b in work(now, held, box):
+                yield from out(b)
+
+        def out(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            if "side" in b.schema.names:
+                yield b
+            else:
+                none = pa.nulls(b.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, side, np.int32)), *b.columns, none, none], ["side", "part", "arrays", "customers", "seats"])
+
+        for batch in batches:
+            column = batch.column("arrays")
+            for i, (p, kind) in enumerate(zip(batch.column("part").to_pylist(), batch.column("side").to_pylist(), strict=True)):
+                if p != now and held:
+                    yield from labelled()
+                    held = {}
+                now = p
+                held.setdefault(kind, []).append(column[i].as_py())
+        if held:
+            yield from labelled()
+        for b in box.flush():
+            yield from out(b)
+
+    return rows.select("side", "part", "arrays").repartition("part").sortWithinPartitions("part").mapInArrow(run, MOVED)
+
+
+def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    for b in batches:
+        for x in b.column("arrays"):
+            yield x.as_py()
+
+
+def _steps(n: int, size: int = 1 << 18) -> Iterator[slice]:
+    for at in range(0, n, size):
+        yield slice(at, at + size)
 
 
 def _frequent(table: DataFrame, most: int) -> DataFrame:
@@ -460,7 +621,7 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
             of = doc[later]
             late.append((both[later], np.where(away[of], -odds, odds), k1[of], k2[of]))
             waiting += len(of)
-            if waiting > 2_000_000:
+            if waiting > 1_000_000:
                 yield chunk(1, *_lookups(parts, *(np.concatenate(x) for x in zip(*late, strict=True))))
                 late.clear()
                 waiting = 0

@@ -207,18 +207,22 @@ def _buckets(texts: list[str], width: int, bands: int, rows: int) -> np.ndarray:
 
 def close(xs: list[str], ys: list[str], width: int, similarity: float) -> np.ndarray:
     """Whether the shingle sets of each two texts have at least ``similarity``; up to 1024 pairs. Texts under ``width``
-    have one shingle, which different texts don't share. A pair's shingles are compared by 54 bits of their hashes."""
+    have one shingle, which different texts don't share. A pair's shingles are compared by 53 bits of their hashes; both
+    sides are sorted as one array, in which a shingle that both have stands twice."""
     out = np.zeros(len(xs), bool)
-    some = np.flatnonzero([min(len(x), len(y)) >= width for x, y in zip(xs, ys, strict=True)])
+    lengths = np.array([[len(x) for x in xs], [len(y) for y in ys]])
+    some = np.flatnonzero(lengths.min(axis=0, initial=1 << 62) >= width)
     if not len(some):
         return out
-    sides = []
-    for texts in (xs, ys):
-        h, n = _hashes([texts[i] for i in some], width)
-        sides.append(distinct(np.repeat(np.arange(len(some), dtype=np.uint64), n) << np.uint64(54) | h >> np.uint64(10)))
-    count = lambda x: np.bincount((x >> np.uint64(54)).astype(np.int64), minlength=len(some))
-    x, y, both = count(sides[0]), count(sides[1]), count(np.intersect1d(*sides, assume_unique=True))
-    out[some] = both >= similarity * (x + y - both)
+    both = [texts[i] for texts in (xs, ys) for i in some.tolist()]
+    h, n = _hashes(both, width)
+    pair, side = np.arange(len(some), dtype=np.uint64) << np.uint64(54), np.uint64(1)
+    h = distinct(np.repeat(np.concatenate([pair, pair | side]), n) | (h >> np.uint64(11)) << side)
+    shingle = h >> side
+    twice = shingle[1:][shingle[1:] == shingle[:-1]]
+    count = lambda x, bits: np.bincount((x >> np.uint64(bits)).astype(np.int64), minlength=len(some))
+    common = count(twice, 53)
+    out[some] = common >= similarity * (count(h, 54) - common)
     return out
 
 
@@ -261,27 +265,37 @@ def chosen(lines: DataFrame, keys: DataFrame) -> DataFrame:
     return written(lines.join(keys, "key").dropDuplicates(["key"]), "lines")
 
 
-def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Number of common elements of each set of ``left`` with each of ``right``."""
-    out, width = np.zeros((len(left), len(right)), np.float32), 2048
-    p, q = np.concatenate(left), np.concatenate(right)
-    both = np.intersect1d(distinct(p), distinct(q), assume_unique=True)
-    sides = []
-    for h, sets in ((p, left), (q, right)):
-        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-        at = np.minimum(np.searchsorted(both, h), max(0, len(both) - 1))
-        ok = both[at] == h if len(both) else np.zeros(len(h), bool)
-        order = np.argsort(at[ok], kind="stable")
-        sides.append((row[ok][order], at[ok][order]))
-    for start in range(0, len(both), width):
-        m = []
-        for (row, column), sets in zip(sides, (left, right), strict=True):
-            s, e = np.searchsorted(column, [start, start + width])
-            x = np.zeros((len(sets), min(width, len(both) - start)), np.float32)
-            x[row[s:e], column[s:e] - start] = 1
-            m.append(x)
-        out += m[0] @ m[1].T
-    return out
+def _common(texts: list[str], width: int, known: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Size of each text's shingle set; and for each text of ``left`` with each of ``right`` the number of shingles that both
+    have. Shingles whose texts are all of one component of ``known`` tell nothing of two components and are left out.
+    Texts under ``width`` have one shingle. All are sorted as one array by hash and text, with the text in the low bits."""
+    lengths = np.array([len(t) for t in texts])
+    h, n = np.empty(0, np.uint64), np.ones(len(texts), np.int64)
+    long = lengths >= width
+    if long.any():
+        h, n[long] = _hashes([t for t, ok in zip(texts, long.tolist(), strict=True) if ok], width)
+    row = np.repeat(np.flatnonzero(long), n[long])
+    if not long.all():
+        short = np.flatnonzero(~long)
+        h, row = np.concatenate([h, *(shingles(texts[i], width) for i in short.tolist())]), np.concatenate([row, short])
+    bits = np.uint64(max(1, len(texts).bit_length()))
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    h = distinct((h & ~low) | row.astype(np.uint64))
+    row, h = (h & low).astype(np.int64), h >> bits
+    sizes = np.bincount(row, minlength=len(texts))
+    new = np.concatenate([[True], h[1:] != h[:-1]])
+    starts = np.flatnonzero(new)
+    of = known[row]
+    across = np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts)
+    some = np.repeat(across, np.diff(starts, append=len(h)))
+    row, column = row[some], np.cumsum(new[some]) - 1
+    out, step, count = np.zeros((len(left), len(right)), np.float32), 2048, int(across.sum())
+    for start in range(0, count, step):
+        s, e = np.searchsorted(column, [start, start + step])
+        m = np.zeros((len(texts), min(step, count - start)), np.float32)
+        m[row[s:e], column[s:e] - start] = 1
+        out += m[left] @ m[right].T
+    return sizes, out
 
 
 def bridges(members: DataFrame, roots: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -308,9 +322,7 @@ def bridges(members: DataFrame, roots: DataFrame, texts: DataFrame, width: int,
                 y = x
             elif not len(x):
                 continue
-            sets = [distinct(shingles(k, width)) for k in t.column("line").to_pylist()]
-            n = np.array([len(k) for k in sets])
-            same = _common([sets[k] for k in x], [sets[k] for k in y])
+            n, same = _common(t.column("line").to_pylist(), width, known, x, y)
             near = (same >= similarity * (n[x][:, None] + n[y][None, :] - same)) & (known[x][:, None] != known[y][None, :])
             p, q = np.nonzero(near)
             tree = forest(len(names), known[x[p]], known[y[q]])

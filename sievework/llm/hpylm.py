@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from sievework.llm.near import mixed
-from sievework.llm.shared import PACKED, by_part, dropped, packed, parts_of, written
+from sievework.llm.shared import PACKED, by_part, dropped, freed, packed, parts_of, written
 
 GAP = re.compile(rb"[\x20\x09-\x0D]")
 END = -1  # the end of a text, as a word; also the context of a first word
@@ -664,6 +664,7 @@ def score(docs: DataFrame, text: str = "text", heavy_words: int = HEAVY_WORDS, h
             F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("n_known"), F.sum(F.col("k") * (F.log10(F.col("n") + 0.1) - base_log)).alias("base_score"),
             F.sum(F.col("k") * F.log10(F.coalesce("alone", "up"))).alias("score"))
     dropped(spark, words)
+    freed(spark)
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, listed, table = None, [], None

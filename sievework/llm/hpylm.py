@@ -170,7 +170,7 @@ COUNTED_NAMES = ["kind", "context", "word", "n", "part", "arrays"]
 class _Box:
     """Numbers on their way to the parts of their keys: packed, a row a part, whenever there are ``most``."""
 
-    def __init__(self, parts: int, most: int = 1 << 20) -> None:
+    def __init__(self, parts: int, most: int = 1 << 18) -> None:
         self.parts, self.most, self.held, self.count = parts, most, [], 0
 
     def put(self, key: np.ndarray, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
